@@ -12,57 +12,82 @@ from pyspark.sql.window import Window
 _ACCURACY = 20_000
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles as one row, one column per named probability.
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """Exact, linearly interpolated quantiles as one row: name -> (column, probability).
 
     ``percentile`` keeps every distinct value in the buffer of a single task. Here a bounded
     sketch first brackets each wanted rank, then one hash aggregate counts the values: inside a
     bracket one by one, outside all together. Only the counted rows, about 4 / _ACCURACY of the
     distinct values, are ordered in one place. The counts are exact, so the result is exact; a
     rank outside its bracket, which the error bound of the sketch rules out, is an error and
-    never a wrong figure.
+    never a wrong figure. The table is read twice, whatever the number of quantiles.
     """
-    values = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
     margin = 2.0 / _ACCURACY
-    bounds = sorted(
-        (p, sign) for p in set(probabilities.values()) for sign in (-margin, margin)
-    )
-    points = F.array(*[F.lit(min(max(p + sign, 0.0), 1.0)) for p, sign in bounds])
-    sketch = values.agg(F.percentile_approx("v", points, F.lit(_ACCURACY))).scalar()
-
-    bracketed = values.withColumn("cut", sketch)
-    region, inside = F.lit(0), F.lit(False)
-    for i, (p, sign) in enumerate(bounds):
-        edge = F.get("cut", F.lit(i))
-        beyond = F.col("v") >= edge if sign < 0 else F.col("v") > edge
-        region = region + beyond.cast("int")
-        if sign < 0:
-            upper = F.get("cut", F.lit(bounds.index((p, margin))))
-            inside = inside | F.col("v").between(edge, upper)
+    probabilities: dict[str, list[float]] = {}
+    for column, p in wanted.values():
+        probabilities.setdefault(column, []).append(p)
+    columns = list(probabilities)
+
+    def edges(column: str) -> list[tuple[float, float]]:
+        return sorted((p, s) for p in set(probabilities[column]) for s in (-margin, margin))
+
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    sketch = values.agg(F.struct(*[
+        F.percentile_approx(
+            f"v{i}", F.array(*[F.lit(min(max(p + s, 0.0), 1.0)) for p, s in edges(c)]),
+            F.lit(_ACCURACY),
+        ).alias(f"v{i}")
+        for i, c in enumerate(columns)
+    ]).alias("cuts")).scalar()
+
+    def placed(i: int, column: str) -> Column:
+        value, cuts = F.col(f"v{i}"), F.col(f"cuts.v{i}")
+        bounds = edges(column)
+        region, inside = F.lit(0), F.lit(False)
+        for position, (p, sign) in enumerate(bounds):
+            edge = F.get(cuts, F.lit(position))
+            beyond = value >= edge if sign < 0 else value > edge
+            region = region + beyond.cast("int")
+            if sign < 0:
+                upper = F.get(cuts, F.lit(bounds.index((p, margin))))
+                inside = inside | value.between(edge, upper)
+        return F.struct(
+            F.lit(i).alias("of"), region.alias("region"), F.when(inside, value).alias("v"),
+            value.isNotNull().alias("known"),
+        )
+
     counts = (
-        bracketed.select(region.alias("region"), F.when(inside, F.col("v")).alias("v"))
-        .groupBy("region", "v").agg(F.count(F.lit(1)).alias("n"))
+        values.withColumn("cuts", sketch)
+        .select(F.explode(F.array(*[placed(i, c) for i, c in enumerate(columns)])).alias("at"))
+        .where("at.known")
+        .groupBy("at.of", "at.region", "at.v").agg(F.count(F.lit(1)).alias("n"))
     )
-
-    ordered = Window.orderBy("region", "v")
+    whole = Window.partitionBy("of")
     ranked = counts.select(
-        "v", "n",
-        F.sum("n").over(ordered).alias("upto"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
+        "of", "v", "n",
+        F.sum("n").over(whole.orderBy("region", "v")).alias("upto"),
+        F.sum("n").over(whole).alias("total"),
     )
 
-    def at(position: Column) -> Column:
-        here = (position < F.col("upto")) & (position >= F.col("upto") - F.col("n"))
-        checked = F.when(F.col("v").isNull(), F.raise_error("quantile outside its bracket")
-                         .cast("double")).otherwise(F.col("v"))
-        return F.max(F.when(here, checked))
-
-    aggregates, results = [F.max("total").alias("total")], []
-    for i, (name, p) in enumerate(probabilities.items()):
+    def value_at(of: int, position: Column) -> Column:
+        here = (
+            (F.col("of") == of)
+            & (position < F.col("upto")) & (position >= F.col("upto") - F.col("n"))
+        )
+        outside = F.raise_error("quantile outside its bracket").cast("double")
+        return F.max(F.when(here, F.when(F.col("v").isNull(), outside).otherwise(F.col("v"))))
+
+    aggregates, results = [], []
+    for k, (name, (column, p)) in enumerate(wanted.items()):
+        of = columns.index(column)
         position = F.lit(float(p)) * (F.col("total") - 1)
-        aggregates += [at(F.floor(position)).alias(f"lo{i}"), at(F.ceil(position)).alias(f"hi{i}")]
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        results.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
+        aggregates += [
+            value_at(of, F.floor(position)).alias(f"lo{k}"),
+            value_at(of, F.ceil(position)).alias(f"hi{k}"),
+            F.max(F.when(F.col("of") == of, position - F.floor(position))).alias(f"part{k}"),
+        ]
+        lo, hi = F.col(f"lo{k}"), F.col(f"hi{k}")
+        results.append((lo + (hi - lo) * F.col(f"part{k}")).alias(name))
     return ranked.agg(*aggregates).select(*results)
 
 

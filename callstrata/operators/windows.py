@@ -66,12 +66,11 @@ def flag_follow_ups(
     us = F.timestamp_diff("MICROSECOND", epoch, F.col(at))
 
     keyed = df.withColumns({"_party": party, "_us": us}).withColumn(
-        "_own", F.floor(F.col("_us") / slot_us)
+        "_own", F.col("_us") - F.pmod(F.col("_us"), F.lit(slot_us))
     )
-    reaches_next = F.col("_party").isNotNull() & (
-        (F.col("_own") + 1) * slot_us - F.col("_us") <= within_us
-    )
-    slots = F.when(reaches_next, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(
+    next_slot = F.col("_own") + slot_us
+    reaches_next = F.col("_party").isNotNull() & (next_slot - F.col("_us") <= within_us)
+    slots = F.when(reaches_next, F.array(F.col("_own"), next_slot)).otherwise(
         F.array(F.col("_own"))
     )
     alone = F.when(F.col("_party").isNull(), F.xxhash64(tie))

@@ -16,6 +16,7 @@ from callstrata.operators.joins import lookup_join
 from callstrata.operators.windows import lag_days
 from callstrata.plans.calls import call_measures
 from callstrata.schemas import FOLDED_SERVICE, SEGMENT, SERVICE, UNKNOWN_SEGMENT
+from callstrata.session import cut_lineage
 from callstrata.settings import Settings
 
 LAG_DAYS = (1, 7, 14, 28, 364)
@@ -66,15 +67,9 @@ def hourly_history(
 ) -> DataFrame:
     """Gap-free hourly history of every service and segment with calendar and lag columns."""
     settings = settings or Settings()
-    volumes = hourly_volumes(calls, segments, settings)
-    hours = calls.where(
-        (F.col("ChannelType") == settings.call_channel_name) & F.col(SERVICE).isNotNull()
-    ).agg(
-        F.struct(
-            F.date_trunc("hour", F.min("Created")).alias("first"),
-            F.date_trunc("hour", F.max("Created")).alias("last"),
-        ).alias("hours")
-    ).scalar()
+    # Small beside the calls and read twice, so the calls themselves are read only once.
+    volumes = cut_lineage(hourly_volumes(calls, segments, settings))
+    hours = volumes.agg(F.struct(F.min("ds").alias("first"), F.max("ds").alias("last"))).scalar()
     groups = [FOLDED_SERVICE, SEGMENT]
     grid = fill_grid(
         volumes, groups, "ds", MEASURES, hours.getField("first"), hours.getField("last"), "hour"

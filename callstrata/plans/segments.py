@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callstrata.functions.calendar import month_name, weekday_name
@@ -17,6 +17,7 @@ from callstrata.operators.windows import share, top_per_group
 from callstrata.schemas import (
     BEHAVIOR_COLUMNS, SEGMENT, SERVICE, UNCLEAR_PEAK, UNKNOWN_SERVICE_TYPE,
 )
+from callstrata.session import cut_lineage
 from callstrata.settings import Settings
 
 SICK_LEAVE_KEY = "INTERNAL_SICK"
@@ -65,25 +66,23 @@ def customer_profiles(calls: DataFrame) -> DataFrame:
     )
 
 
-def _limit(df: DataFrame, value: str, p: float) -> Column:
-    return exact_quantiles(df, value, {"limit": p}).scalar()
-
-
 def customer_segments(
     calls: DataFrame, volume_quantile: float = 0.80, handling_quantile: float = 0.50
 ) -> DataFrame:
     """One behaviour segment per customer: sick-leave lines by name, the others by whether they
     exceed the volume and handling-time limits taken over all customers."""
-    profiles = customer_profiles(calls)
+    profiles = cut_lineage(customer_profiles(calls))  # read three times, so built only once
+    limits = exact_quantiles(profiles, {
+        "volume": ("Total_Samtal", volume_quantile),
+        "handling": ("Genomsnittlig_AHT_Sek", handling_quantile),
+    }).select(F.struct("volume", "handling")).scalar()
     sick = (
         (F.upper(trim_blanks(F.col("CustomerKey"))) == SICK_LEAVE_KEY)
         | contains_any(F.col("Name"), ["sjukanmälan"])
         | contains_any(F.col(SERVICE), ["personal", "sjuk"])
     )
-    many = F.col("Total_Samtal") > _limit(profiles, "Total_Samtal", volume_quantile)
-    long = F.col("Genomsnittlig_AHT_Sek") > _limit(
-        profiles, "Genomsnittlig_AHT_Sek", handling_quantile
-    )
+    many = F.col("Total_Samtal") > limits.getField("volume")
+    long = F.col("Genomsnittlig_AHT_Sek") > limits.getField("handling")
     label = F.concat_ws(
         "_",
         F.when(many, "Hög-Volym").otherwise("Låg-Volym"),
@@ -127,7 +126,9 @@ def profiles_with_peaks(calls: DataFrame, settings: Settings | None = None) -> D
 def call_length_class(calls: DataFrame, lower: float = 0.33, upper: float = 0.66) -> DataFrame:
     """Calls with talk time, classed by the quantiles of all of them."""
     talked = calls.where(F.col("TalkTimeInSec") > 0)
-    quantiles = exact_quantiles(talked, "TalkTimeInSec", {"lo": lower, "hi": upper})
+    quantiles = exact_quantiles(
+        talked, {"lo": ("TalkTimeInSec", lower), "hi": ("TalkTimeInSec", upper)}
+    )
     lo = F.when(F.col("lo") == 0, F.lit(1.0)).otherwise(F.col("lo"))
     limits = quantiles.select(lo.alias("lo"), "hi").select(
         F.struct(

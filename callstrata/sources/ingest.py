@@ -43,26 +43,24 @@ def new_rows(
 ) -> DataFrame:
     """Source rows the target does not hold yet, judged by the target's latest time.
 
-    The strict form takes only later rows. The default form also looks at rows of exactly the
-    latest time and removes those already stored, so late arrivals with an equal time are kept.
-    Without key columns, whole rows are compared, and repeats of a row are told apart by number.
+    The strict form takes only later rows. The default form also takes the rows of exactly the
+    latest time that are not stored yet, so late arrivals with an equal time are kept. They are
+    compared by key, or without key columns as whole rows, where repeats count separately.
     """
     if target is None:
         return source
     watermark = target.agg(F.max(time_col)).scalar()
     time = F.col(time_col)
-    everything = watermark.isNull()
+    later = source.where(watermark.isNull() | (time > watermark))
     if strict:
-        return source.where(everything | (time > watermark))
-    candidates = source.where(everything | (time >= watermark))
-    stored = target.where(time == watermark)
-    if not key_cols:
-        # Only rows of one instant on the stored side; EXCEPT ALL compares multisets.
-        return candidates.exceptAll(stored.select(*source.columns))
-    keys = list(key_cols)
-    return candidates.join(
-        stored.select(time_col, *keys).distinct(), [time_col, *keys], "left_anti"
-    ).select(*source.columns)
+        return later
+    # Only rows of one instant are compared, so the bulk of the load is never shuffled.
+    tied, stored = source.where(time == watermark), target.where(time == watermark)
+    if key_cols:
+        missed = tied.join(stored.select(*key_cols).distinct(), list(key_cols), "left_anti")
+    else:
+        missed = tied.exceptAll(stored.select(*source.columns))
+    return later.unionByName(missed.select(*source.columns))
 
 
 def load_one(

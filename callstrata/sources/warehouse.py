@@ -47,7 +47,7 @@ class Warehouse:
         counted, seen = _counted(df)
         if partition_by:
             # Few files per partition, and a partition holding most rows is split again.
-            counted = counted.hint("rebalance", *partition_by)
+            counted = counted.hint("rebalance", *[F.col(c) for c in partition_by])
         writer = counted.write.mode(mode).options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -1,0 +1 @@
+"""The incremental steps as Structured Streaming queries."""
