@@ -52,61 +52,67 @@ PUBLISHED_NAMES = {
 }
 
 
-def _whole(a: Column, b: int) -> Column:
-    return F.floor(a / F.lit(b)).cast("int")
+# Gauss's rule for Gregorian Easter of the year `_y`, step by step.
+_EASTER_STEPS = [
+    {"_c": "_y DIV 100", "_g": "pmod(_y, 19)"},
+    {"_q": "_c - _c DIV 4"},
+    {"_m": "pmod(15 - (13 + 8 * _c) DIV 25 + _q, 30)", "_s": "pmod(4 + _q, 7)"},
+    {"_d": "pmod(19 * _g + _m, 30)"},
+    {"_e": "pmod(2 * pmod(_y, 4) + 4 * pmod(_y, 7) + 6 * _d + _s, 7)"},
+    {"_late": "_e = 6 AND (_d = 29 OR (_d = 28 AND pmod(11 * _m + 11, 30) < 19))"},
+]
+_EASTER = "date_add(make_date(_y, 3, 22), CAST(_d + _e - IF(_late, 7, 0) AS INT))"
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter by Gauss's rule."""
-    century = _whole(year, 100)
-    moon = F.pmod(
-        15 - _whole(13 + 8 * century, 25) + century - _whole(century, 4), F.lit(30)
-    )
-    sun = F.pmod(4 + century - _whole(century, 4), F.lit(7))
-    golden = F.pmod(year, F.lit(19))
-    d = F.pmod(19 * golden + moon, F.lit(30))
-    e = F.pmod(
-        2 * F.pmod(year, F.lit(4)) + 4 * F.pmod(year, F.lit(7)) + 6 * d + sun, F.lit(7)
-    )
-    too_late = (e == 6) & (
-        (d == 29) | ((d == 28) & (F.pmod(11 * moon + 11, F.lit(30)) < 19))
-    )
-    shift = (d + e - F.when(too_late, 7).otherwise(0)).cast("int")
-    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), shift)
+def with_easter(df: DataFrame, year: str, name: str) -> DataFrame:
+    """Append Easter Sunday of the year given by a SQL expression.
 
+    The steps are columns of their own: as one nested expression each of them would be repeated
+    wherever it is used and the generated code would outgrow the compiler's limits.
+    """
+    df = df.withColumn("_y", F.expr(year))
+    for step in _EASTER_STEPS:
+        df = df.withColumns({column: F.expr(rule) for column, rule in step.items()})
+    helpers = ["_y", *[column for step in _EASTER_STEPS for column in step]]
+    return df.withColumn(name, F.expr(_EASTER)).drop(*helpers)
 
-def _pick(key: Column, names: dict[int, str], otherwise: Column) -> Column:
-    for number, name in names.items():
-        otherwise = F.when(key == number, F.lit(name)).otherwise(otherwise)
-    return otherwise
 
-
-def holiday_name(day: Column, eves: bool = True) -> Column:
-    """Name of the Swedish holiday on a date, or null."""
-    month_day = F.month(day) * 100 + F.dayofmonth(day)
-    weekday = F.weekday(day)
-    from_easter = F.datediff(day, easter_sunday(F.year(day)))
-    name = _pick(from_easter, EASTER_HOLIDAYS, F.lit(None).cast("string"))
-    name = F.when((weekday == 5) & month_day.between(620, 626), "Midsummer Day").otherwise(name)
-    name = F.when((weekday == 5) & month_day.between(1031, 1106), "All Saints' Day").otherwise(name)
-    if eves:
-        name = F.when((weekday == 4) & month_day.between(619, 625), "Midsummer Eve").otherwise(name)
-        name = _pick(month_day, FIXED_EVES, name)
-    return _pick(month_day, FIXED_HOLIDAYS, name)
+def _off(month_day: str, weekday: str, from_easter: str, eves: bool) -> str:
+    """SQL test whether a date is a holiday, given its month-day, weekday and Easter distance."""
+    fixed = ", ".join(str(d) for d in [*FIXED_HOLIDAYS, *(FIXED_EVES if eves else [])])
+    moving = ", ".join(str(d) for d in EASTER_HOLIDAYS)
+    test = (
+        f"{month_day} IN ({fixed}) OR {from_easter} IN ({moving}) OR ({weekday} = 5 AND "
+        f"({month_day} BETWEEN 620 AND 626 OR {month_day} BETWEEN 1031 AND 1106))"
+    )
+    return f"{test} OR ({weekday} = 4 AND {month_day} BETWEEN 619 AND 625)" if eves else test
 
 
 def holiday_dim(years: DataFrame, year_col: str = "year", eves: bool = True) -> DataFrame:
-    """(ds, holiday, is_eve) for every year of a one-column DataFrame."""
-    first = F.make_date(F.col(year_col), F.lit(1), F.lit(1))
-    last = F.make_date(F.col(year_col), F.lit(12), F.lit(31))
-    eve_names = [*FIXED_EVES.values(), "Midsummer Eve"]
-    return (
-        years.select(year_col).distinct()
-        .select(F.explode(F.sequence(first, last)).alias("ds"))
-        .withColumn("holiday", holiday_name(F.col("ds"), eves))
-        .where(F.col("holiday").isNotNull())
-        .withColumn("is_eve", F.col("holiday").isin(eve_names))
+    """(ds, holiday, is_eve) for every year of a one-column DataFrame, one row per date."""
+
+    def listed(date: str, name: str, eve: bool = False) -> str:
+        quoted = name.replace("'", "\\'")
+        return f"struct({date} AS ds, {str(eve).lower()} AS is_eve, '{quoted}' AS holiday)"
+
+    def fixed(month_day: int) -> str:
+        return f"make_date(year, {month_day // 100}, {month_day % 100})"
+
+    days = [listed(fixed(day), name) for day, name in FIXED_HOLIDAYS.items()]
+    days += [listed(f"date_add(easter, {k})", name) for k, name in EASTER_HOLIDAYS.items()]
+    days += [
+        listed("next_day(make_date(year, 6, 19), 'SAT')", "Midsummer Day"),
+        listed("next_day(make_date(year, 10, 30), 'SAT')", "All Saints' Day"),
+    ]
+    if eves:
+        days += [listed(fixed(day), name, True) for day, name in FIXED_EVES.items()]
+        days += [listed("next_day(make_date(year, 6, 18), 'FRI')", "Midsummer Eve", True)]
+    each = years.select(F.col(year_col).alias("year")).distinct()
+    dated = with_easter(each, "year", "easter").select(
+        F.explode(F.expr(f"array({', '.join(days)})")).alias("day")
     )
+    one = dated.groupBy("day.ds").agg(F.min("day").alias("day"))
+    return one.select("ds", "day.holiday", "day.is_eve")
 
 
 def holidays(spark: SparkSession, first_year: int, last_year: int, eves: bool = True) -> DataFrame:
@@ -114,10 +120,6 @@ def holidays(spark: SparkSession, first_year: int, last_year: int, eves: bool =
     return holiday_dim(years, eves=eves)
 
 
-def is_workday(day: Column, eves: bool = True) -> Column:
-    return ((F.weekday(day) < 5) & holiday_name(day, eves).isNull()).cast("int")
-
-
 def weekday_name(weekday: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), weekday + 1)
 
@@ -130,39 +132,50 @@ def calendar_features(
     df: DataFrame, ds: str = "ds", eves: bool = True, published_names: bool = False
 ) -> DataFrame:
     """Append the calendar columns computed from the zone-less timestamp or date ``ds``."""
-    at = F.col(ds).cast("timestamp_ntz")
-    day = F.to_date(at)
-    hour, minute = F.hour(at), F.minute(at)
-    weekday, month = F.weekday(at), F.month(at)
-    clock = hour + minute / F.lit(60.0)
-    angle = F.lit(2 * math.pi) * F.dayofyear(at) / F.lit(365.25)
-    workday = is_workday(day, eves)
-    after_closed = (weekday == 0) | holiday_name(F.date_sub(day, 1), eves).isNotNull()
-
-    def part(start: float, end: float) -> Column:
-        return ((clock >= start) & (clock < end)).cast("int")
-
+    names = ", ".join(f"'{n}'" for n in WEEKDAY_NAMES)
+    months = ", ".join(f"'{n}'" for n in MONTH_NAMES)
+    turn = f"{2 * math.pi!r}D * _doy / 365.25D"
+    stages = [
+        {"_at": f"CAST(`{ds}` AS TIMESTAMP_NTZ)"},
+        {"_day": "to_date(_at)"},
+        {"_hour": "hour(_at)", "_wd": "weekday(_day)", "_month": "month(_day)",
+         "_doy": "dayofyear(_day)", "_before": "date_sub(_day, 1)",
+         "_clock": "hour(_at) + minute(_at) / 60.0D",
+         "_from": "datediff(_day, _easter)"},
+        {"_md": "_month * 100 + day(_day)",
+         "_md_before": "month(_before) * 100 + day(_before)"},
+        # 1 January needs no Easter of the year before: no holiday of either year is that far.
+        {"_off": _off("_md", "_wd", "_from", eves),
+         "_off_before": _off("_md_before", "weekday(_before)", "(_from - 1)", eves)},
+        {"_work": "_wd < 5 AND NOT _off"},
+    ]
     added = {
-        "timme": hour,
-        "minut": minute,
-        "veckodag": weekday,
-        "dag_pa_aret": F.dayofyear(at),
-        "vecka_nr": F.weekofyear(at),
-        "manad": month,
-        "kvartal": F.quarter(at),
-        "ar": F.year(at),
-        "datum": day,
-        "veckodag_namn": weekday_name(weekday),
-        "manad_namn": month_name(month),
-        "ar_arbetsdag": workday,
-        "ar_dagen_efter_stangt": (after_closed & (workday == 1)).cast("int"),
-        "ar_tidig_morgon": part(6.5, 8),
-        "ar_formiddag": part(8, 11),
-        "ar_lunchtid": part(11, 13),
-        "ar_eftermiddag": part(13, 17.5),
-        "year_sin": F.sin(angle),
-        "year_cos": F.cos(angle),
+        "timme": "_hour",
+        "minut": "minute(_at)",
+        "veckodag": "_wd",
+        "dag_pa_aret": "_doy",
+        "vecka_nr": "weekofyear(_day)",
+        "manad": "_month",
+        "kvartal": "quarter(_day)",
+        "ar": "year(_day)",
+        "datum": "_day",
+        "veckodag_namn": f"element_at(array({names}), _wd + 1)",
+        "manad_namn": f"element_at(array({months}), _month)",
+        "ar_arbetsdag": "CAST(_work AS INT)",
+        "ar_dagen_efter_stangt": "CAST((_wd = 0 OR _off_before) AND _work AS INT)",
+        "ar_tidig_morgon": "CAST(_clock >= 6.5D AND _clock < 8D AS INT)",
+        "ar_formiddag": "CAST(_clock >= 8D AND _clock < 11D AS INT)",
+        "ar_lunchtid": "CAST(_clock >= 11D AND _clock < 13D AS INT)",
+        "ar_eftermiddag": "CAST(_clock >= 13D AND _clock < 17.5D AS INT)",
+        "year_sin": f"sin({turn})",
+        "year_cos": f"cos({turn})",
     }
     if published_names:
-        added = {PUBLISHED_NAMES.get(name, name): col for name, col in added.items()}
-    return df.withColumns(added)
+        added = {PUBLISHED_NAMES.get(name, name): rule for name, rule in added.items()}
+    kept = df.columns
+    out = with_easter(df, f"year(`{ds}`)", "_easter")
+    for stage in stages:
+        out = out.withColumns({column: F.expr(rule) for column, rule in stage.items()})
+    return out.select(*[f"`{c}`" for c in kept], *[
+        F.expr(rule).alias(name) for name, rule in added.items()
+    ])

@@ -1,9 +1,7 @@
-"""Explicit schemas and published column names of every table."""
+"""Explicit schemas (as DDL) and published column names of every table."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Published column names that are not plain ASCII.
 SERVICE = "TjänstTyp"
 SUBSIDIARY = "är_dotterbolag"
@@ -27,29 +25,25 @@ UNCLEAR_PEAK = "Oklart"
 ABANDONED = "callabandoned"
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 BRONZE = {
-    "cdr": _schema(
+    "cdr": (
         "CallId STRING, Status STRING, Created TIMESTAMP_NTZ, LandingNumber STRING, "
         "ChannelType STRING, QueueId STRING, callerNr STRING, TalkTimeInSec BIGINT, "
         "Duration BIGINT, CaseId STRING"
     ),
-    "cases": _schema(
+    "cases": (
         "CaseId STRING, Status STRING, Created TIMESTAMP_NTZ, InternalType STRING, "
         "UserId BIGINT, GroupId STRING"
     ),
-    "customers": _schema(
+    "customers": (
         "CustomerId BIGINT, ParentId BIGINT, Name STRING, OrganisationNumber STRING, "
         "LandingNumber STRING, BillingType STRING"
     ),
-    "groups": _schema("ID STRING, Name STRING"),
-    "users": _schema("UserId BIGINT, Name STRING"),
+    "groups": "ID STRING, Name STRING",
+    "users": "UserId BIGINT, Name STRING",
 }
 
-EXCLUDED_NUMBERS = _schema("LandingNumber STRING")
+EXCLUDED_NUMBERS = "LandingNumber STRING"
 
 TRAINING_COLUMNS = [
     "CallId", "CaseId", "Created", "Status", "Duration", "TalkTimeInSec", "ChannelType",

@@ -92,5 +92,5 @@ def load_all(
         except Exception as error:  # reported per table, as the caller needs all of them
             rows.append((spec.target, spec.load_type, "FAILED", 0, str(error)))
     return spark.createDataFrame(
-        rows, "target string, load_type string, status string, rows bigint, error string"
+        rows, "target string, load_type string, status string, written bigint, error string"
     )

@@ -20,7 +20,7 @@ class SourceSpec:
     format: str
     options: Mapping[str, str] = field(default_factory=dict)
     path: str | None = None
-    schema: T.StructType | None = None
+    schema: T.StructType | str | None = None
 
 
 def jdbc_source(
@@ -37,7 +37,7 @@ def jdbc_source(
     return SourceSpec("jdbc", opts)
 
 
-def parquet_source(path: str, schema: T.StructType | None = None) -> SourceSpec:
+def parquet_source(path: str, schema: T.StructType | str | None = None) -> SourceSpec:
     return SourceSpec("parquet", path=path, schema=schema)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from callstrata.schemas import FOLDED_SERVICE, SERVICE
 
 
-def read_arriving(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet") -> DataFrame:
+def read_arriving(spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet") -> DataFrame:
     return spark.readStream.schema(schema).format(file_format).load(path)
 
 
