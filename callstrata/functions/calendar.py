@@ -120,6 +120,18 @@ def holidays(spark: SparkSession, first_year: int, last_year: int, eves: bool =
     return holiday_dim(years, eves=eves)
 
 
+def hour_floor(ts: Column) -> Column:
+    """Start of the hour, zone-less: ``date_trunc`` would pass through the session's zone."""
+    whole = F.to_date(ts).cast("timestamp_ntz")
+    return whole + F.make_dt_interval(F.lit(0), F.hour(ts))
+
+
+def wall_seconds(ts: Column) -> Column:
+    """Whole seconds of wall-clock time since 1970, whatever the session's zone."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
 def weekday_name(weekday: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), weekday + 1)
 

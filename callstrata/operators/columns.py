@@ -37,9 +37,8 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     )
 
 
-def require_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """Project exactly the wanted columns, failing loudly when one is absent."""
+def require_columns(df: DataFrame, wanted: Sequence[str]) -> None:
+    """Fail loudly when a column is absent, where filling it would hide the mistake."""
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    return df.select(*wanted)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from callstrata.functions.calendar import wall_seconds
 from callstrata.functions.numbers import ratio
 
 
@@ -61,15 +62,12 @@ def flag_follow_ups(
     window of its own.
     """
     slot_sec = slot_sec or max(3600, 4 * within_sec)
-    slot_us, within_us = slot_sec * 1_000_000, within_sec * 1_000_000
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    us = F.timestamp_diff("MICROSECOND", epoch, F.col(at))
-
-    keyed = df.withColumns({"_party": party, "_us": us}).withColumn(
-        "_own", F.col("_us") - F.pmod(F.col("_us"), F.lit(slot_us))
+    keyed = df.withColumns({"_party": party, "_sec": wall_seconds(F.col(at))}).withColumn(
+        "_own", F.col("_sec") - F.pmod(F.col("_sec"), F.lit(slot_sec))
     )
-    next_slot = F.col("_own") + slot_us
-    reaches_next = F.col("_party").isNotNull() & (next_slot - F.col("_us") <= within_us)
+    next_slot = F.col("_own") + slot_sec
+    # One second more than needed, as fractions of a second are cut off.
+    reaches_next = F.col("_party").isNotNull() & (next_slot - F.col("_sec") <= within_sec + 1)
     slots = F.when(reaches_next, F.array(F.col("_own"), next_slot)).otherwise(
         F.array(F.col("_own"))
     )
@@ -77,15 +75,16 @@ def flag_follow_ups(
     placed = keyed.withColumns({"_slot": F.explode(slots), "_alone": alone})
 
     series = Window.partitionBy("_party", "_alone", "_slot").orderBy(at, tie)
-    gap = F.col("_us") - F.lag("_us").over(series)
+    before = F.lag(at).over(series)
+    latest = before + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(within_sec))
     hit = (
         F.col("_party").isNotNull()
-        & (gap > 0) & (gap <= within_us)
+        & (F.col(at) > before) & (F.col(at) <= latest)
         & F.lag(previous_hit.cast("boolean")).over(series)
         & (F.col(same_as_previous) == F.lag(same_as_previous).over(series))
     )
     return (
         placed.withColumn(flag, F.coalesce(hit, F.lit(False)).cast("int"))
         .where(F.col("_slot") == F.col("_own"))
-        .drop("_party", "_us", "_own", "_slot", "_alone")
+        .drop("_party", "_sec", "_own", "_slot", "_alone")
     )

@@ -16,16 +16,19 @@ from callstrata.operators.grid import expand_hours, fill_grid
 from callstrata.operators.joins import lookup_join
 from callstrata.operators.windows import share
 from callstrata.plans.history import LAG_DAYS, daily_volumes
-from callstrata.plans.models import predict_volume
+from callstrata.plans.models import CALENDAR, predict_volume
 from callstrata.schemas import (
     FOLDED_SERVICE, FORECAST_COLUMNS, FORECAST_HIGH, FORECAST_LOW, SEGMENT, SERVICE,
 )
+from callstrata.session import cut_lineage
 from callstrata.settings import Settings
 
 LOOKBACK_DAYS = 370
 STATISTIC_DAYS = 35
 TALK_TIME_SEC = 180
 OPEN_FROM_HOUR, OPEN_TO_HOUR = 6, 18
+# With a model, one step adds about a dozen projections; the plan is cut after so many steps.
+_STEPS_PER_TABLE = 3
 
 
 def _day(start: date | Column) -> Column:
@@ -129,19 +132,34 @@ def recursive_forecast(
         )
         return _unfold(state.withColumn("series", folded), day, horizon)
 
+    state = state.withColumn("days", _horizon_calendar(daily, day, horizon, eves))
+    state = cut_lineage(state)
     for i in range(horizon):
-        features = state.withColumns({
-            "ds": F.date_add(day, i),
-            **{f"Antal_Samtal_lag_{k}d": _lag(F.col("series"), k) for k in lags},
-        })
-        predicted = predict_volume(model, calendar_features(features, "ds", eves), lags)
+        features = state.select(
+            FOLDED_SERVICE, "series", "averages", "days",
+            *[F.get("days", F.lit(i))[name].alias(name) for name in ("ds", *CALENDAR)],
+            *[_lag(F.col("series"), k).alias(f"Antal_Samtal_lag_{k}d") for k in lags],
+        )
+        predicted = predict_volume(model, features, lags)
         step = _next(F.col("series"), F.col("averages"), F.col("ds"), F.col("prediction"))
-        state = predicted.withColumn("series", F.concat("series", F.array(step))).select(
-            FOLDED_SERVICE, "series", "averages"
+        state = predicted.select(
+            FOLDED_SERVICE, F.concat("series", F.array(step)).alias("series"), "averages", "days"
         )
+        if i % _STEPS_PER_TABLE == _STEPS_PER_TABLE - 1:
+            state = cut_lineage(state)
     return _unfold(state, day, horizon)
 
 
+def _horizon_calendar(daily: DataFrame, day: Column, horizon: int, eves: bool) -> Column:
+    """Calendar features of the days to forecast, as one array with an entry per day."""
+    days = daily.sparkSession.range(horizon).select(
+        F.date_add(day, F.col("id").cast("int")).alias("ds")
+    )
+    return calendar_features(days, "ds", eves).agg(
+        F.array_sort(F.collect_list(F.struct("ds", *CALENDAR)))
+    ).scalar()
+
+
 def hourly_shape(hourly: DataFrame, services: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Mean share of each hour in its day, per service and weekday, summing to 1 per weekday."""
     busy = hourly.where(F.col("Antal_Samtal") > 0).select(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.functions.calendar import calendar_features
+from callstrata.functions.calendar import calendar_features, hour_floor
 from callstrata.functions.numbers import ratio
 from callstrata.functions.text import trim_blanks
 from callstrata.operators.columns import fold_names
@@ -42,7 +42,7 @@ def hourly_volumes(
         .where(F.col(FOLDED_SERVICE).isNotNull() & F.col("Created").isNotNull())
     )
     per_customer = wanted.groupBy(
-        F.date_trunc("hour", "Created").alias("ds"), FOLDED_SERVICE, "CustomerKey"
+        hour_floor(F.col("Created")).alias("ds"), FOLDED_SERVICE, "CustomerKey"
     ).agg(
         F.count("Created").alias(MEASURES[0]),
         F.sum("TalkTimeInSec").alias(MEASURES[1]),

@@ -28,7 +28,7 @@ def today_column(last: Column, settings: Settings) -> Column:
 
 def window_start(today: Column, months: int) -> Column:
     """First day of the month that lies ``months`` before today."""
-    return F.to_date(F.date_trunc("month", F.add_months(today, -months).cast("timestamp_ntz")))
+    return F.trunc(F.add_months(today, -months), "month")
 
 
 def run_window(calls: DataFrame, settings: Settings, created: str = "Created") -> DataFrame:

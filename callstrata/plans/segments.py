@@ -75,14 +75,14 @@ def customer_segments(
     limits = exact_quantiles(profiles, {
         "volume": ("Total_Samtal", volume_quantile),
         "handling": ("Genomsnittlig_AHT_Sek", handling_quantile),
-    }).select(F.struct("volume", "handling")).scalar()
+    }).first()  # two figures
     sick = (
         (F.upper(trim_blanks(F.col("CustomerKey"))) == SICK_LEAVE_KEY)
         | contains_any(F.col("Name"), ["sjukanmälan"])
         | contains_any(F.col(SERVICE), ["personal", "sjuk"])
     )
-    many = F.col("Total_Samtal") > limits.getField("volume")
-    long = F.col("Genomsnittlig_AHT_Sek") > limits.getField("handling")
+    many = F.col("Total_Samtal") > F.lit(limits["volume"])
+    long = F.col("Genomsnittlig_AHT_Sek") > F.lit(limits["handling"])
     label = F.concat_ws(
         "_",
         F.when(many, "Hög-Volym").otherwise("Låg-Volym"),

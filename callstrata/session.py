@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,13 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so a lost executor does not replay the whole past."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a table to the shared checkpoint folder and read it from there.
+
+    Used for results that are small beside their input and read more than once. A lost executor
+    then costs a re-read and not the whole past; unlike a checkpointed RDD the stored columns are
+    pruned and their size is known to the optimizer.
+    """
+    spark = df.sparkSession
+    path = f"{use_checkpoint_dir(spark).rstrip('/')}/callstrata/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
