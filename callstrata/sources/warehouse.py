@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,9 +18,21 @@ class PublishError(RuntimeError):
     pass
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation(f"rows_{uuid.uuid4().hex}")
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+class _Counter:
+    """Counts the rows of a write while it runs."""
+
+    def __init__(self, df: DataFrame):
+        self._seen = Observation(f"rows_{uuid.uuid4().hex}")
+        self.df = df.observe(self._seen, F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> int:
+        try:
+            return self._seen.get["rows"]
+        except Py4JJavaError:
+            # Proven empty, the input was planned away and the observation with it.
+            if self.df.isEmpty():
+                return 0
+            raise
 
 
 class Warehouse:
@@ -44,15 +57,16 @@ class Warehouse:
         return self.read(table) if self.exists(table) else None
 
     def _write(self, df: DataFrame, path: str, partition_by: Sequence[str], mode: str, **options) -> int:
-        counted, seen = _counted(df)
         if partition_by:
             # Few files per partition, and a partition holding most rows is split again.
-            counted = counted.hint("rebalance", *[F.col(c) for c in partition_by])
-        writer = counted.write.mode(mode).options(**options)
+            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        # Counted after any shuffle: tasks of the last stage are counted once even when repeated.
+        counter = _Counter(df)
+        writer = counter.df.write.mode(mode).options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return seen.get["rows"]
+        return counter.rows()
 
     def _point(self, table: str, path: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT * FROM parquet.`{path}`")

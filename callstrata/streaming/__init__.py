@@ -1 +1 @@
-"""The incremental steps as Structured Streaming queries."""
+"""The incremental load as a Structured Streaming query."""

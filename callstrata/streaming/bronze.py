@@ -1,4 +1,4 @@
-"""Incremental bronze load and hourly volumes over arriving files.
+"""Incremental bronze load over arriving files.
 
 The batch load keeps its position as the latest stored time. Where the source arrives as files,
 the same step is a stream whose checkpoint remembers the files already taken.
@@ -7,12 +7,9 @@ the same step is a stream whose checkpoint remembers the files already taken.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from callstrata.schemas import FOLDED_SERVICE, SERVICE
-
 
 def read_arriving(spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet") -> DataFrame:
     return spark.readStream.schema(schema).format(file_format).load(path)
@@ -25,16 +22,3 @@ def append_arriving(stream: DataFrame, target: str, checkpoint: str) -> Streamin
         .option("path", target).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
-
-
-def hourly_arrivals(stream: DataFrame, late_by: str = "1 hour") -> DataFrame:
-    """Calls and talk time per hour and service, final once the watermark has passed the hour."""
-    return (
-        stream.withWatermark("Created", late_by)
-        .groupBy(F.window("Created", "1 hour").alias("hour"), F.col(SERVICE).alias(FOLDED_SERVICE))
-        .agg(
-            F.count("Created").alias("Antal_Samtal"),
-            F.coalesce(F.sum("TalkTimeInSec"), F.lit(0)).alias("Total_Samtalstid_Sek"),
-        )
-        .select(F.col("hour.start").alias("ds"), FOLDED_SERVICE, "Antal_Samtal", "Total_Samtalstid_Sek")
-    )
