@@ -86,8 +86,7 @@ def _tweedie_pipeline(lags: Sequence[int]) -> Pipeline:
         OneHotEncoder(inputCols=codes, outputCols=hot),
         VectorAssembler(inputCols=[*hot, *numeric], outputCol="features"),
         GeneralizedLinearRegression(
-            labelCol=LABEL, family="tweedie", variancePower=1.5, linkPower=0.0,
-            regParam=0.01, maxIter=50,
+            labelCol=LABEL, family="tweedie", variancePower=1.5, linkPower=0.0, maxIter=25,
         ),
     ])
 
