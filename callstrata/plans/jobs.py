@@ -51,12 +51,16 @@ class Jobs:
         enriched = C.flag_redials(
             C.enrich_calls(collapsed, mapping, settings, excluded), settings.redial_threshold_sec
         )
-        # Written once; the report and the dimensions read the written rows.
-        silver = "Silver_Enriched_Calls"
-        rows = {silver: self.warehouse.publish(C.with_date(enriched), silver, partition_by=["Datum"])}
+        # Written once. The training data is a projection of it, the rest reads it back.
+        silver, training = "Silver_Enriched_Calls", "Operative_Training_Data"
+        dated = C.with_date(enriched)
+        rows = {silver: self.warehouse.publish(
+            dated, silver, partition_by=["Datum"],
+            projections={settings.table_names[training]: C.training_data(enriched).columns},
+        )}
+        rows[training] = rows[silver]
         stored = self.warehouse.read(silver)
         marts = {
-            "Operative_Training_Data": (C.training_data(stored), ["Datum"]),
             "Abandoned_Calls_Report": (C.abandoned_report(stored), ["Datum"]),
             "Customer_Dimension": (D.dim_customer(stored), []),
             "Phone_Lookup_Dimension": (D.dim_phone_lookup(stored), []),

@@ -37,21 +37,31 @@ def bronze_specs(sources: dict[str, SourceSpec], settings: Settings) -> list[Ing
     ]
 
 
+def high_watermark(target: DataFrame | None, time_col: str) -> str | None:
+    """Latest time stored in the target as text; None for a missing or empty target."""
+    if target is None:
+        return None
+    return target.agg(F.max(time_col).cast("string").alias("latest")).first()["latest"]
+
+
 def new_rows(
     source: DataFrame, target: DataFrame | None, time_col: str,
     key_cols: Sequence[str] = (), strict: bool = False,
 ) -> DataFrame:
     """Source rows the target does not hold yet, judged by the target's latest time.
 
-    The strict form takes only later rows. The default form also takes the rows of exactly the
-    latest time that are not stored yet, so late arrivals with an equal time are kept. They are
-    compared by key, or without key columns as whole rows, where repeats count separately.
+    The latest time enters as a literal, so the source (a database or files) filters by it
+    instead of sending everything. The strict form takes only later rows. The default form also
+    takes the rows of exactly the latest time that are not stored yet, so late arrivals with an
+    equal time are kept. They are compared by key, or without key columns as whole rows, where
+    repeats count separately.
     """
-    if target is None:
+    latest = high_watermark(target, time_col)
+    if latest is None:
         return source
-    watermark = target.agg(F.max(time_col)).scalar()
     time = F.col(time_col)
-    later = source.where(watermark.isNull() | (time > watermark))
+    watermark = F.lit(latest).cast(source.schema[time_col].dataType)
+    later = source.where(time > watermark)
     if strict:
         return later
     # Only rows of one instant are compared, so the bulk of the load is never shuffled.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -68,20 +68,27 @@ class Warehouse:
         writer.parquet(path)
         return counter.rows()
 
-    def _point(self, table: str, path: str) -> None:
-        self.spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT * FROM parquet.`{path}`")
+    def _point(self, table: str, path: str, columns: Sequence[str] = ()) -> None:
+        listed = ", ".join(f"`{c}`" for c in columns) or "*"
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT {listed} FROM parquet.`{path}`")
 
     def publish(
         self, df: DataFrame, table: str, run_id: str | None = None,
-        partition_by: Sequence[str] = (),
+        partition_by: Sequence[str] = (), projections: Mapping[str, Sequence[str]] | None = None,
     ) -> int:
-        """Replace a table; returns its row count."""
+        """Replace a table; returns its row count.
+
+        ``projections`` names further tables that are columns of this one: they are pointed at
+        the same version instead of being written again.
+        """
         path = f"{self.root}/{table}/{run_id or uuid.uuid4().hex}"
         written = self._write(df, path, partition_by, "errorifexists")
         stored = self.spark.read.schema(df.schema).parquet(path).count()
         if stored != written:
             raise PublishError(f"{table}: wrote {written} rows but stored {stored}")
         self._point(table, path)
+        for name, columns in (projections or {}).items():
+            self._point(name, path, columns)
         return written
 
     def append(self, df: DataFrame, table: str) -> int:
