@@ -37,6 +37,12 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     )
 
 
+def wall_time(df: DataFrame, *columns: str) -> DataFrame:
+    """Turn texts and zoned timestamps into zone-less ones, keeping the time on the clock."""
+    zoned = [c for c in columns if dict(df.dtypes)[c] != "timestamp_ntz"]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
+
+
 def require_columns(df: DataFrame, wanted: Sequence[str]) -> None:
     """Fail loudly when a column is absent, where filling it would hide the mistake."""
     missing = [c for c in wanted if c not in df.columns]

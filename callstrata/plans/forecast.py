@@ -16,7 +16,7 @@ from callstrata.operators.grid import expand_hours, fill_grid
 from callstrata.operators.joins import lookup_join
 from callstrata.operators.windows import share
 from callstrata.plans.history import LAG_DAYS, daily_volumes
-from callstrata.plans.models import CALENDAR, predict_volume
+from callstrata.plans.models import CALENDAR, aht_features, predict_volume
 from callstrata.schemas import (
     FOLDED_SERVICE, FORECAST_COLUMNS, FORECAST_HIGH, FORECAST_LOW, SEGMENT, SERVICE,
 )
@@ -188,35 +188,76 @@ def service_segments(hourly: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def open_weight(ts: Column, weight: Column, closed_on: Column | None = None) -> Column:
-    """The weight of an hour, 0 on Saturdays and Sundays and outside 06-18."""
+def open_weight(ts: Column, weight: Column, day_off: Column) -> Column:
+    """The weight of an hour, 0 on weekends, outside 06-18 and on other days off."""
     closed = (
         (F.weekday(ts) >= 5) | (F.hour(ts) < OPEN_FROM_HOUR) | (F.hour(ts) >= OPEN_TO_HOUR)
+        | day_off
     )
-    if closed_on is not None:
-        closed = closed | closed_on
     return F.when(closed, F.lit(0.0)).otherwise(F.coalesce(weight, F.lit(0.0)))
 
 
+def model_band(
+    daily: DataFrame, residuals: DataFrame, settings: Settings | None = None
+) -> DataFrame:
+    """Replace the fixed bounds by the volume plus the residual quantiles of its service."""
+    joined = lookup_join(daily, residuals, FOLDED_SERVICE, spread_by=["ds"], settings=settings)
+
+    def bound(residual: str) -> Column:
+        shifted = F.col("Prognos_Volym") + F.coalesce(residual, F.lit(0.0))
+        return F.greatest(shifted, F.lit(0.0)).cast("bigint")
+
+    return joined.withColumns({
+        FORECAST_LOW: bound("residual_low"), FORECAST_HIGH: bound("residual_high"),
+    }).select(*daily.columns)
+
+
+def model_talk_times(
+    daily: DataFrame, segments: DataFrame, model: PipelineModel,
+    settings: Settings | None = None,
+) -> DataFrame:
+    """Expected talk time in whole seconds per forecast day and segment."""
+    pairs = lookup_join(
+        daily.select("ds", FOLDED_SERVICE), segments, FOLDED_SERVICE, "inner",
+        spread_by=["ds"], settings=settings,
+    ).select("ds", SEGMENT).distinct()
+    scored = model.transform(aht_features(calendar_features(pairs)))
+    seconds = round_half_even(F.greatest(F.col("prediction"), F.lit(0.0))).cast("int")
+    return scored.select("ds", SEGMENT, seconds.alias("talk_time"))
+
+
 def allocate_hours(
     daily: DataFrame, segments: DataFrame, shape: DataFrame, run_date: date | Column,
-    settings: Settings | None = None,
+    settings: Settings | None = None, talk_times: DataFrame | None = None,
+    close_holidays: bool = False,
 ) -> DataFrame:
     """Spread a daily forecast over opening hours and segments.
 
     Weights are normalised over the hours and segments of a (day, service), so a day without any
-    open hour loses its volume. The groups hold 24 rows per segment.
+    open hour loses its volume. The groups hold 24 rows per segment. Talk time is a constant
+    unless ``talk_times`` per (ds, segment) are given; holidays are open unless closed here.
     """
+    day_off = F.lit(False)
+    if close_holidays:
+        daily = calendar_features(daily).select(*daily.columns, "ar_arbetsdag")
+        day_off = F.col("ar_arbetsdag") == 0
+    split = lookup_join(
+        daily, segments, FOLDED_SERVICE, "left", spread_by=["ds"], settings=settings
+    )
+    talk_time = F.lit(TALK_TIME_SEC)
+    if talk_times is not None:
+        split = lookup_join(
+            split, talk_times, ["ds", SEGMENT], spread_by=[FOLDED_SERVICE], settings=settings
+        )
+        talk_time = F.coalesce("talk_time", talk_time)
     expanded = expand_hours(
-        lookup_join(daily, segments, FOLDED_SERVICE, "left", spread_by=["ds"], settings=settings)
-        .withColumnRenamed("ds", "datum"),
-        "datum", "DatumTid",
+        split.withColumnRenamed("ds", "datum"), "datum", "DatumTid"
     ).withColumns({"veckodag": F.weekday("DatumTid"), "timme": F.hour("DatumTid")})
     weighted = lookup_join(
         expanded, shape, ["veckodag", "timme", FOLDED_SERVICE], "left",
         spread_by=["DatumTid", SEGMENT], settings=settings,
     ).withColumn(
-        "weight", open_weight(F.col("DatumTid"), F.col("Avg_Hourly_Proportion"))
+        "weight", open_weight(F.col("DatumTid"), F.col("Avg_Hourly_Proportion"), day_off)
     )
     group = ["datum", FOLDED_SERVICE]
     normal = weighted.withColumn("weight", share(F.col("weight"), group))
@@ -230,7 +271,7 @@ def allocate_hours(
     day = run_date if isinstance(run_date, Column) else F.lit(run_date)
     return parts.withColumns(rounded).withColumns({
         SERVICE: F.col(FOLDED_SERVICE),
-        "Prognos_Snitt_Taltid_Sek": F.lit(TALK_TIME_SEC),
+        "Prognos_Snitt_Taltid_Sek": talk_time,
         "ForecastRunDate": day.cast("date"),
     }).select(*FORECAST_COLUMNS)
 
@@ -245,11 +286,24 @@ def spread_checksum(daily: DataFrame, hourly_forecast: DataFrame) -> DataFrame:
 
 def create_forecast(
     hourly: DataFrame, start: date | Column, run_date: date | Column, settings: Settings,
-    model: PipelineModel | None = None,
+    model: PipelineModel | None = None, handling: PipelineModel | None = None,
+    residuals: DataFrame | None = None, close_holidays: bool = False,
 ) -> DataFrame:
-    """Hourly forecast table from the hourly history."""
+    """Hourly forecast table from the hourly history.
+
+    Bounds and talk times are constants unless residuals and a handling model are given.
+    """
     daily = daily_history(hourly, start)
-    forecast = recursive_forecast(daily, start, settings.horizon_days, model)
+    # Built by a long plan and read several times below: a few rows per service.
+    forecast = cut_lineage(recursive_forecast(daily, start, settings.horizon_days, model))
+    if residuals is not None:
+        forecast = model_band(forecast, residuals, settings)
     shape = hourly_shape(hourly, daily, settings)
-    recent = hourly.where(F.col("ds") >= F.date_sub(_day(start), LOOKBACK_DAYS).cast("timestamp_ntz"))
-    return allocate_hours(forecast, service_segments(recent), shape, run_date, settings)
+    since = F.date_sub(_day(start), LOOKBACK_DAYS).cast("timestamp_ntz")
+    segments = service_segments(hourly.where(F.col("ds") >= since))
+    talk_times = None
+    if handling is not None:
+        talk_times = model_talk_times(forecast, segments, handling, settings)
+    return allocate_hours(
+        forecast, segments, shape, run_date, settings, talk_times, close_holidays
+    )

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callstrata.operators.columns import wall_time
 from callstrata.plans import calls as C
 from callstrata.plans import customers as D
 from callstrata.plans import evaluate as E
@@ -29,7 +30,8 @@ class Jobs:
         self.warehouse = Warehouse(spark, settings.warehouse_dir)
 
     def _bronze(self, table: str) -> DataFrame:
-        return self.warehouse.read(self.settings.bronze_tables[table])
+        df = self.warehouse.read(self.settings.bronze_tables[table])
+        return wall_time(df, "Created") if "Created" in df.columns else df
 
     def _table(self, table: str) -> DataFrame:
         return self.warehouse.read(self.settings.table_names[table])
@@ -113,12 +115,24 @@ class Jobs:
         ).first()["d"]
         return last or settings.fallback_today
 
-    def forecast(self, run_date: date) -> dict[str, int]:
-        """Publish the live forecast and add the run to the archive."""
+    def forecast(
+        self, run_date: date, modelled: bool = False, close_holidays: bool = False
+    ) -> dict[str, int]:
+        """Publish the live forecast and add the run to the archive.
+
+        ``modelled`` takes bounds and talk times from the trained models instead of constants.
+        """
         settings = self.settings
         model = load_model(self.spark, self._model("volume_operative"))
+        handling = residuals = None
+        if modelled:
+            handling = load_model(self.spark, self._model("aht"))
+            residuals = self.spark.read.parquet(self._model("volume_residuals"))
         hourly = self._table("Hourly_Aggregated_History")
-        forecast = create_forecast(hourly, self.forecast_start(), run_date, settings, model)
+        forecast = create_forecast(
+            hourly, self.forecast_start(), run_date, settings, model, handling, residuals,
+            close_holidays,
+        )
         rows = {"Operative_Forecast": self._publish(forecast, "Operative_Forecast")}
         rows["Forecast_Archive"] = self.warehouse.archive(
             self._table("Operative_Forecast"), settings.table_names["Forecast_Archive"],

@@ -493,6 +493,8 @@ def all_sql() -> dict[str, str]:
         count(*) AS n
       FROM lineitem GROUP BY ALL"""
 
+    sql["wall_time"] = "SELECT event_id, ts AS written, ts FROM events"
+
     sql["column_projection"] = f"""WITH {CUSTOMERS}
       SELECT "CustomerId", "Name" AS "Kundens_namn", "BillingType" AS "_r_typ",
              coalesce("OrganisationNumber", 'Oklart') AS "OrganisationNumber"

@@ -45,6 +45,12 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
 
 
+def _drop_views(spark, *names):
+    """Leave no trace in the catalog; what has been read from a view stays readable."""
+    for name in names:
+        spark.sql(f"DROP VIEW IF EXISTS `{name}`")
+
+
 # ---- sources, run window -------------------------------------------------------------------
 
 def run_window(spark, sf):
@@ -93,6 +99,7 @@ def bronze_load(spark, sf):
     runs = [
         ingest.load_all(spark, warehouse, specs).withColumn("run", F.lit(i)) for i in (1, 2)
     ]
+    _drop_views(spark, *[spec.target for spec in specs])
     return runs[0].unionByName(runs[1]).select(
         "run", F.regexp_replace("target", f"_{tag}$", "").alias("target"), "load_type", "status",
         "written",
@@ -110,9 +117,11 @@ def forecast_archive(spark, sf):
             forecasts.where(F.col("ForecastRunDate") == F.lit(run)), f"archive_{tag}",
             "ForecastRunDate",
         )
-    return warehouse.read(f"archive_{tag}").groupBy("ForecastRunDate").agg(
+    stored = warehouse.read(f"archive_{tag}").groupBy("ForecastRunDate").agg(
         F.count(F.lit(1)).alias("days"), F.sum("Prognos_Antal_Samtal").alias("volume")
     )
+    _drop_views(spark, f"archive_{tag}")
+    return stored
 
 
 # ---- calls and dimensions ------------------------------------------------------------------
@@ -256,6 +265,15 @@ def number_rounding(spark, sf):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def wall_time(spark, sf):
+    """Times written with a zone offset keep the time on the clock."""
+    texts = t.table(spark, sf, "events").select(
+        "event_id", F.concat(F.col("ts").cast("string"), F.lit("+05:30")).alias("written"),
+        "ts",
+    )
+    return cols.wall_time(texts, "written", "ts")
+
+
 def column_projection(spark, sf):
     """Rename, default, keep existing columns and fold names."""
     customer = t.customers(spark, sf)
@@ -505,7 +523,7 @@ def all_queries() -> dict:
         collapse_calls, customer_mapping, number_owner, enrich_calls, flag_redials,
         training_data, abandoned_report, call_measures, dim_customer, dim_phone_lookup,
         explode_numbers, dim_queue, anti_semi_filters, row_filters, keyword_category,
-        subsidiary_flag, string_cleaning, number_rounding, column_projection,
+        subsidiary_flag, string_cleaning, number_rounding, column_projection, wall_time,
         customer_profiles, customer_segments, segment_histogram, peak_pattern, exact_quantiles,
         call_length_class, monthly_peaks, kmeans_segments,
         calendar_features, day_parts, holiday_orders, daily_lags, hourly_history,

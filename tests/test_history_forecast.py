@@ -150,6 +150,24 @@ def test_allocation(spark):
     assert check["Mal_Volym"] == 1570 and abs(check["Slut_Volym"] - 1000) <= 24
 
 
+def test_allocation_options(spark):
+    hourly, _ = history(spark)
+    ddl = "ds DATE, Tj_nstTyp STRING, Prognos_Volym BIGINT, `Prognos_Låg` BIGINT, `Prognos_Hög` BIGINT"
+    daily = frame(spark, ddl, (day("2024-05-01"), "A", 100, 80, 120), (day("2024-05-02"), "A", 100, 80, 120))
+    residuals = frame(spark, "Tj_nstTyp STRING, residual_low DOUBLE, residual_high DOUBLE", ("A", -150.0, 7.6))
+    banded = P.model_band(daily, residuals)
+    assert {(r["Prognos_Låg"], r["Prognos_Hög"]) for r in banded.collect()} == {(0, 107)}
+    talk = frame(spark, "ds DATE, Behavior_Segment STRING, talk_time INT", (day("2024-05-02"), "x", 240))
+    out = dicts(P.allocate_hours(banded, P.service_segments(hourly), P.hourly_shape(hourly, hourly),
+                                 day("2024-05-01"), talk_times=talk, close_holidays=True))
+    volume = Counter()
+    for r in out:
+        volume[r["DatumTid"].day] += r["Prognos_Antal_Samtal"]
+    assert volume[1] == 0 and abs(volume[2] - 100) <= 3  # the first of May is closed
+    seconds = {(r["DatumTid"].day, r["Behavior_Segment"], r["Prognos_Snitt_Taltid_Sek"]) for r in out}
+    assert seconds == {(1, "x", 180), (1, "y", 180), (2, "x", 240), (2, "y", 180)}
+
+
 def test_training_sets_lag_by_days(spark):
     hourly, rows = history(spark, days=40)
     counts = daily_counts(rows)

@@ -149,6 +149,9 @@ def test_full_run(spark, tmp_path):
     assert jobs.forecast(run)["Operative_Forecast"] == jobs.forecast(run)["Forecast_Archive"]
     forecast = spark.table("Operative_Forecast")
     assert forecast.columns == FORECAST_COLUMNS
+    jobs.forecast(run, modelled=True, close_holidays=True)
+    talk = {r[0] for r in spark.table("Operative_Forecast").select("Prognos_Snitt_Taltid_Sek").distinct().collect()}
+    assert talk and talk != {180} and all(0 <= s < 900 for s in talk)
     compared, summary = jobs.evaluate()
     assert compared.count() == 7
     score = summary.first()
