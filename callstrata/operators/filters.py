@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callstrata.schemas import DAY
+
 
 def not_listed(key: Column, listed: Sequence) -> Column:
     """SQL ``NOT IN``: a null key is dropped; an empty list only drops nulls."""
@@ -30,3 +32,14 @@ def on_days(ts: Column, first: Column, last: Column) -> Column:
     start = first.cast("date").cast("timestamp_ntz")
     end = F.date_add(last.cast("date"), 1).cast("timestamp_ntz")
     return in_period(ts, start, end)
+
+
+def latest_rows(df: DataFrame) -> DataFrame:
+    """The rows of the last day of a table partitioned by day; any other table unchanged.
+
+    The day is looked up first, from the partition values alone, and enters as a literal.
+    """
+    if DAY not in df.columns:
+        return df
+    last = df.agg(F.max(DAY).alias("last")).first()["last"]
+    return df if last is None else df.where(F.col(DAY) == F.lit(last))

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callstrata.operators.columns import wall_time
 from callstrata.plans import calls as C
 from callstrata.plans import customers as D
 from callstrata.plans import evaluate as E
@@ -17,6 +16,7 @@ from callstrata.plans import segments as S
 from callstrata.plans.cases import fact_cases
 from callstrata.plans.forecast import create_forecast
 from callstrata.plans.run_window import resolve_run_window, within
+from callstrata.session import cut_lineage
 from callstrata.settings import Settings
 from callstrata.sources.ingest import bronze_specs, load_all
 from callstrata.sources.readers import SourceSpec, read_exclusion_list
@@ -30,8 +30,7 @@ class Jobs:
         self.warehouse = Warehouse(spark, settings.warehouse_dir)
 
     def _bronze(self, table: str) -> DataFrame:
-        df = self.warehouse.read(self.settings.bronze_tables[table])
-        return wall_time(df, "Created") if "Created" in df.columns else df
+        return self.warehouse.read(self.settings.bronze_tables[table])
 
     def _table(self, table: str) -> DataFrame:
         return self.warehouse.read(self.settings.table_names[table])
@@ -48,7 +47,9 @@ class Jobs:
         legs = self._bronze("cdr")
         window = resolve_run_window(legs, settings)
         collapsed = C.collapse_calls(within(legs, "Created", window), settings.exclude_queue_ids)
-        mapping = D.one_row_per_number(D.customer_mapping(self._bronze("customers"), settings))
+        mapping = cut_lineage(  # read twice: measured, then joined
+            D.one_row_per_number(D.customer_mapping(self._bronze("customers"), settings))
+        )
         excluded = read_exclusion_list(self.spark, settings.exclude_numbers_file)
         enriched = C.flag_redials(
             C.enrich_calls(collapsed, mapping, settings, excluded), settings.redial_threshold_sec

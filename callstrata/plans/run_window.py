@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callstrata.operators.filters import in_period, latest_rows
+from callstrata.schemas import DAY
 from callstrata.settings import Settings
 
 
@@ -45,7 +47,7 @@ def resolve_run_window(
     calls: DataFrame, settings: Settings, created: str = "Created"
 ) -> RunWindow:
     """The window as plain dates, so later filters are literals that prune files and folders."""
-    row = run_window(calls, settings, created).first()
+    row = run_window(latest_rows(calls), settings, created).first()
     return RunWindow(row["start"], row["today"])
 
 
@@ -55,7 +57,8 @@ def within(df: DataFrame, ts: str, window: RunWindow | DataFrame) -> DataFrame:
         start, today = F.lit(window.start), F.lit(window.today)
     else:
         start, today = window.select("start").scalar(), window.select("today").scalar()
-    at = F.col(ts)
+    if DAY in df.columns and DAY != ts:
+        df = df.where((F.col(DAY) >= start) & (F.col(DAY) < today))
     return df.where(
-        (at >= start.cast("timestamp_ntz")) & (at < today.cast("timestamp_ntz"))
+        in_period(F.col(ts), start.cast("timestamp_ntz"), today.cast("timestamp_ntz"))
     )

@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callstrata.operators.columns import wall_time
+from callstrata.operators.filters import latest_rows
+from callstrata.schemas import DAY
 from callstrata.settings import Settings
 from callstrata.sources.readers import SourceSpec, read_source
 from callstrata.sources.warehouse import Warehouse
@@ -41,7 +44,9 @@ def high_watermark(target: DataFrame | None, time_col: str) -> str | None:
     """Latest time stored in the target as text; None for a missing or empty target."""
     if target is None:
         return None
-    return target.agg(F.max(time_col).cast("string").alias("latest")).first()["latest"]
+    return latest_rows(target).agg(
+        F.max(time_col).cast("string").alias("latest")
+    ).first()["latest"]
 
 
 def new_rows(
@@ -66,6 +71,8 @@ def new_rows(
         return later
     # Only rows of one instant are compared, so the bulk of the load is never shuffled.
     tied, stored = source.where(time == watermark), target.where(time == watermark)
+    if DAY in target.columns:
+        stored = stored.where(F.col(DAY) == F.to_date(watermark))
     if key_cols:
         missed = tied.join(stored.select(*key_cols).distinct(), list(key_cols), "left_anti")
     else:
@@ -79,9 +86,10 @@ def load_one(
     """Load one table and return the number of rows written."""
     source = read_source(spark, spec.source)
     if spec.load_type == INCREMENTAL:
+        source = wall_time(source, spec.time_col)
         target = warehouse.read_or_none(spec.target)
         fresh = new_rows(source, target, spec.time_col, spec.key_cols, strict)
-        return warehouse.append(fresh, spec.target)
+        return warehouse.append(fresh, spec.target, spec.time_col)
     if spec.load_type == FULL:
         if source.isEmpty():
             return 0  # an empty source never empties the target

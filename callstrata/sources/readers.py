@@ -28,7 +28,10 @@ def jdbc_source(
     upper: str | None = None, partitions: int = 64, fetch_size: int = 50_000, **options: str,
 ) -> SourceSpec:
     """A database table read in parallel ranges of ``partition_column``."""
-    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **options}
+    opts = {
+        "url": url, "dbtable": table, "fetchsize": str(fetch_size),
+        "preferTimestampNTZ": "true", **options,
+    }
     if partition_column:
         opts |= {
             "partitionColumn": partition_column, "lowerBound": str(lower),

@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from callstrata.schemas import DAY
 from callstrata.sources.readers import is_missing
 
 
@@ -91,10 +92,15 @@ class Warehouse:
             self._point(name, path, columns)
         return written
 
-    def append(self, df: DataFrame, table: str) -> int:
-        """Add rows to a table, creating it on first use; returns the number of rows added."""
+    def append(self, df: DataFrame, table: str, time_col: str) -> int:
+        """Add rows to a table, creating it on first use; returns the number of rows added.
+
+        The table is partitioned by day, so that probing its latest time and reading a period
+        touch the days concerned and not the whole past.
+        """
         path = f"{self.root}/{table}/appended"
-        written = self._write(df, path, (), "append")
+        dated = df.withColumn(DAY, F.to_date(time_col))
+        written = self._write(dated, path, [DAY], "append")
         self._point(table, path)
         return written
 

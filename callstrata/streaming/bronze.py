@@ -7,18 +7,24 @@ the same step is a stream whose checkpoint remembers the files already taken.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from callstrata.schemas import DAY
+
 
 def read_arriving(spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet") -> DataFrame:
     return spark.readStream.schema(schema).format(file_format).load(path)
 
 
-def append_arriving(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append everything that has arrived and stop; run again to take the next files."""
+def append_arriving(
+    stream: DataFrame, target: str, checkpoint: str, time_col: str = "Created"
+) -> StreamingQuery:
+    """Append everything that has arrived, by day, and stop; run again to take the next files."""
     return (
-        stream.writeStream.format("parquet").outputMode("append")
+        stream.withColumn(DAY, F.to_date(time_col))
+        .writeStream.format("parquet").outputMode("append").partitionBy(DAY)
         .option("path", target).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -73,7 +73,7 @@ def daily_counts(rows):
 
 
 def brute_forecast(rows, start, horizon, statistic_days=35):
-    """The reference rule, one day after the other."""
+    """The rule applied one day after the other."""
     series, result = daily_counts(rows), {}
     for service in sorted({s for s, _ in series}):
         known = {d: n for (s, d), n in series.items() if s == service and d < start}

@@ -5,13 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from callstrata.plans.jobs import Jobs
+from callstrata.plans.run_window import RunWindow, resolve_run_window, within
 from callstrata.schemas import BRONZE, FORECAST_COLUMNS
 from callstrata.settings import VALIDATION, Settings, ValidationPeriod
 from callstrata.sources import ingest
 from callstrata.sources.readers import SourceSpec, jdbc_source, parquet_source, read_exclusion_list
 from callstrata.sources.warehouse import PublishError, Warehouse
 from callstrata.streaming import bronze as stream
-from tests.helpers import at, bronze, day, dicts, frame
+from tests.helpers import at, bronze, day, dicts, frame, plan
 
 
 @pytest.fixture
@@ -67,6 +68,20 @@ def test_incremental_load_keeps_rows_with_an_equal_time(spark, tmp_path, warehou
     assert ingest.new_rows(source, source.limit(0), "t").count() == 6
 
 
+def test_growing_tables_are_read_by_day(spark, tmp_path, warehouse):
+    drop_views(spark, "g1")
+    path = str(tmp_path / "src")
+    rows = [(i, at("2024-01-01") + timedelta(hours=i)) for i in range(100)]
+    frame(spark, "id INT, Created TIMESTAMP_NTZ", *rows).write.parquet(path)
+    ingest.load_one(spark, warehouse, ingest.IngestSpec(parquet_source(path), "g1", ingest.INCREMENTAL, "Created"))
+    target = warehouse.read("g1")
+    assert ingest.high_watermark(target, "Created") == "2024-01-05 03:00:00"
+    window = resolve_run_window(target, Settings(operational_months_ago=0))
+    assert (window.start, window.today) == (day("2024-01-01"), day("2024-01-06"))
+    wanted = within(target, "Created", RunWindow(day("2024-01-02"), day("2024-01-03")))
+    assert wanted.count() == 24 and "PartitionFilters: [isnotnull(Datum" in plan(wanted)
+
+
 def test_full_load_guard_and_status(spark, tmp_path, warehouse):
     drop_views(spark, "f1", "f2")
     full, empty = str(tmp_path / "full"), str(tmp_path / "empty")
