@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callstrata.functions.numbers import at_least_zero
-from callstrata.functions.text import digits_only, has_parent, is_blank, status_is, trim_blanks
+from callstrata.functions.text import digits_only, has_parent, status_is, trim_blanks
 from callstrata.operators.columns import keep_existing
 from callstrata.operators.filters import not_listed
 from callstrata.operators.joins import lookup_join, map_values
@@ -65,7 +65,7 @@ def enrich_calls(
     """
     number = trim_blanks(F.col("LandingNumber"))
     cleaned = calls.withColumn("LandingNumber", number).where(
-        F.coalesce(~is_blank(F.col("LandingNumber")), F.lit(True))
+        F.col("LandingNumber").isNull() | (F.col("LandingNumber") != "")
     )
     if excluded is not None:
         cleaned = lookup_join(
@@ -86,15 +86,15 @@ def enrich_calls(
 def flag_redials(calls: DataFrame, threshold_sec: int = 300, slot_sec: int | None = None) -> DataFrame:
     """Add ``is_redial``: the caller's previous call was abandoned in the same queue and ended
     up to ``threshold_sec`` earlier. Numbers of fewer than 7 digits are never redials."""
-    digits = digits_only(F.col("CallerNr"))
+    digits = F.col("_digits")  # a column of its own, so the pattern runs once per call
     return flag_follow_ups(
-        calls,
+        calls.withColumn("_digits", digits_only(F.col("CallerNr"))),
         party=F.when(F.length(digits) >= 7, digits),
         at="Created", tie="CallId",
         previous_hit=status_is(F.col("Status"), ABANDONED),
         same_as_previous="QueueId",
         within_sec=threshold_sec, flag="is_redial", slot_sec=slot_sec,
-    )
+    ).drop("_digits")
 
 
 def with_date(df: DataFrame, ts: str = "Created", name: str = "Datum") -> DataFrame:

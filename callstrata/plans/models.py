@@ -6,7 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, StringIndexer, VarianceThresholdSelector, VectorAssembler,
+)
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +48,11 @@ def volume_features(df: DataFrame, lags: Sequence[int] = LAG_DAYS) -> DataFrame:
     filled = {
         n: F.log1p(F.coalesce(F.col(n), *recent, F.lit(0)).cast("double")).alias(n) for n in names
     }
-    return df.withColumns({f"{n}_x": col for n, col in filled.items()})
+    switches = {
+        **{f"weekday_{k}_x": F.expr(f"CAST(veckodag = {k} AS DOUBLE)") for k in range(1, 7)},
+        **{f"month_{k}_x": F.expr(f"CAST(manad = {k} AS DOUBLE)") for k in range(2, 13)},
+    }
+    return df.withColumns({f"{n}_x": col for n, col in filled.items()} | switches)
 
 
 def aht_features(df: DataFrame) -> DataFrame:
@@ -77,16 +83,24 @@ def _tree_pipeline(
     ])
 
 
-def _tweedie_pipeline(lags: Sequence[int]) -> Pipeline:
-    categories, numeric = _inputs("volume", lags)
-    codes = [f"{c}_code" for c in categories]
-    hot = [f"{c}_hot" for c in categories]
+def _tweedie_pipeline(lags: Sequence[int], penalty: float = 1e-5) -> Pipeline:
+    """Weekday and month enter as switches with one left out, and of the other calendar columns
+    only those that do not follow from them; otherwise the fit would be singular. The slight
+    penalty settles what is left: service switches add up to the intercept, and closed days,
+    which never have calls, would push their switch without end."""
+    switches = [*[f"weekday_{k}_x" for k in range(1, 7)], *[f"month_{k}_x" for k in range(2, 13)]]
+    numeric = ["ar_arbetsdag", *[f"{n}_x" for n in lag_columns(lags)]]
     return Pipeline(stages=[
-        *_codes(categories),
-        OneHotEncoder(inputCols=codes, outputCols=hot),
-        VectorAssembler(inputCols=[*hot, *numeric], outputCol="features"),
+        *_codes([FOLDED_SERVICE]),
+        OneHotEncoder(inputCols=[f"{FOLDED_SERVICE}_code"], outputCols=[f"{FOLDED_SERVICE}_hot"]),
+        VectorAssembler(
+            inputCols=[f"{FOLDED_SERVICE}_hot", *switches, *numeric], outputCol="all"
+        ),
+        # Months the history does not reach are all 0 and have to go.
+        VarianceThresholdSelector(featuresCol="all", outputCol="features"),
         GeneralizedLinearRegression(
-            labelCol=LABEL, family="tweedie", variancePower=1.5, linkPower=0.0, maxIter=25,
+            labelCol=LABEL, family="tweedie", variancePower=1.5, linkPower=0.0,
+            regParam=penalty, maxIter=25,
         ),
     ])
 

@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def call_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as one-leg calls."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     kind, user = F.col("event_type"), F.col("user_id").cast("string")
     talk = F.floor(F.col("value") * 10).cast("bigint")
     number = (
@@ -38,7 +38,10 @@ def call_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", F.concat(F.lit(" 031"), user))
         .when(kind == "purchase", F.concat(F.lit("0771"), F.floor(k / 4).cast("string")))
     )
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("int")
+    )
+    return events.select(
         F.col("event_id").cast("string").alias("CallId"),
         F.concat(F.lit("C"), F.col("event_id").cast("string")).alias("CaseId"),
         F.col("ts").alias("Created"),
