@@ -85,6 +85,6 @@ def flag_follow_ups(
     )
     return (
         placed.withColumn(flag, F.coalesce(hit, F.lit(False)).cast("int"))
-        .where(F.col("_slot") == F.col("_own"))
+        .where(F.col("_slot").eqNullSafe(F.col("_own")))
         .drop("_party", "_sec", "_own", "_slot", "_alone")
     )

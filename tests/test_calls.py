@@ -67,6 +67,13 @@ def test_redial_edges(spark):
     assert got == {f"{i:03d}": flag for i, (*_, flag) in enumerate(REDIAL)}
 
 
+def test_redial_keeps_every_call(spark):
+    calls = silver(spark, {"CallerNr": "1234567", "Created": None}, {"CallerNr": None, "Created": None},
+                   {"CallerNr": "1234567", "Created": at("2024-01-01 03:59:59")})
+    assert sorted((r["CallId"], r["is_redial"]) for r in C.flag_redials(calls).collect()) == [
+        ("0", 0), ("1", 0), ("2", 0)]
+
+
 @pytest.mark.parametrize("slot", [300, 700, 3600, 90_000])
 def test_redial_equals_one_unbroken_window_for_a_hot_caller(spark, in_stockholm, slot):
     rng = random.Random(slot)
