@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from callstrata.llm import decontaminate as D
 from callstrata.llm import lines as L
+from callstrata.llm import packing as P
 from callstrata.llm import quality as Q
 from callstrata.llm import simhash as S
+from callstrata.llm import token_store as T
 from callstrata.llm.common import table
+from callstrata.llm.tokens import with_crc
+from callstrata.session import use_checkpoint_dir
+
+END_ID = 2
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_quality(spark, sf):
@@ -19,12 +34,27 @@ def op1_quality(spark, sf):
     )
 
 
+def op2_token_store(spark, sf):
+    path = f"{use_checkpoint_dir(spark).rstrip('/')}/callstrata/tokens-{uuid.uuid4().hex}"
+    T.write_tokens(table(spark, sf, "documents"), path, tokenizer_file("word_bpe_49k.json"), END_ID)
+    return with_crc(T.read_tokens(spark, path))
+
+
 def op3_simhash(spark, sf):
     found = S.near_duplicates(table(spark, sf, "documents"))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_packing(spark, sf):
+    return with_crc(P.pack(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), END_ID))
+
+
+def op8_decontamination(spark, sf):
+    """Documents that hold a benchmark passage, with the item and where it lies."""
+    return D.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("text_key")
+
+
 def op9_line_dedup(spark, sf):
     return L.drop_boilerplate(table(spark, sf, "documents").select("doc_id", "text", "source")).select(
         "doc_id", "source", "text", F.col("__lines_dropped").cast("bigint").alias("lines_dropped"))
@@ -57,7 +87,9 @@ FROM marked GROUP BY doc_id, source
 
 def all_queries():
     return {
-        "op1_quality": op1_quality, "op3_simhash": op3_simhash, "op9_line_dedup": op9_line_dedup,
+        "op1_quality": op1_quality, "op2_token_store": op2_token_store, "op3_simhash": op3_simhash,
+        "op5_packing": op5_packing, "op8_decontamination": op8_decontamination,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 
