@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from callstrata.session import cut_lineage as stored
 
-__all__ = ["Codes", "DOC_COLUMNS", "anti", "empty_as_blank", "hot_join", "semi", "sized", "stored", "table", "text_key"]
+__all__ = ["Codes", "DOC_COLUMNS", "anti", "empty_as_blank", "hot_join", "mixed", "semi", "sized", "stored", "table", "text_key"]
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A side of two or three numbers per row may be broadcast up to so many rows (about 50 MB).
@@ -58,30 +58,34 @@ def anti(docs: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return _matched(docs, keys, on, "left_anti")
 
 
-def hot_join(rows: DataFrame, groups: DataFrame, key: str, count: str, spread: Column) -> DataFrame:
-    """Left join rows to groups (unique, non-null key; `count` = rows of the key), hot keys apart.
+def hot_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str, spread: Column) -> DataFrame:
+    """Left join rows to groups (unique, non-null keys; `count` = rows of the key), hot keys apart.
 
     Keys with more than a thousandth of all rows number below a thousand: they are broadcast, and
     their rows carry a salt that spreads them over the shuffle of the rest instead of piling up.
     """
-    values = [c for c in groups.columns if c not in (key, count)]
+    values = [c for c in groups.columns if c not in (*keys, count)]
     total = groups.agg(F.sum(count).alias("n")).first()["n"] or 0
     limit = max(1_000, total // HOT_SHARE)
-    hot = groups.where(F.col(count) > limit).select(
-        F.col(key).alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in values]
-    )
-    cold = groups.where(F.col(count) <= limit).select(
-        F.col(key).alias("__cold"), F.lit(0).alias("__zero"),
-        *[F.col(c).alias(f"__cold_{c}") for c in values]
-    )
-    marked = rows.join(F.broadcast(hot), rows[key] == F.col("__hot"), "left").withColumn(
+
+    def side(prefix: str, part: DataFrame) -> DataFrame:
+        return part.select(
+            *[F.col(k).alias(f"__{prefix}_key_{k}") for k in keys], F.lit(0).alias(f"__{prefix}"),
+            *[F.col(c).alias(f"__{prefix}_{c}") for c in values])
+
+    def same(prefix: str) -> Column:
+        condition = F.lit(True)
+        for k in keys:
+            condition = condition & (F.col(k) == F.col(f"__{prefix}_key_{k}"))
+        return condition
+
+    hot = side("hot", groups.where(F.col(count) > limit))
+    cold = side("cold", groups.where(F.col(count) <= limit))
+    marked = rows.join(F.broadcast(hot), same("hot"), "left").withColumn(
         "__salt",
-        F.when(F.col("__hot").isNull() & F.col(key).isNotNull(), 0)
-        .otherwise((F.pmod(F.xxhash64(spread), F.lit(4096)) + 1).cast("int")),
-    )
-    joined = marked.join(
-        cold, (F.col(key) == F.col("__cold")) & (F.col("__salt") == F.col("__zero")), "left"
+        F.when(F.col("__hot").isNull(), 0).otherwise((F.pmod(F.xxhash64(spread), F.lit(4096)) + 1).cast("int")),
     )
+    joined = marked.join(cold, same("cold") & (F.col("__salt") == F.col("__cold")), "left")
     return joined.select(
         *[rows[c] for c in rows.columns],
         *[F.coalesce(F.col(f"__hot_{c}"), F.col(f"__cold_{c}")).alias(c) for c in values],

@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from callstrata.llm import decontaminate as D
+from callstrata.llm import licenses as N
 from callstrata.llm import lines as L
 from callstrata.llm import packing as P
 from callstrata.llm import quality as Q
 from callstrata.llm import simhash as S
+from callstrata.llm import spans as R
 from callstrata.llm import token_store as T
 from callstrata.llm.common import table
 from callstrata.llm.tokens import with_crc
@@ -46,10 +48,22 @@ def op3_simhash(spark, sf):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_repeated_spans(spark, sf):
+    """Documents that repeat passages, and the documents that keep them, by sentence numbers."""
+    return R.repeated_sentences(table(spark, sf, "documents")).groupBy("doc_id", "first_doc_id").agg(
+        F.count(F.lit(1)).alias("sentences"), F.min("sentence").cast("bigint").alias("first_sentence"),
+        F.max("sentence").cast("bigint").alias("last_sentence"))
+
+
 def op5_packing(spark, sf):
     return with_crc(P.pack(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), END_ID))
 
 
+def op6_licenses(spark, sf):
+    """Documents that state a license, with the notice and where it stands."""
+    return N.licenses(table(spark, sf, "documents")).drop("text_key")
+
+
 def op8_decontamination(spark, sf):
     """Documents that hold a benchmark passage, with the item and where it lies."""
     return D.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("text_key")
@@ -60,6 +74,30 @@ def op9_line_dedup(spark, sf):
         "doc_id", "source", "text", F.col("__lines_dropped").cast("bigint").alias("lines_dropped"))
 
 
+OP4_SQL = r"""
+WITH pieces AS (
+  SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
+  FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?][ \t\r\n\f]+|\n[ \t\r\n\f]*)', '\1' || chr(1), 'g'), chr(1)) AS p
+        FROM documents)),
+plain AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS p, s
+  FROM (SELECT doc_id, k, trim(regexp_replace(lower(piece), '[ \t\r\n\f]+', ' ', 'g')) AS s FROM pieces)
+  WHERE s <> ''),
+runs AS (
+  SELECT a.doc_id, a.p, a.s || chr(1) || b.s || chr(1) || c.s AS run
+  FROM plain a JOIN plain b ON a.doc_id = b.doc_id AND b.p = a.p + 1
+  JOIN plain c ON a.doc_id = c.doc_id AND c.p = a.p + 2),
+long_runs AS (SELECT * FROM runs WHERE len(string_split(replace(run, chr(1), ' '), ' ')) >= 10),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS place,
+         min(doc_id) OVER (PARTITION BY run) AS first_doc_id FROM long_runs),
+covered AS (
+  SELECT doc_id, p + unnest([0, 1, 2]) AS sentence, first_doc_id FROM ranked WHERE place > 1),
+each AS (SELECT doc_id, sentence, min(first_doc_id) AS first_doc_id FROM covered GROUP BY ALL)
+SELECT doc_id, first_doc_id, count(*) AS sentences, min(sentence) AS first_sentence, max(sentence) AS last_sentence
+FROM each GROUP BY doc_id, first_doc_id
+"""
+
 OP9_SQL = """
 WITH pages AS (SELECT DISTINCT source, text FROM documents),
 on_page AS (
@@ -88,10 +126,10 @@ FROM marked GROUP BY doc_id, source
 def all_queries():
     return {
         "op1_quality": op1_quality, "op2_token_store": op2_token_store, "op3_simhash": op3_simhash,
-        "op5_packing": op5_packing, "op8_decontamination": op8_decontamination,
+        "op4_repeated_spans": op4_repeated_spans, "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
     }
 
 
 def all_sql():
-    return {"op9_line_dedup": OP9_SQL}
+    return {"op4_repeated_spans": OP4_SQL, "op9_line_dedup": OP9_SQL}

@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     )
     leaders = member.groupBy("root").agg(F.min("first").alias("lead"))
     known = stored(member.join(leaders, "root").select("fp", "n", "lead"))
-    return hot_join(rows, known, "fp", "n", F.col("doc_id")).select(
+    return hot_join(rows, known, ["fp"], "n", F.col("doc_id")).select(
         "doc_id", "text_key", "fp", F.col("lead.doc_id").alias("component_id"),
         (F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("text_key") == F.col("lead.text_key"))).alias("keeps"),
     )
