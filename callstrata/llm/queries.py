@@ -14,6 +14,7 @@ from callstrata.llm import quality as Q
 from callstrata.llm import simhash as S
 from callstrata.llm import spans as R
 from callstrata.llm import token_store as T
+from callstrata.llm import warc as C
 from callstrata.llm.common import table
 from callstrata.llm.tokens import with_crc
 from callstrata.session import use_checkpoint_dir
@@ -27,6 +28,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder that all executors share."""
+    return f"{use_checkpoint_dir(spark).rstrip('/')}/callstrata/{name}-{uuid.uuid4().hex}"
+
+
 def op1_quality(spark, sf):
     docs = table(spark, sf, "documents")
     weights = Q.fit(docs, table(spark, sf, "labels"))
@@ -37,7 +43,7 @@ def op1_quality(spark, sf):
 
 
 def op2_token_store(spark, sf):
-    path = f"{use_checkpoint_dir(spark).rstrip('/')}/callstrata/tokens-{uuid.uuid4().hex}"
+    path = _folder(spark, "tokens")
     T.write_tokens(table(spark, sf, "documents"), path, tokenizer_file("word_bpe_49k.json"), END_ID)
     return with_crc(T.read_tokens(spark, path))
 
@@ -64,6 +70,13 @@ def op6_licenses(spark, sf):
     return N.licenses(table(spark, sf, "documents")).drop("text_key")
 
 
+def op7_warc(spark, sf):
+    path = _folder(spark, "warc")
+    C.archive(table(spark, sf, "pages"), path)
+    return C.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_decontamination(spark, sf):
     """Documents that hold a benchmark passage, with the item and where it lies."""
     return D.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("text_key")
@@ -98,6 +111,16 @@ SELECT doc_id, first_doc_id, count(*) AS sentences, min(sentence) AS first_sente
 FROM each GROUP BY doc_id, first_doc_id
 """
 
+OP7_SQL = """
+WITH own AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+sized AS (SELECT page_id, payload, octet_length(encode(payload)) AS n FROM own),
+best AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS last FROM sized)
+SELECT page_id, n AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM best
+"""
+
 OP9_SQL = """
 WITH pages AS (SELECT DISTINCT source, text FROM documents),
 on_page AS (
@@ -126,10 +149,11 @@ FROM marked GROUP BY doc_id, source
 def all_queries():
     return {
         "op1_quality": op1_quality, "op2_token_store": op2_token_store, "op3_simhash": op3_simhash,
-        "op4_repeated_spans": op4_repeated_spans, "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op8_decontamination": op8_decontamination,
+        "op4_repeated_spans": op4_repeated_spans, "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_warc": op7_warc,
+        "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
     }
 
 
 def all_sql():
-    return {"op4_repeated_spans": OP4_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op4_repeated_spans": OP4_SQL, "op7_warc": OP7_SQL, "op9_line_dedup": OP9_SQL}
