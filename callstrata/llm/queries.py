@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from callstrata.llm import ann as A
 from callstrata.llm import decontaminate as D
 from callstrata.llm import licenses as N
 from callstrata.llm import lines as L
@@ -87,6 +88,10 @@ def op9_line_dedup(spark, sf):
         "doc_id", "source", "text", F.col("__lines_dropped").cast("bigint").alias("lines_dropped"))
 
 
+def op10_neighbours(spark, sf):
+    return A.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 OP4_SQL = r"""
 WITH pieces AS (
   SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
@@ -151,7 +156,7 @@ def all_queries():
         "op1_quality": op1_quality, "op2_token_store": op2_token_store, "op3_simhash": op3_simhash,
         "op4_repeated_spans": op4_repeated_spans, "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_warc": op7_warc,
         "op8_decontamination": op8_decontamination,
-        "op9_line_dedup": op9_line_dedup,
+        "op9_line_dedup": op9_line_dedup, "op10_neighbours": op10_neighbours,
     }
 
 
