@@ -9,6 +9,8 @@ from callstrata.llm.common import stored
 
 #: Copies of a host's list of boilerplate lines when that list is too big to broadcast.
 SALTS = 32
+#: Lists of so many lines in all may be broadcast (8 bytes a line).
+BROADCAST_LINES = 1_000_000
 
 
 def _lines(text: Column) -> Column:
@@ -61,7 +63,7 @@ def drop_boilerplate(
         listed.groupBy(F.col("host").alias("__host")).agg(F.collect_set("line").alias("__listed"))
     )
     # collect_set: bounded per host, see boilerplate(); counted below before it is broadcast
-    if listed.count() <= 1_000_000:
+    if listed.count() <= BROADCAST_LINES:
         joined = docs.join(F.broadcast(per_host), docs[host].eqNullSafe(per_host["__host"]), "left")
     else:
         salted = per_host.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
