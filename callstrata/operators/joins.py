@@ -7,20 +7,44 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callstrata.settings import Settings
 
 _ROW_OVERHEAD = 16
 _SALT = "_salt"
+#: A key is heavy when it holds more than this share of the rows; so there are at most 1,000.
+_HEAVY = 0.001
+#: So many rows of one key are no burden for a task, whatever their share.
+_HEAVY_ROWS = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the values of a table, counted by one distributed aggregate."""
-    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    """Bytes a table takes in memory, by one aggregate: fixed widths by type, texts as long as they are."""
+    widths = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) + 8
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)) else F.lit(8)
+        for f in df.schema.fields
+    ]
     row = reduce(lambda a, b: a + b, widths, F.lit(_ROW_OVERHEAD)).cast("bigint")
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def heavy_values(df: DataFrame, value: Column) -> list:
+    """The non-null values that more than a thousandth of all rows, and _HEAVY_ROWS of them, hold.
+
+    One pass over the column keeps a thousand candidates in bounded memory, among them every such
+    value; a second counts the candidates exactly.
+    """
+    values = df.select(value.alias("value"))
+    listed = values.where(F.col("value").isNotNull()).stat.freqItems(["value"], _HEAVY).first()["value_freqItems"]
+    if not listed:
+        return []
+    counts = values.groupBy(F.when(F.col("value").isin(listed), F.col("value")).alias("value")).count().collect()
+    least = max(_HEAVY_ROWS, _HEAVY * sum(r["count"] for r in counts))
+    return [r["value"] for r in counts if r["value"] is not None and r["count"] > least]
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -28,27 +52,33 @@ def lookup_join(
     how: str = "left",
     spread_by: Sequence[str | Column] = (),
     settings: Settings | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to a lookup table: ``left``, ``inner``, ``left_semi`` or ``left_anti``.
 
-    The lookup is broadcast only when its measured size is within ``settings.broadcast_bytes``.
-    Beyond that both sides are shuffled, and each fact row also carries a salt derived from its
-    own columns (``spread_by``, normally the row id) while the lookup is repeated once per salt.
-    A key holding a large part of all facts, or the null key, is thus split over
-    ``settings.join_salts`` tasks. The salt is a hash rather than a random number, so a task that
-    is run again after a lost executor sends its rows to the same place.
+    The lookup is broadcast when its measured size is within ``settings.broadcast_bytes``, or
+    unmeasured when ``bounded`` says that settings and calendar limit it. Beyond that both sides
+    are shuffled. Fact rows of a heavy key then carry a salt derived from their own columns
+    (``spread_by``, normally the row id), and only the lookup rows of heavy keys are repeated once
+    per salt; all other rows stay single on both sides. Rows with a null key match nothing and are
+    spread as well. The salt is a hash rather than a random number, so a task that is run again
+    after a lost executor sends its rows to the same place.
     """
     settings = settings or Settings()
     keys = [on] if isinstance(on, str) else list(on)
-    if measured_bytes(lookup) <= settings.broadcast_bytes:
+    if bounded or measured_bytes(lookup) <= settings.broadcast_bytes:
         return facts.join(F.broadcast(lookup), keys, how)
 
     salts = settings.join_salts
-    spread = list(spread_by) or [c for c in facts.columns if c not in keys] or keys
-    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    spread = list(spread_by) or [c for c in facts.columns if c not in keys] or [F.monotonically_increasing_id()]
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    key = F.when(whole, F.xxhash64(*keys))
+    heavy = heavy_values(facts, key)
+    is_heavy = key.isin(heavy) if heavy else F.lit(False)
+    salted = facts.withColumn(
+        _SALT, F.when(whole & ~is_heavy, 0).otherwise(F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")))
+    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.where(whole).withColumn(_SALT, F.explode(copies))
     return salted.join(repeated, [*keys, _SALT], how).drop(_SALT)
 
 

@@ -55,36 +55,32 @@ def flag_follow_ups(
     before, satisfied ``previous_hit`` and agrees on ``same_as_previous``.
 
     A row can only be flagged by a predecessor at most ``within_sec`` older, so time is cut into
-    slots and the window runs per (party, slot). Rows in the last ``within_sec`` of a slot are
-    repeated into the next one as context and dropped afterwards. A party that holds a large part
-    of all rows is spread over as many tasks as there are slots, and the result is the same as
-    over one unbroken window. Rows without a party (null) can never be flagged; each gets a
-    window of its own.
+    slots and the window runs per (party, slot). A row is repeated as context into every later
+    slot it reaches and dropped there afterwards. A party that holds a large part of all rows is
+    spread over as many tasks as there are slots, and the result is the same as over one unbroken
+    window, whatever the slot's length. Rows without a party or a time (null) can never be flagged;
+    they are neither shuffled nor sorted.
     """
     slot_sec = slot_sec or max(3600, 4 * within_sec)
-    keyed = df.withColumns({"_party": party, "_sec": wall_seconds(F.col(at))}).withColumn(
-        "_own", F.col("_sec") - F.pmod(F.col("_sec"), F.lit(slot_sec))
-    )
-    next_slot = F.col("_own") + slot_sec
+    known = df.withColumn("_party", party)
+    eligible = F.col("_party").isNotNull() & F.col(at).isNotNull()
+    alone = known.where(~eligible).withColumn(flag, F.lit(0)).drop("_party")
+    keyed = known.where(eligible).withColumn(
+        "_sec", wall_seconds(F.col(at))
+    ).withColumn("_own", F.col("_sec") - F.pmod(F.col("_sec"), F.lit(slot_sec)))
     # One second more than needed, as fractions of a second are cut off.
-    reaches_next = F.col("_party").isNotNull() & (next_slot - F.col("_sec") <= within_sec + 1)
-    slots = F.when(reaches_next, F.array(F.col("_own"), next_slot)).otherwise(
-        F.array(F.col("_own"))
-    )
-    alone = F.when(F.col("_party").isNull(), F.xxhash64(tie))
-    placed = keyed.withColumns({"_slot": F.explode(slots), "_alone": alone})
+    reach = F.col("_sec") + within_sec + 1
+    last = F.greatest(F.col("_own"), reach - F.pmod(reach, F.lit(slot_sec)))
+    placed = keyed.withColumn("_slot", F.explode(F.sequence(F.col("_own"), last, F.lit(slot_sec))))
 
-    series = Window.partitionBy("_party", "_alone", "_slot").orderBy(at, tie)
+    series = Window.partitionBy("_party", "_slot").orderBy(at, tie)
     before = F.lag(at).over(series)
     latest = before + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(within_sec))
     hit = (
-        F.col("_party").isNotNull()
-        & (F.col(at) > before) & (F.col(at) <= latest)
+        (F.col(at) > before) & (F.col(at) <= latest)
         & F.lag(previous_hit.cast("boolean")).over(series)
         & (F.col(same_as_previous) == F.lag(same_as_previous).over(series))
     )
-    return (
-        placed.withColumn(flag, F.coalesce(hit, F.lit(False)).cast("int"))
-        .where(F.col("_slot").eqNullSafe(F.col("_own")))
-        .drop("_party", "_sec", "_own", "_slot", "_alone")
-    )
+    flagged = placed.withColumn(flag, F.coalesce(hit, F.lit(False)).cast("int")).where(
+        F.col("_slot").eqNullSafe(F.col("_own")))
+    return flagged.drop("_party", "_sec", "_own", "_slot").unionByName(alone)

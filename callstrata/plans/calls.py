@@ -6,19 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from callstrata.functions.numbers import at_least_zero
 from callstrata.functions.text import digits_only, has_parent, status_is, trim_blanks
 from callstrata.operators.columns import keep_existing
 from callstrata.operators.filters import not_listed
-from callstrata.operators.joins import lookup_join, map_values
+from callstrata.operators.joins import heavy_values, lookup_join, map_values
 from callstrata.operators.windows import flag_follow_ups
 from callstrata.schemas import (
     ABANDONED, SERVICE, SUBSIDIARY, TRAINING_COLUMNS, UNKNOWN_CUSTOMER_KEY,
     UNKNOWN_CUSTOMER_NAME, UNKNOWN_QUEUE,
 )
+from callstrata.session import cut_lineage
 from callstrata.settings import Settings
 
+# Parts in which the legs of one very common call id are reduced first.
+_SLICES = 1024
 _FIRST_TOUCH = [
     "LandingNumber", "callerNr", "ChannelType", "QueueId", "CaseId", "Duration", "TalkTimeInSec",
 ]
@@ -29,29 +33,33 @@ def collapse_calls(
 ) -> DataFrame:
     """One row per call: everything from its first leg, the status from its last leg.
 
-    Legs are ordered by ``Created`` and then by the ``tie`` columns (all others by default).
-    First and last leg are a minimum and a maximum over a row struct, so they aggregate map-side;
-    a call id that repeats very often never has to be sorted in one task.
+    Legs are ordered by ``Created`` and then by the ``tie`` columns (all others by default). One
+    shuffle and one sort per call id. Ids that hold more than a thousandth of all legs, and legs
+    without an id, are first reduced in slices and then once more.
     """
     tie = list(tie) if tie is not None else [*_FIRST_TOUCH, "Status"]
-    order = [F.col("Created"), *[F.col(c) for c in tie]]
-    rest = [F.col(c) for c in [*_FIRST_TOUCH, "Status"] if c not in tie]
-    calls = legs.groupBy("CallId").agg(
-        F.min(F.struct(*order, *rest)).alias("first"),
-        F.max(F.struct(*order, *[c for c in (F.col("Status"),) if "Status" not in tie]))
-        .alias("last"),
-    )
-    return calls.select(
-        "CallId",
-        F.col("first.Created").alias("Created"),
-        F.col("first.LandingNumber").alias("LandingNumber"),
-        F.col("first.callerNr").alias("CallerNr"),
-        F.col("first.ChannelType").alias("ChannelType"),
-        F.col("first.QueueId").alias("QueueId"),
-        F.col("first.CaseId").alias("CaseId"),
-        F.col("last.Status").alias("Status"),
-        F.col("first.Duration").alias("Duration"),
-        F.col("first.TalkTimeInSec").alias("TalkTimeInSec"),
+    order = ["Created", *tie]
+    rest = [c for c in [*_FIRST_TOUCH, "Status"] if c not in tie]
+    heavy = [*heavy_values(legs, F.col("CallId"))]
+    crowded = F.col("CallId").isNull() | (F.col("CallId").isin(heavy) if heavy else F.lit(False))
+    legs = legs.select("CallId", *dict.fromkeys([*order, *rest])).withColumn(
+        "_slice", F.when(crowded, 1 + F.pmod(F.xxhash64(*order), F.lit(_SLICES))).otherwise(0))
+    call = Window.partitionBy("CallId", "_slice")
+    firsts = legs.withColumns({
+        "_place": F.row_number().over(call.orderBy(*order, *rest)),
+        "_last": F.max(F.struct(*dict.fromkeys([*order, "Status"]))).over(call),
+    }).where(F.col("_place") == 1)
+    columns = [c for c in firsts.columns if c not in ("CallId", "_slice", "_place", "_last", "Created")]
+    if heavy or legs.where(F.col("CallId").isNull()).limit(1).count():
+        firsts = cut_lineage(firsts)
+        whole = dict.fromkeys([*order, *rest])
+        again = firsts.where(F.col("_slice") > 0).groupBy("CallId").agg(
+            F.min(F.struct(*whole)).alias("_first"), F.max("_last").alias("_last"))
+        firsts = firsts.where(F.col("_slice") == 0).select("CallId", "Created", *columns, "_last").unionByName(
+            again.select("CallId", *[F.col(f"_first.{c}").alias(c) for c in ("Created", *columns)], "_last"))
+    return firsts.select(
+        "CallId", "Created", "LandingNumber", F.col("callerNr").alias("CallerNr"), "ChannelType", "QueueId",
+        "CaseId", F.col("_last.Status").alias("Status"), "Duration", "TalkTimeInSec",
     ).where(not_listed(F.col("QueueId"), excluded_queues))
 
 

@@ -165,9 +165,10 @@ def hourly_shape(hourly: DataFrame, services: DataFrame, settings: Settings | No
     busy = hourly.where(F.col("Antal_Samtal") > 0).select(
         "ds", trim_blanks(F.col(FOLDED_SERVICE)).alias(FOLDED_SERVICE), "Antal_Samtal"
     )
+    # Services, segments, hours of the week and forecast days are limited by the settings.
     active = lookup_join(
         busy, services.select(FOLDED_SERVICE).distinct(), FOLDED_SERVICE, "left_semi",
-        spread_by=["ds"], settings=settings,
+        settings=settings, bounded=True,
     ).withColumns({
         "datum": F.to_date("ds"), "veckodag": F.weekday("ds"), "timme": F.hour("ds"),
     })
@@ -201,7 +202,7 @@ def model_band(
     daily: DataFrame, residuals: DataFrame, settings: Settings | None = None
 ) -> DataFrame:
     """Replace the fixed bounds by the volume plus the residual quantiles of its service."""
-    joined = lookup_join(daily, residuals, FOLDED_SERVICE, spread_by=["ds"], settings=settings)
+    joined = lookup_join(daily, residuals, FOLDED_SERVICE, settings=settings, bounded=True)
 
     def bound(residual: str) -> Column:
         shifted = F.col("Prognos_Volym") + F.coalesce(residual, F.lit(0.0))
@@ -219,7 +220,7 @@ def model_talk_times(
     """Expected talk time in whole seconds per forecast day and segment."""
     pairs = lookup_join(
         daily.select("ds", FOLDED_SERVICE), segments, FOLDED_SERVICE, "inner",
-        spread_by=["ds"], settings=settings,
+        settings=settings, bounded=True,
     ).select("ds", SEGMENT).distinct()
     scored = model.transform(aht_features(calendar_features(pairs)))
     seconds = round_half_even(F.greatest(F.col("prediction"), F.lit(0.0))).cast("int")
@@ -242,20 +243,19 @@ def allocate_hours(
         daily = calendar_features(daily).select(*daily.columns, "ar_arbetsdag")
         day_off = F.col("ar_arbetsdag") == 0
     split = lookup_join(
-        daily, segments, FOLDED_SERVICE, "left", spread_by=["ds"], settings=settings
+        daily, segments, FOLDED_SERVICE, "left", settings=settings, bounded=True
     )
     talk_time = F.lit(TALK_TIME_SEC)
     if talk_times is not None:
         split = lookup_join(
-            split, talk_times, ["ds", SEGMENT], spread_by=[FOLDED_SERVICE], settings=settings
+            split, talk_times, ["ds", SEGMENT], settings=settings, bounded=True
         )
         talk_time = F.coalesce("talk_time", talk_time)
     expanded = expand_hours(
         split.withColumnRenamed("ds", "datum"), "datum", "DatumTid"
     ).withColumns({"veckodag": F.weekday("DatumTid"), "timme": F.hour("DatumTid")})
     weighted = lookup_join(
-        expanded, shape, ["veckodag", "timme", FOLDED_SERVICE], "left",
-        spread_by=["DatumTid", SEGMENT], settings=settings,
+        expanded, shape, ["veckodag", "timme", FOLDED_SERVICE], "left", settings=settings, bounded=True
     ).withColumn(
         "weight", open_weight(F.col("DatumTid"), F.col("Avg_Hourly_Proportion"), day_off)
     )
@@ -289,10 +289,12 @@ def create_forecast(
     model: PipelineModel | None = None, handling: PipelineModel | None = None,
     residuals: DataFrame | None = None, close_holidays: bool = False,
 ) -> DataFrame:
-    """Hourly forecast table from the hourly history.
+    """Hourly forecast table from the hourly history before the start; later hours, which a
+    validation run has, are not looked at.
 
     Bounds and talk times are constants unless residuals and a handling model are given.
     """
+    hourly = hourly.where(F.col("ds") < _day(start).cast("timestamp_ntz"))
     daily = daily_history(hourly, start)
     # Built by a long plan and read several times below: a few rows per service.
     forecast = cut_lineage(recursive_forecast(daily, start, settings.horizon_days, model))

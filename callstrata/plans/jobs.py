@@ -15,8 +15,8 @@ from callstrata.plans import models as M
 from callstrata.plans import segments as S
 from callstrata.plans.cases import fact_cases
 from callstrata.plans.forecast import create_forecast
-from callstrata.plans.run_window import resolve_run_window, within
-from callstrata.session import cut_lineage
+from callstrata.plans.run_window import RunWindow, window_of, within
+from callstrata.session import cut_lineage, shared_path
 from callstrata.settings import Settings
 from callstrata.sources.ingest import bronze_specs, load_all
 from callstrata.sources.readers import SourceSpec, read_exclusion_list
@@ -28,10 +28,18 @@ class Jobs:
         self.spark = spark
         self.settings = settings
         self.warehouse = Warehouse(spark, settings.warehouse_dir)
+        self.model_dir = shared_path(spark, settings.model_dir)
 
     def _bronze(self, table: str) -> DataFrame:
         return self.warehouse.read(self.settings.bronze_tables[table])
 
+    def _window(self) -> RunWindow:
+        latest = self.warehouse.latest(self.settings.bronze_tables["cdr"])
+        return window_of(self.spark, latest, self.settings)
+
+    def _period(self, table: str, window: RunWindow) -> DataFrame:
+        return self.warehouse.read_days(self.settings.bronze_tables[table], window.start, window.today)
+
     def _table(self, table: str) -> DataFrame:
         return self.warehouse.read(self.settings.table_names[table])
 
@@ -44,8 +52,8 @@ class Jobs:
     def extract(self) -> dict[str, int]:
         """Silver calls, the abandoned report and the three dimensions."""
         settings = self.settings
-        legs = self._bronze("cdr")
-        window = resolve_run_window(legs, settings)
+        window = self._window()
+        legs = self._period("cdr", window)
         collapsed = C.collapse_calls(within(legs, "Created", window), settings.exclude_queue_ids)
         mapping = cut_lineage(  # read twice: measured, then joined
             D.one_row_per_number(D.customer_mapping(self._bronze("customers"), settings))
@@ -85,12 +93,18 @@ class Jobs:
         }
 
     def train(self, learner: str = "tweedie", trees: int = 100) -> dict[str, int]:
-        """Publish the hourly history and save the volume, talk-time and wait-time models."""
+        """Publish the hourly history and save the volume, talk-time and wait-time models.
+
+        A validation run learns from days before the forecast only, so that it is scored on days
+        no model has seen.
+        """
         settings = self.settings
         segments = self.warehouse.read_or_none(settings.table_names["Customer_Behavior_Dimension"])
         history = H.hourly_history(self._table("Operative_Training_Data"), segments, settings)
         rows = {"Hourly_Aggregated_History": self._publish(history, "Hourly_Aggregated_History")}
         stored = self._table("Hourly_Aggregated_History")
+        if settings.is_validation:
+            stored = stored.where(F.col("ds") < F.lit(self.forecast_start()).cast("timestamp_ntz"))
         daily = H.volume_training_set(stored).persist()
         handling = H.aht_training_set(stored).persist()
         save_model(M.train_volume(daily, learner=learner, trees=trees), self._model("volume_operative"))
@@ -104,7 +118,7 @@ class Jobs:
         return rows
 
     def _model(self, name: str) -> str:
-        return f"{self.settings.model_dir}/{name}"
+        return f"{self.model_dir}/{name}"
 
     def forecast_start(self) -> date:
         """The day after the history ends, or after the training period when validating."""
@@ -152,6 +166,7 @@ class Jobs:
         return days, E.evaluate_forecast(days)
 
     def sync_cases(self) -> dict[str, int]:
-        window = resolve_run_window(self._bronze("cdr"), self.settings)
-        facts = fact_cases(self._bronze("cases"), self._bronze("users"), window, self.settings)
+        window = self._window()
+        facts = fact_cases(
+            self._period("cases", window), self._bronze("users"), window, self.settings)
         return {"Raw_Cases": self._publish(facts, "Raw_Cases")}

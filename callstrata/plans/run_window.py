@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callstrata.operators.filters import in_period, latest_rows
-from callstrata.schemas import DAY
+from callstrata.operators.filters import in_period
 from callstrata.settings import Settings
 
 
@@ -47,18 +46,22 @@ def resolve_run_window(
     calls: DataFrame, settings: Settings, created: str = "Created"
 ) -> RunWindow:
     """The window as plain dates, so later filters are literals that prune files and folders."""
-    row = run_window(latest_rows(calls), settings, created).first()
+    row = run_window(calls, settings, created).first()
     return RunWindow(row["start"], row["today"])
 
 
+def window_of(spark: SparkSession, latest: str | None, settings: Settings) -> RunWindow:
+    """The window from the latest time already known as text; the calls are not read."""
+    one = spark.range(1).select(F.lit(latest).cast("timestamp_ntz").alias("Created"))
+    return resolve_run_window(one, settings)
+
+
 def within(df: DataFrame, ts: str, window: RunWindow | DataFrame) -> DataFrame:
     """Rows of [start, today), from resolved dates or from a one-row DataFrame."""
     if isinstance(window, RunWindow):
         start, today = F.lit(window.start), F.lit(window.today)
     else:
         start, today = window.select("start").scalar(), window.select("today").scalar()
-    if DAY in df.columns and DAY != ts:
-        df = df.where((F.col(DAY) >= start) & (F.col(DAY) < today))
     return df.where(
         in_period(F.col(ts), start.cast("timestamp_ntz"), today.cast("timestamp_ntz"))
     )

@@ -144,7 +144,8 @@ def _enriched(spark, sf):
         .select(F.concat(F.lit("031"), F.col("s_suppkey").cast("string")).alias("LandingNumber"))
     )
     legs = t.call_legs(spark, sf).drop("user_id")
-    return C.enrich_calls(legs, number_owner(spark, sf), t.SETTINGS, excluded)
+    # stored, as it is measured and then joined
+    return C.enrich_calls(legs, cut_lineage(number_owner(spark, sf)), t.SETTINGS, excluded)
 
 
 def enrich_calls(spark, sf):

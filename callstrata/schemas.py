@@ -9,8 +9,6 @@ FORECAST_LOW = "Prognos_Låg"
 FORECAST_HIGH = "Prognos_Hög"
 
 SEGMENT = "Behavior_Segment"
-# Day of the call or case; growing tables are partitioned by it.
-DAY = "Datum"
 # The hourly history is published with ASCII-folded names.
 FOLDED_SERVICE = "Tj_nstTyp"
 

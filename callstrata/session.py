@@ -44,6 +44,14 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return own
 
 
+def shared_path(spark: SparkSession, path: str) -> str:
+    """The path as given; off local mode a relative or machine-local one is refused."""
+    if not spark.sparkContext.master.startswith("local") and (
+            path.startswith("file:") or not (path.startswith("/") or "://" in path)):
+        raise RuntimeError(f"{path} is not a folder all executors share")
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it from there.
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callstrata.operators.columns import wall_time
-from callstrata.operators.filters import latest_rows
-from callstrata.schemas import DAY
 from callstrata.settings import Settings
 from callstrata.sources.readers import SourceSpec, read_source
 from callstrata.sources.warehouse import Warehouse
@@ -44,24 +43,22 @@ def high_watermark(target: DataFrame | None, time_col: str) -> str | None:
     """Latest time stored in the target as text; None for a missing or empty target."""
     if target is None:
         return None
-    return latest_rows(target).agg(
-        F.max(time_col).cast("string").alias("latest")
-    ).first()["latest"]
+    return target.agg(F.max(time_col).cast("string").alias("latest")).first()["latest"]
 
 
 def new_rows(
     source: DataFrame, target: DataFrame | None, time_col: str,
-    key_cols: Sequence[str] = (), strict: bool = False,
+    key_cols: Sequence[str] = (), strict: bool = False, latest: str | None = None,
 ) -> DataFrame:
     """Source rows the target does not hold yet, judged by the target's latest time.
 
-    The latest time enters as a literal, so the source (a database or files) filters by it
-    instead of sending everything. The strict form takes only later rows. The default form also
-    takes the rows of exactly the latest time that are not stored yet, so late arrivals with an
-    equal time are kept. They are compared by key, or without key columns as whole rows, where
-    repeats count separately.
+    The latest time (looked up unless given) enters as a literal, so the source (a database or
+    files) filters by it instead of sending everything. The strict form takes only later rows. The
+    default form also takes the rows of exactly the latest time that are not stored yet, so late
+    arrivals with an equal time are kept. They are compared by key, or without key columns as whole
+    rows, where repeats count separately.
     """
-    latest = high_watermark(target, time_col)
+    latest = latest or high_watermark(target, time_col)
     if latest is None:
         return source
     time = F.col(time_col)
@@ -71,8 +68,6 @@ def new_rows(
         return later
     # Only rows of one instant are compared, so the bulk of the load is never shuffled.
     tied, stored = source.where(time == watermark), target.where(time == watermark)
-    if DAY in target.columns:
-        stored = stored.where(F.col(DAY) == F.to_date(watermark))
     if key_cols:
         missed = tied.join(stored.select(*key_cols).distinct(), list(key_cols), "left_anti")
     else:
@@ -87,8 +82,11 @@ def load_one(
     source = read_source(spark, spec.source)
     if spec.load_type == INCREMENTAL:
         source = wall_time(source, spec.time_col)
-        target = warehouse.read_or_none(spec.target)
-        fresh = new_rows(source, target, spec.time_col, spec.key_cols, strict)
+        latest, target = warehouse.latest(spec.target), None
+        if latest is not None:
+            day = date.fromisoformat(latest[:10])
+            target = warehouse.read_days(spec.target, day, day + timedelta(days=1))
+        fresh = new_rows(source, target, spec.time_col, spec.key_cols, strict, latest)
         return warehouse.append(fresh, spec.target, spec.time_col)
     if spec.load_type == FULL:
         if source.isEmpty():

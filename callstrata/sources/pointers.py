@@ -1,0 +1,92 @@
+"""Pointer files: the truth about which folders hold a table, kept in the store itself."""
+
+from __future__ import annotations
+
+import json
+import time
+import uuid
+from dataclasses import asdict, dataclass, field
+
+from pyspark.sql import SparkSession
+
+NAME = "_pointer.json"
+
+
+class MissingPointer(RuntimeError):
+    """Data without a pointer: never taken for an empty table."""
+
+
+@dataclass(frozen=True)
+class Pointer:
+    """``folders`` hold the rows (none: the table has been begun, not filled), ``schema`` is theirs.
+
+    ``day`` names the hidden partition column of a growing table, ``latest`` its latest time as
+    text; ``columns`` limits a projection of another table.
+    """
+
+    folders: list[str] = field(default_factory=list)
+    schema: str | None = None
+    columns: list[str] | None = None
+    day: str | None = None
+    latest: str | None = None
+
+
+class Pointers:
+    """Reads and swaps the pointers below one root, on any file system Spark can write to."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.root = root
+
+    def _path(self, text: str):
+        return self._jvm.org.apache.hadoop.fs.Path(text)
+
+    def _fs(self, text: str):
+        return self._path(text).getFileSystem(self._conf)
+
+    def get(self, table: str) -> Pointer | None:
+        folder = f"{self.root}/{table}"
+        fs, path = self._fs(folder), self._path(f"{folder}/{NAME}")
+        if fs.exists(path):
+            stream = fs.open(path)
+            try:
+                return Pointer(**json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            finally:
+                stream.close()
+        if fs.exists(self._path(folder)) and any(
+                not x.getPath().getName().startswith((".", "_pointer")) for x in fs.listStatus(self._path(folder))):
+            raise MissingPointer(f"{folder} holds data but no {NAME}; restore it or move the data away")
+        return None
+
+    def put(self, table: str, pointer: Pointer) -> None:
+        """Replace a pointer in one step: written whole under another name, then renamed."""
+        folder = f"{self.root}/{table}"
+        draft = self._path(f"{folder}/{NAME}.{uuid.uuid4().hex}")
+        out = self._fs(folder).create(draft, False)
+        try:
+            out.write(bytearray(json.dumps(asdict(pointer)).encode()))
+        finally:
+            out.close()
+        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        overwrite = self._gateway.new_array(rename, 1)
+        overwrite[0] = rename.OVERWRITE
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self._conf).rename(
+            draft, self._path(f"{folder}/{NAME}"), overwrite)
+
+    def remove_unnamed(self, table: str, older_than_sec: float) -> list[str]:
+        """Delete the table's folders that its pointer does not name and that are old enough to have no readers."""
+        pointer = self.get(table)
+        if pointer is None:
+            return []
+        folder = f"{self.root}/{table}"
+        fs, named = self._fs(folder), {self._path(f).getName() for f in pointer.folders}
+        gone = []
+        for x in fs.listStatus(self._path(folder)):
+            name = x.getPath().getName()
+            old = time.time() - x.getModificationTime() / 1000 >= older_than_sec
+            if x.isDirectory() and name not in named and old:
+                fs.delete(x.getPath(), True)
+                gone.append(name)
+        return gone

@@ -2,76 +2,134 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from callstrata.schemas import DAY
+from callstrata.session import shared_path
+from callstrata.sources.pointers import Pointer, Pointers
 from callstrata.sources.readers import is_missing
 
+#: Hidden partition columns of growing tables.
+LOAD_BATCH, LOAD_DAY = "_load_batch", "_load_day"
+
 
 class PublishError(RuntimeError):
     pass
 
 
 class _Counter:
-    """Counts the rows of a write while it runs."""
+    """Counts the rows of a write while it runs, and notes the latest time among them."""
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, time_col: str | None = None):
         self._seen = Observation(f"rows_{uuid.uuid4().hex}")
-        self.df = df.observe(self._seen, F.count(F.lit(1)).alias("rows"))
+        latest = F.max(time_col).cast("string") if time_col else F.lit(None).cast("string")
+        self.df = df.observe(
+            self._seen, F.count(F.lit(1)).alias("rows"),
+            (latest if time_col else F.max(latest)).alias("latest"))
 
-    def rows(self) -> int:
+    def seen(self) -> tuple[int, str | None]:
         try:
-            return self._seen.get["rows"]
+            return self._seen.get["rows"], self._seen.get["latest"]
         except Py4JJavaError:
             # Proven empty, the input was planned away and the observation with it.
             if self.df.isEmpty():
-                return 0
+                return 0, None
             raise
 
 
 class Warehouse:
-    """Parquet tables under one root folder, found by name through the session catalog.
+    """Parquet tables under one root folder, found by name through pointer files in that folder.
+
+    A write goes to a folder of its own; only when it has ended and been checked is the pointer of
+    the table swapped, in one step. A failed or repeated run therefore leaves the old rows in place
+    and never adds some twice, and any later process finds what an earlier one stored. Temporary
+    views of the same names are set in the session for SQL; nothing depends on them.
 
-    ``publish`` replaces a table without readers ever seeing a half-written one: the rows go to
-    a new version folder, the version is checked, and only then is the view of that name
-    repointed, which is a single metadata step. A failed run leaves the old version in place.
+    One writer per table at a time is assumed. Folders no pointer names any more are kept for
+    ``grace_sec``, as readers may still be busy with them, and removed by a later write.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, grace_sec: float = 7 * 86_400):
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.root = shared_path(spark, root).rstrip("/")
+        self.grace_sec = grace_sec
+        self.pointers = Pointers(spark, self.root)
+
+    def _filled(self, table: str) -> Pointer | None:
+        pointer = self.pointers.get(table)
+        return pointer if pointer and pointer.folders else None
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(table)
+        return self._filled(table) is not None
+
+    def latest(self, table: str) -> str | None:
+        """Latest time stored in a growing table, from its pointer; no data file is opened."""
+        pointer = self._filled(table)
+        return pointer.latest if pointer else None
+
+    def _rows(self, table: str) -> tuple[Pointer, DataFrame]:
+        pointer = self._filled(table)
+        if pointer is None:
+            raise LookupError(f"{self.root} has no table {table}")
+        schema = T.StructType.fromJson(json.loads(pointer.schema))
+        reader = self.spark.read.schema(schema)
+        if pointer.day:  # several folders, told apart like partitions of one table
+            reader = reader.option("basePath", f"{self.root}/{table}")
+        return pointer, reader.parquet(*pointer.folders).drop(LOAD_BATCH)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(f"`{table}`")
+        pointer, rows = self._rows(table)
+        if pointer.columns:
+            return rows.select(*[F.col(f"`{c}`") for c in pointer.columns])
+        return rows.drop(pointer.day) if pointer.day else rows
+
+    def read_days(self, table: str, first: date, end: date) -> DataFrame:
+        """Rows of the days [first, end) of a growing table; other days' files are not opened."""
+        pointer, rows = self._rows(table)
+        if not pointer.day:
+            raise ValueError(f"{table} is not kept by day")
+        day = F.col(pointer.day)
+        return rows.where((day >= F.lit(first)) & (day < F.lit(end))).drop(pointer.day)
 
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
-    def _write(self, df: DataFrame, path: str, partition_by: Sequence[str], mode: str, **options) -> int:
+    def _write(
+        self, df: DataFrame, path: str, partition_by: Sequence[str], mode: str,
+        time_col: str | None = None, **options,
+    ) -> tuple[int, str | None]:
         if partition_by:
             # Few files per partition, and a partition holding most rows is split again.
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         # Counted after any shuffle: tasks of the last stage are counted once even when repeated.
-        counter = _Counter(df)
+        counter = _Counter(df, time_col)
         writer = counter.df.write.mode(mode).options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return counter.rows()
+        return counter.seen()
+
+    def _begin(self, table: str) -> Pointer:
+        """The table's pointer; a new table gets one without rows before its first folder appears."""
+        pointer = self.pointers.get(table)
+        if pointer is None:
+            pointer = Pointer()
+            self.pointers.put(table, pointer)
+        return pointer
 
-    def _point(self, table: str, path: str, columns: Sequence[str] = ()) -> None:
-        listed = ", ".join(f"`{c}`" for c in columns) or "*"
-        self.spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT {listed} FROM parquet.`{path}`")
+    def _point(self, table: str, pointer: Pointer) -> None:
+        self.pointers.put(table, pointer)
+        self.pointers.remove_unnamed(table, self.grace_sec)
+        self.read(table).createOrReplaceTempView(table)
 
     def publish(
         self, df: DataFrame, table: str, run_id: str | None = None,
@@ -82,35 +140,43 @@ class Warehouse:
         ``projections`` names further tables that are columns of this one: they are pointed at
         the same version instead of being written again.
         """
+        self._begin(table)
         path = f"{self.root}/{table}/{run_id or uuid.uuid4().hex}"
-        written = self._write(df, path, partition_by, "errorifexists")
+        written, _ = self._write(df, path, partition_by, "errorifexists")
         stored = self.spark.read.schema(df.schema).parquet(path).count()
         if stored != written:
             raise PublishError(f"{table}: wrote {written} rows but stored {stored}")
-        self._point(table, path)
+        self._point(table, Pointer([path], df.schema.json()))
         for name, columns in (projections or {}).items():
-            self._point(name, path, columns)
+            self._point(name, Pointer([path], df.schema.json(), list(columns)))
         return written
 
     def append(self, df: DataFrame, table: str, time_col: str) -> int:
         """Add rows to a table, creating it on first use; returns the number of rows added.
 
-        The table is partitioned by day, so that probing its latest time and reading a period
-        touch the days concerned and not the whole past.
+        The table is partitioned by the day of ``time_col`` in a hidden column, so reading a period
+        touches the days concerned and not the whole past; its latest time stays in the pointer.
         """
-        path = f"{self.root}/{table}/appended"
-        dated = df.withColumn(DAY, F.to_date(time_col))
-        written = self._write(dated, path, [DAY], "append")
-        self._point(table, path)
+        if {LOAD_BATCH, LOAD_DAY} & set(df.columns):
+            raise ValueError(f"a source may not have a column {LOAD_BATCH} or {LOAD_DAY}")
+        pointer = self._begin(table)
+        path = f"{self.root}/{table}/{LOAD_BATCH}=b{uuid.uuid4().hex}"
+        dated = df.withColumn(LOAD_DAY, F.to_date(time_col))
+        written, latest = self._write(dated, path, [LOAD_DAY], "errorifexists", time_col)
+        if written:
+            self._point(table, Pointer(
+                [*pointer.folders, path], dated.schema.json(), None, LOAD_DAY,
+                max(filter(None, (pointer.latest, latest)), default=None)))
         return written
 
     def archive(self, df: DataFrame, table: str, run_column: str) -> int:
         """Replace only the runs present in ``df``; every other run of the table stays."""
+        self._begin(table)
         path = f"{self.root}/{table}/runs"
-        written = self._write(
+        written, _ = self._write(
             df, path, [run_column], "overwrite", partitionOverwriteMode="dynamic"
         )
-        self._point(table, path)
+        self._point(table, Pointer([path], df.schema.json()))
         return written
 
 

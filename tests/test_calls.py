@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callstrata.operators.columns import keep_existing
+from callstrata.operators import joins
 from callstrata.plans import calls as C
 from callstrata.plans import customers as D
 from callstrata.plans import run_window as R
@@ -27,13 +28,31 @@ def test_collapse_takes_first_leg_and_last_status(spark):
     assert {r["CallId"] for r in dicts(C.collapse_calls(legs, []))} == {"1", "2"}
 
 
-def test_collapse_is_deterministic_on_equal_times_and_aggregates_before_the_shuffle(spark):
+def test_collapse_is_deterministic_on_equal_times_and_sorts_once(spark):
     rows = [{"CallId": "1", "Status": s, "Created": at("2024-01-01"), "QueueId": q}
             for s, q in (("m", "3"), ("k", "1"), ("z", "2"))]
     results = {tuple(C.collapse_calls(bronze(spark, "cdr", *random.Random(i).sample(rows, 3))).first())
                for i in range(4)}
     assert len(results) == 1
-    assert "partial_min" in plan(C.collapse_calls(bronze(spark, "cdr", *rows)))
+    text = plan(C.collapse_calls(bronze(spark, "cdr", *rows)))
+    assert "SortAggregate" not in text and text.count("Exchange hashpartitioning") == text.count("Sort [") == 1
+
+
+def test_collapse_of_heavy_and_missing_ids_equals_the_plain_one(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [{"CallId": rng.choice(["h"] * 6 + ["g", None, f"c{i // 3}"]), "Status": rng.choice(["x", "y", None]),
+             "Created": at("2024-01-01") + timedelta(seconds=rng.randint(0, 60)), "QueueId": rng.choice(["1", "2"]),
+             "Duration": rng.choice([None, 1, 2])} for i in range(900)]
+    legs = bronze(spark, "cdr", *rows)
+    want = sorted(map(str, C.collapse_calls(legs).collect()))
+    monkeypatch.setattr(joins, "_HEAVY_ROWS", 20)
+    assert set(joins.heavy_values(legs, F.col("CallId"))) == {"h", "g"}
+    assert sorted(map(str, C.collapse_calls(legs).collect())) == want
+    order = ["Created", "LandingNumber", "callerNr", "ChannelType", "QueueId", "CaseId", "Duration", "TalkTimeInSec", "Status"]
+    plain = legs.groupBy("CallId").agg(F.min(F.struct(*order)).alias("a"), F.max(F.struct(*order)).alias("z"))
+    firsts = plain.select("CallId", "a.Created", "a.QueueId", "a.Duration", "z.Status")
+    got = C.collapse_calls(legs).select("CallId", "Created", "QueueId", "Duration", "Status")
+    assert got.exceptAll(firsts).count() == 0 == firsts.exceptAll(got).count()
 
 
 REDIAL = [
@@ -74,7 +93,7 @@ def test_redial_keeps_every_call(spark):
         ("0", 0), ("1", 0), ("2", 0)]
 
 
-@pytest.mark.parametrize("slot", [300, 700, 3600, 90_000])
+@pytest.mark.parametrize("slot", [60, 100, 300, 700, 3600, 90_000])
 def test_redial_equals_one_unbroken_window_for_a_hot_caller(spark, in_stockholm, slot):
     rng = random.Random(slot)
     start = at("2024-03-30 20:00:00")
@@ -100,6 +119,13 @@ def test_redial_equals_one_unbroken_window_for_a_hot_caller(spark, in_stockholm,
     assert sum(expected.values()) > 50 and got.columns == [*df.columns, "is_redial"]
 
 
+def test_calls_without_a_usable_number_skip_the_window(spark):
+    df = silver(spark, {"CallerNr": "1"}, {"CallerNr": None}, {"CallerNr": "46701112233", "Created": None})
+    text = plan(C.flag_redials(df))
+    assert "Union" in text and text.count("Exchange hashpartitioning") == 1
+    assert C.flag_redials(df).count() == 3
+
+
 CUSTOMERS = [
     {"CustomerId": 1, "Name": "Moder", "OrganisationNumber": "556000-1111", "LandingNumber": "081", "ParentId": 0},
     {"CustomerId": 2, "Name": "Dotter", "OrganisationNumber": None, "LandingNumber": " 082 ,,083", "ParentId": 1},

@@ -1,5 +1,8 @@
 import os
 import re
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -7,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from callstrata.operators import joins
+from callstrata.registry import oracle, queries
 from tests.helpers import plan
 from tools.check_oracle import compare
 
@@ -22,7 +26,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.all_sql()))
 def test_query_equals_its_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert compare(df, con.sql(entry.oracle_sql()[name])) == ""
@@ -38,9 +42,20 @@ def test_query_equals_its_sql_when_no_lookup_may_be_broadcast(spark, con, monkey
 
 
 def test_only_models_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    assert set(queries.all_queries()) - set(oracle.all_sql()) == {
         "train_volume", "train_volume_band", "train_handling", "model_forecast", "kmeans_segments"}
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_works_without_the_corpus_folders(tmp_path):
+    """The corpus operators live in folders that may be absent."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "callstrata", tmp_path / "callstrata", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(*sorted(e.queries()))"
+    names = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)},
+                           capture_output=True, text=True, check=True).stdout.split()
+    assert set(names) == set(queries.all_queries())
