@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callstrata.session import cut_lineage as stored
 
-__all__ = ["Codes", "DOC_COLUMNS", "anti", "empty_as_blank", "hot_join", "mixed", "semi", "sized", "stored", "table", "text_key"]
+__all__ = ["Codes", "anti", "empty_as_blank", "hot_join", "mixed", "semi", "sized", "slices", "stored", "table", "text_key"]
 
-DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A side of two or three numbers per row may be broadcast up to so many rows (about 50 MB).
-BROADCAST_ROWS = 1_000_000
+#: A side of two or three numbers per row may be broadcast up to so many rows (some 30 MB in a task).
+BROADCAST_ROWS = 250_000
 #: A key is hot when it holds more than this share of all rows, so at most 1,000 keys are hot.
 HOT_SHARE = 1_000
 
@@ -92,10 +93,21 @@ def hot_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str
     )
 
 
+def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, list]]:
+    """Texts of a column a bounded number of bytes at a time (one text at least), with the place of the first."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + size, side="right")))
+        yield at, column.slice(at, end - at).to_pylist()
+        at = end
+
+
 class Codes(dict):
     """Number of a word, remembered up to a bound; the number depends on the word alone."""
 
-    bound = 400_000
+    bound = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.bound:

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, anti, sized, stored, text_key
+from callstrata.llm.common import Codes, anti, sized, slices, stored, text_key
 
 WORD = regex.compile(r"\w+")
 #: Words looked at around a hit, and how many of them must agree.
@@ -145,18 +145,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             return (table[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
 
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            at = 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) < 4_000_000):
-                    size += len(texts[end])
-                    end += 1
-                codes, first, sizes = coded(texts[at:end])
+            for at, texts in slices(batch.column(2)):
+                codes, first, sizes = coded(texts)
+                ids, keys = (batch.column(k).slice(at, len(texts)) for k in (0, 1))
                 for found in _hits(codes, first, sizes, masks, chosen):
-                    yield _emit(found, batch.column(0).slice(at, end - at), [batch.column(1).slice(at, end - at)],
-                                codes, first, sizes, 4, ["doc_id", "text_key", "word", "mask", "hash", "words"])
-                at = end
+                    yield _emit(found, ids, [keys], codes, first, sizes, 4,
+                                ["doc_id", "text_key", "word", "mask", "hash", "words"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.where(F.col("text").isNotNull()).select(
