@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from callstrata.llm.common import stored
 
 
+#: Centroids a search goes on from, however far they are.
+BEAM = 24
+
+
 @dataclass(frozen=True)
 class Settings:
     """sample_rows bounds the vectors the lists are fitted on; every vector is indexed.
@@ -55,7 +59,8 @@ def first_copies(vectors: DataFrame, k: int) -> DataFrame:
     limit applies before the shuffle as well, so a vector with very many copies does not pile up.
     """
     of_equal = W.partitionBy("vec").orderBy("vec_id")
-    return vectors.withColumn("copy", F.row_number().over(of_equal)).where(F.col("copy") <= k + 1).drop("copy")
+    once = vectors.dropDuplicates(["vec_id", "vec"])
+    return once.withColumn("copy", F.row_number().over(of_equal)).where(F.col("copy") <= k + 1).drop("copy")
 
 
 @dataclass(frozen=True)
@@ -63,7 +68,8 @@ class Index:
     """Centroids (lengthened by one number), their neighbour graph, and the usual nearest distance."""
 
     centroids: np.ndarray
-    graph: np.ndarray
+    edges: np.ndarray
+    first_edge: np.ndarray
     entries: np.ndarray
     usual: float
     longest: float
@@ -81,8 +87,8 @@ class Index:
     def search(self, queries: np.ndarray, reach: float) -> np.ndarray:
         """Distances from queries to the centroids the graph search reached; infinite for others.
 
-        From a few entries the search walks to ever nearer centroids, then on to all neighbours
-        within `reach` times the nearest distance.
+        From a few entries the search goes on from the nearest centroids seen, `BEAM` at least, and
+        from all within `reach` times the nearest distance, until none of them has news.
         """
         count = len(self.centroids)
         distance = np.full((len(queries), count), np.inf, np.float32)
@@ -90,11 +96,15 @@ class Index:
         done = np.zeros(distance.shape, bool)
         while True:
             limit = reach * np.maximum(distance.min(axis=1), self.usual)
-            q, node = np.nonzero((distance <= limit[:, None]) & ~done)
+            if count > BEAM:
+                limit = np.maximum(limit, np.partition(distance, BEAM - 1, axis=1)[:, BEAM - 1])
+            q, node = np.nonzero((distance <= limit[:, None]) & ~done & np.isfinite(distance))
             if not len(q):
                 return distance
             done[q, node] = True
-            spots = (q[:, None] * count + self.graph[node]).ravel()
+            many = self.first_edge[node + 1] - self.first_edge[node]
+            edge = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - self.first_edge[node], many)
+            spots = np.repeat(q, many) * count + self.edges[edge]
             fresh = np.zeros(distance.size, bool)
             fresh[spots] = True
             spots = np.nonzero(fresh & np.isinf(distance.ravel()))[0]
@@ -112,8 +122,8 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def fit(sample: np.ndarray, longest: float, lists: int, s: Settings) -> Index:
     """Lists on a sample: k-means whose crowded clusters take over the centroids of the emptiest."""
     rng = np.random.default_rng(5)
-    index = Index(np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0), 0.0, longest)
-    points = index.lengthened(sample)
+    nothing = np.zeros(0, np.int64)
+    points = Index(sample, nothing, nothing, nothing, 0.0, longest).lengthened(sample)
     lists = max(1, min(lists, len(points)))
     centroids = points[rng.choice(len(points), lists, replace=False)]
     for turn in range(10):
@@ -134,9 +144,12 @@ def fit(sample: np.ndarray, longest: float, lists: int, s: Settings) -> Index:
     apart = _distances(centroids, centroids)
     close = np.argpartition(apart, degree - 1, axis=1)[:, :degree]
     far = rng.integers(0, lists, (lists, 2))  # a few long edges keep the graph in one piece
+    own, other = np.repeat(np.arange(lists), degree + 2), np.column_stack([close, far]).ravel()
+    pairs = np.unique(np.concatenate([own * lists + other, other * lists + own]))  # both ways
+    first_edge = np.searchsorted(pairs, np.arange(lists + 1) * lists)
     usual = float(np.median(_distances(points[: 4096], centroids).min(axis=1)))
     entries = rng.choice(lists, min(lists, 32), replace=False)
-    return Index(centroids, np.column_stack([close, far]), entries, usual, longest)
+    return Index(centroids, pairs % lists, first_edge, entries, usual, longest)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -148,8 +161,8 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings(), vect
     """(query_id, rank, vec_id, score): per query its s.k nearest by inner product, in double precision.
 
     Queries and candidates are rows of `vectors`; a query's own vec_id is no candidate. Score ties go
-    to the smaller vec_id. Rows that share a vec_id are one candidate with its best score. Vectors
-    that are null, zero, of odd length or hold null or non-finite components take no part. Fewer
+    to the smaller vec_id. Rows that share a vec_id are one candidate with its best score, and one
+    query, of their least vector. Vectors that are null, zero, of odd length or hold null or non-finite components take no part. Fewer
     candidates than k are all returned; no vectors give no rows. Only vec_id and the vector are read.
 
     Every vector is indexed, boundary vectors in several lists. Lists near each other form groups;
@@ -157,7 +170,7 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings(), vect
     """
     spark = vectors.sparkSession
     good = stored(usable(vectors, vector))
-    queries = good.where(is_query).dropDuplicates(["vec_id"])
+    queries = good.where(is_query).groupBy("vec_id").agg(F.min("vec").alias("vec"))
     rows = stored(first_copies(good, s.k))
     squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(squares).alias("m")).first()

@@ -39,10 +39,9 @@ def url_key(url: str | None) -> str:
         return text.lower()
     if not host:
         return text.lower()
-    if port and port != {"http": 80, "https": 443}.get(parts.scheme):
-        host = f"{host}:{port}"
+    own = f":{port}" if port and port != {"http": 80, "https": 443}.get(parts.scheme) else ""
     query = "&".join(sorted(parts.query.split("&"))) if parts.query else ""
-    key = ",".join(reversed(host.split("."))) + ")" + (parts.path or "/").lower()
+    key = ",".join(reversed(host.split("."))) + own + ")" + (parts.path or "/").lower()
     return f"{key}?{query.lower()}" if query else key
 
 
@@ -67,7 +66,7 @@ def decided(pages: DataFrame, smallest: int = 1000) -> DataFrame:
     keyed = rows.withColumn("__digest", F.when(F.length("payload") >= smallest, F.col("digest")))
     joined = hot_join(
         keyed, groups.withColumnRenamed("digest", "__digest"), ["__digest"], "n", F.struct("page_id", "url"))
-    refers = F.when(F.col("last") != F.col("page_id"), F.col("last"))
+    refers = F.when(~F.col("last").eqNullSafe(F.col("page_id")), F.col("last"))
     return joined.select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
 
 
