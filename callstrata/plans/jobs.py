@@ -92,7 +92,7 @@ class Jobs:
             ),
         }
 
-    def train(self, learner: str = "tweedie", trees: int = 100) -> dict[str, int]:
+    def train(self, learner: str = "tweedie", trees: int = M.TREES) -> dict[str, int]:
         """Publish the hourly history and save the volume, talk-time and wait-time models.
 
         A validation run learns from days before the forecast only, so that it is scored on days

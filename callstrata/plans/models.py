@@ -19,6 +19,8 @@ from callstrata.schemas import FOLDED_SERVICE, SEGMENT
 
 CALENDAR = ["veckodag", "dag_pa_aret", "vecka_nr", "manad", "kvartal", "ar_arbetsdag"]
 SEED = 42
+#: Boosting rounds wherever trees are fitted (fixed value, as in the studied pipeline).
+TREES = 500
 LABEL = "label"
 
 
@@ -113,7 +115,7 @@ def bins_for(df: DataFrame, column: str) -> int:
 
 def train_volume(
     training: DataFrame, lags: Sequence[int] = LAG_DAYS, learner: str = "tweedie",
-    trees: int = 100, depth: int = 5,
+    trees: int = TREES, depth: int = 5,
 ) -> PipelineModel:
     """The operative volume model: Tweedie regression with a log link, or boosted trees."""
     data = volume_features(training, lags).withColumn(LABEL, F.col("Antal_Samtal").cast("double"))
@@ -155,7 +157,7 @@ class VolumeBand:
 
 def train_volume_band(
     training: DataFrame, lags: Sequence[int] = LAG_DAYS, low: float = 0.10, high: float = 0.90,
-    holdout_days: int = 28, trees: int = 50, depth: int = 5,
+    holdout_days: int = 28, trees: int = TREES, depth: int = 5,
 ) -> VolumeBand:
     """Median by absolute loss; low and high by the residuals of the last weeks.
 
@@ -167,16 +169,20 @@ def train_volume_band(
     bins = bins_for(data, FOLDED_SERVICE)
     learner = _tree_pipeline("volume", lags, "absolute", trees, bins, depth)
     held_out = learner.fit(data.where(F.col("ds") <= cut)).transform(data.where(F.col("ds") > cut))
-    error = F.col(LABEL) - F.col("prediction")
-    residuals = held_out.groupBy(FOLDED_SERVICE).agg(
+    residuals = residual_quantiles(held_out, F.col(LABEL) - F.col("prediction"), low, high)
+    return VolumeBand(learner.fit(data), residuals, tuple(lags))
+
+
+def residual_quantiles(scored: DataFrame, error: Column, low: float = 0.10, high: float = 0.90) -> DataFrame:
+    """Per service two quantiles of the errors of a held-out period, whose days bound them."""
+    return scored.groupBy(FOLDED_SERVICE).agg(
         F.percentile(error, F.lit(low)).alias("residual_low"),
         F.percentile(error, F.lit(high)).alias("residual_high"),
     )
-    return VolumeBand(learner.fit(data), residuals, tuple(lags))
 
 
 def train_handling(
-    training: DataFrame, target: str, trees: int = 50, depth: int = 5
+    training: DataFrame, target: str, trees: int = TREES, depth: int = 5
 ) -> PipelineModel:
     """Mean talk time (``Snitt_Taltid``) or wait time (``Snitt_Vantetid``) per segment and day."""
     data = aht_features(training).withColumn(LABEL, F.col(target).cast("double"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -171,11 +172,36 @@ def monthly_peaks(calls: DataFrame, k: int = 3) -> DataFrame:
     return top_per_group(shared, group, order, k, "Peak_Rank")
 
 
-def kmeans_segments(profiles: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
-    """Clusters of customers on call intensity and handling time."""
-    pipeline = Pipeline(stages=[
+def kmeans_model(profiles: DataFrame, k: int = 4, seed: int = 42) -> PipelineModel:
+    return Pipeline(stages=[
         VectorAssembler(inputCols=["Total_Samtal", "Genomsnittlig_AHT_Sek"], outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-        KMeans(featuresCol="scaled", predictionCol="Kluster", k=k, seed=seed),
-    ])
-    return pipeline.fit(profiles).transform(profiles).drop("raw", "scaled")
+        KMeans(featuresCol="scaled", predictionCol="Kluster", k=k, seed=seed, maxIter=100, tol=1e-6),
+    ]).fit(profiles)
+
+
+def kmeans_segments(profiles: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
+    """Clusters of customers on call intensity and handling time."""
+    return kmeans_model(profiles, k, seed).transform(profiles).drop("raw", "scaled")
+
+
+def kmeans_faults(profiles: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
+    """One row: customers, clusters, customers nearer to another centre than to their own, and
+    clusters whose centre is not the mean of their members."""
+    model = kmeans_model(profiles, k, seed)
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    points = model.transform(profiles).select("Kluster", vector_to_array("scaled").alias("at"))
+    gaps = F.array(*[
+        sum(((F.col("at")[j] - x) * (F.col("at")[j] - x) for j, x in enumerate(c)), F.lit(0.0)) for c in centres])
+    placed = points.select(
+        "Kluster", "at", (F.array_min(gaps) < F.get(gaps, F.col("Kluster")) - 1e-9).alias("astray"))
+    clusters = placed.groupBy("Kluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("astray").cast("int")).alias("astray"),
+        *[F.avg(F.col("at")[j]).alias(f"mean{j}") for j in range(len(centres[0]))])
+    known = F.array(*[F.array(*[F.lit(x) for x in c]) for c in centres])
+    off = F.lit(False)
+    for j in range(len(centres[0])):
+        off = off | (F.abs(F.col(f"mean{j}") - F.get(F.get(known, F.col("Kluster")), F.lit(j))) > 1e-6)
+    return clusters.agg(
+        F.sum("n").alias("customers"), F.count(F.lit(1)).alias("clusters"),
+        F.sum("astray").alias("astray"), F.sum(off.cast("int")).cast("bigint").alias("off_centre"))

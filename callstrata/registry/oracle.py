@@ -378,7 +378,11 @@ def all_sql() -> dict[str, str]:
                 FROM (VALUES (1), (2)) v(r)
       UNION ALL SELECT r, 'supplier', 'FULL', 'LOADED', (SELECT count(*) FROM supplier)
                 FROM (VALUES (1), (2)) v(r)
-      UNION ALL SELECT r, 'absent', 'FULL', 'FAILED', 0 FROM (VALUES (1), (2)) v(r)"""
+      UNION ALL SELECT r, 'absent', 'FULL', 'FAILED', 0 FROM (VALUES (1), (2)) v(r)
+      UNION ALL SELECT r, 'nothing', 'FULL', 'EMPTY', 0 FROM (VALUES (1), (2)) v(r)"""
+
+    sql["exclusion_list"] = """
+      SELECT DISTINCT '031' || CAST(s_nationkey % 10 AS VARCHAR) AS "LandingNumber" FROM supplier"""
 
     sql["forecast_archive"] = """SELECT run AS "ForecastRunDate",
         count(DISTINCT CAST(o_orderdate AS DATE)) AS days, count(*) AS volume
@@ -586,6 +590,24 @@ def all_sql() -> dict[str, str]:
         SELECT *, {_lags('Antal_Samtal', '"Tj_nstTyp"', 1)} FROM daily)
       SELECT *, {_calendar('ds::TIMESTAMP')} FROM lagged WHERE "Antal_Samtal_lag_1d" IS NOT NULL"""
 
+    trained = f"SELECT * FROM ({sql['volume_training_set']})"
+    log = 'round(ln(1 + coalesce("Antal_Samtal_lag_{0}d", "Antal_Samtal_lag_7d", "Antal_Samtal_lag_1d", 0)), 6) AS "Antal_Samtal_lag_{0}d_x"'
+    logs = ", ".join(log.format(k) for k in (1, 7, 14, 28, 364))
+    sql["model_inputs"] = f"""SELECT ds, "Tj_nstTyp", {logs},
+        CAST(veckodag = 1 AS DOUBLE) AS weekday_1_x, CAST(veckodag = 6 AS DOUBLE) AS weekday_6_x,
+        CAST(manad = 2 AS DOUBLE) AS month_2_x, CAST(manad = 12 AS DOUBLE) AS month_12_x
+      FROM ({trained})"""
+    sql["saved_model"] = f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM ({trained})"
+    sql["volume_model_check"] = f"""
+      SELECT count(*) AS rows, true AS balanced, true AS better FROM ({trained})"""
+    sql["volume_band_residuals"] = f"""SELECT "Tj_nstTyp",
+        round(quantile_cont(CAST("Antal_Samtal" - "Antal_Samtal_lag_7d" AS DOUBLE), 0.1), 6) AS residual_low,
+        round(quantile_cont(CAST("Antal_Samtal" - "Antal_Samtal_lag_7d" AS DOUBLE), 0.9), 6) AS residual_high
+      FROM ({trained}) WHERE "Antal_Samtal_lag_7d" IS NOT NULL GROUP BY 1"""
+    sql["kmeans_check"] = f"""WITH {PROFILES}
+      SELECT count(*) AS customers, CAST(4 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS astray,
+             CAST(0 AS BIGINT) AS off_centre FROM profiles"""
+
     sql["aht_training_set"] = f"""WITH {HOURS}, {_holidays(_HOUR_YEARS)}, summed AS (
         SELECT CAST(ds AS DATE) AS ds, "Behavior_Segment",
                CAST(sum("Antal_Samtal") AS BIGINT) AS "Antal_Samtal",
@@ -603,6 +625,12 @@ def all_sql() -> dict[str, str]:
     sql["weekday_average"] = f"""WITH {DAYS}
       SELECT "Tj_nstTyp", CAST(veckodag AS INTEGER) AS veckodag, round("Stat_Avg", 6) AS "Stat_Avg"
       FROM stat"""
+    orders = """orders_of AS (
+      SELECT CAST(o_orderdate AS DATE) AS ds, o_orderpriority AS s, count(*) AS n FROM orders GROUP BY 1, 2
+    ), top AS (SELECT max(ds) + 1 AS start FROM orders_of)"""
+    sql["weekday_average_orders"] = f"""WITH {orders}
+      SELECT s AS "Tj_nstTyp", CAST(isodow(ds) - 1 AS INTEGER) AS veckodag, round(avg(n), 6) AS "Stat_Avg"
+      FROM orders_of, top WHERE ds >= start - 35 GROUP BY 1, 2"""
     sql["recursive_forecast"] = f"WITH {FORECAST} SELECT * FROM forecast"
     sql["history_and_forecast"] = f"""WITH {FORECAST}
       SELECT ds, "Tj_nstTyp", "Antal_Samtal", CAST(NULL AS BIGINT) AS "Prognos_Låg",

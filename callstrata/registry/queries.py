@@ -31,8 +31,8 @@ from callstrata.schemas import FOLDED_SERVICE, FORECAST_COLUMNS, SEGMENT, SERVIC
 from callstrata.session import cut_lineage, use_checkpoint_dir
 from callstrata.settings import Settings
 from callstrata.sources import ingest
-from callstrata.sources.readers import parquet_source
-from callstrata.sources.warehouse import Warehouse
+from callstrata.sources.readers import parquet_source, read_exclusion_list
+from callstrata.sources.warehouse import Warehouse, load_model, save_model
 
 RUN_DATE = date(2024, 2, 1)
 FIRST_DAY, LAST_DAY = date(1999, 1, 4), date(2001, 6, 30)
@@ -86,6 +86,9 @@ def bronze_load(spark, sf):
     tag = uuid.uuid4().hex[:8]
     warehouse = Warehouse(spark, f"{use_checkpoint_dir(spark)}/bronze-{tag}")
 
+    nothing = f"{use_checkpoint_dir(spark)}/nothing-{tag}"
+    t.table(spark, sf, "supplier").limit(0).write.parquet(nothing)
+
     def spec(name, kind, time_col=None, keys=()):
         return ingest.IngestSpec(
             parquet_source(f"{sf}/{name}.parquet"), f"{name}_{tag}", kind, time_col, keys
@@ -95,6 +98,7 @@ def bronze_load(spark, sf):
         spec("events", ingest.INCREMENTAL, "ts", ("event_id",)),
         spec("orders", ingest.INCREMENTAL, "o_orderdate"),
         spec("customer", ingest.FULL), spec("supplier", ingest.FULL), spec("absent", ingest.FULL),
+        ingest.IngestSpec(parquet_source(nothing), f"nothing_{tag}", ingest.FULL),
     ]
     runs = [
         ingest.load_all(spark, warehouse, specs).withColumn("run", F.lit(i)) for i in (1, 2)
@@ -192,6 +196,15 @@ def explode_numbers(spark, sf):
     )
 
 
+def exclusion_list(spark, sf):
+    """Landing numbers read back from a file with blanks and repeats; a missing file is empty."""
+    folder = f"{use_checkpoint_dir(spark)}/numbers-{uuid.uuid4().hex}"
+    numbers = t.table(spark, sf, "supplier").select(
+        F.concat(F.lit(" 031"), F.pmod("s_nationkey", F.lit(10)).cast("string"), F.lit(" ")).alias("LandingNumber"))
+    numbers.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(folder)
+    return read_exclusion_list(spark, folder).unionByName(read_exclusion_list(spark, f"{folder}-absent"))
+
+
 def dim_queue(spark, sf):
     groups = t.table(spark, sf, "supplier").select(
         F.col("s_suppkey").cast("string").alias("ID"), F.col("s_name").alias("Name")
@@ -325,6 +338,11 @@ def monthly_peaks(spark, sf):
     return _rounded(S.monthly_peaks(t.silver_calls(spark, sf)))
 
 
+def kmeans_check(spark, sf):
+    """Customers, clusters, and what would be wrong with them."""
+    return S.kmeans_faults(cut_lineage(S.customer_profiles(t.silver_calls(spark, sf))))
+
+
 def kmeans_segments(spark, sf):
     return S.kmeans_segments(S.customer_profiles(t.silver_calls(spark, sf)))
 
@@ -401,6 +419,14 @@ def weekday_average(spark, sf):
     return _rounded(P.weekday_average(P.daily_history(hours, _start(hours)), _start(hours)))
 
 
+def weekday_average_orders(spark, sf):
+    """Years of orders, of which the look-back and the statistic's weeks leave out most."""
+    hours = t.table(spark, sf, "orders").select(
+        F.col("o_orderdate").alias("ds"), F.col("o_orderpriority").alias(FOLDED_SERVICE), F.lit(1).alias("Antal_Samtal"))
+    start = _start(hours)
+    return _rounded(P.weekday_average(P.daily_history(hours, start), start))
+
+
 def recursive_forecast(spark, sf):
     hours = _hours(spark, sf)
     start = _start(hours)
@@ -453,9 +479,54 @@ def train_volume(spark, sf):
     return scored.select("ds", FOLDED_SERVICE, "Antal_Samtal", "prediction")
 
 
+def volume_model_check(spark, sf):
+    """Rows, whether the score equation of the intercept holds, and whether the volume model errs
+    less than last week's value does."""
+    training = cut_lineage(H.volume_training_set(_hours(spark, sf)))
+    scored = M.predict_volume(M.train_volume(training), training)
+    y, mu, last = F.col("Antal_Samtal").cast("double"), F.col("prediction"), F.col("Antal_Samtal_lag_7d")
+    weight = F.pow(mu, -0.5)
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.abs(F.sum((y - mu) * weight)) <= 1e-3 * F.sum(y * weight)).alias("balanced"),
+        (F.sum(F.when(last.isNotNull(), F.abs(y - mu))) < F.sum(F.abs(y - last))).alias("better"),
+    )
+
+
+def volume_band_residuals(spark, sf):
+    """The bounds' residual quantiles, of last week's value as the predictor."""
+    training = _hours_days(spark, sf).where(F.col("Antal_Samtal_lag_7d").isNotNull())
+    error = (F.col("Antal_Samtal") - F.col("Antal_Samtal_lag_7d")).cast("double")
+    return _rounded(M.residual_quantiles(training, error))
+
+
+def _hours_days(spark, sf):
+    return cut_lineage(H.volume_training_set(_hours(spark, sf)))
+
+
+def model_inputs(spark, sf):
+    """What the volume models are fed, one row per service and day."""
+    fed = M.volume_features(_hours_days(spark, sf))
+    switches = [f"weekday_{k}_x" for k in (1, 6)] + [f"month_{k}_x" for k in (2, 12)]
+    return _rounded(fed.select("ds", FOLDED_SERVICE, *[f"{c}_x" for c in M.lag_columns()], *switches))
+
+
+def saved_model(spark, sf):
+    """Rows, and rows whose prediction changes when the model is saved and loaded."""
+    training = _hours_days(spark, sf)
+    model, path = M.train_volume(training), f"{use_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    save_model(model, path)
+    kept = M.predict_volume(load_model(spark, path), training).select(
+        "ds", FOLDED_SERVICE, F.col("prediction").alias("kept"))
+    both = M.predict_volume(model, training).select("ds", FOLDED_SERVICE, "prediction").join(kept, ["ds", FOLDED_SERVICE])
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum((F.col("kept") != F.col("prediction")).cast("int")).cast("bigint").alias("changed"))
+
+
 def train_volume_band(spark, sf):
     training = cut_lineage(H.volume_training_set(_hours(spark, sf)))
-    band = M.train_volume_band(training, holdout_days=7, trees=10, depth=4)
+    band = M.train_volume_band(training, holdout_days=7)
     return band.predict(training).select(
         "ds", FOLDED_SERVICE, "Antal_Samtal", "low", "median", "high"
     )
@@ -465,7 +536,7 @@ def train_handling(spark, sf):
     training = cut_lineage(H.aht_training_set(_hours(spark, sf)))
     scored = training
     for target in ("Snitt_Taltid", "Snitt_Vantetid"):
-        model = M.train_handling(training, target, trees=10, depth=4)
+        model = M.train_handling(training, target)
         scored = model.transform(M.aht_features(scored)).withColumnRenamed(
             "prediction", f"{target}_modell"
         ).drop("features", *[c for c in scored.columns if c.endswith("_code")],
@@ -523,14 +594,15 @@ def all_queries() -> dict:
         run_window, incremental_load, incremental_load_ties, bronze_load, forecast_archive,
         collapse_calls, customer_mapping, number_owner, enrich_calls, flag_redials,
         training_data, abandoned_report, call_measures, dim_customer, dim_phone_lookup,
-        explode_numbers, dim_queue, anti_semi_filters, row_filters, keyword_category,
+        explode_numbers, dim_queue, exclusion_list, anti_semi_filters, row_filters, keyword_category,
         subsidiary_flag, string_cleaning, number_rounding, column_projection, wall_time,
         customer_profiles, customer_segments, segment_histogram, peak_pattern, exact_quantiles,
-        call_length_class, monthly_peaks, kmeans_segments,
+        call_length_class, monthly_peaks, kmeans_segments, kmeans_check,
         calendar_features, day_parts, holiday_orders, daily_lags, hourly_history,
         volume_training_set, aht_training_set,
-        weekday_average, recursive_forecast, history_and_forecast, hourly_shape, allocate_hours,
+        weekday_average, weekday_average_orders, recursive_forecast, history_and_forecast, hourly_shape, allocate_hours,
         spread_checksum,
+        volume_model_check, volume_band_residuals, model_inputs, saved_model,
         train_volume, train_volume_band, train_handling, model_forecast,
         latest_run, evaluation_days, evaluate_forecast, trend_series, total_series,
     ]

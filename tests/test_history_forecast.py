@@ -225,6 +225,18 @@ def test_forecast_with_a_model(spark, trained):
     assert weekday and all(250 < n < 600 for n in weekday)
 
 
+def test_what_comes_after_the_start_does_not_change_the_forecast(spark):
+    """A segment, a shape and a level that appear on scored days are not looked at."""
+    hourly, _ = history(spark)
+    start, settings = day("2024-05-01"), Settings()
+    before = hourly.where(F.col("ds") < F.lit(start).cast("timestamp_ntz"))
+    later = before.withColumns({
+        "ds": F.col("ds") + F.expr("INTERVAL '400' DAY") + F.expr("INTERVAL '3' HOUR"), "Behavior_Segment": F.lit("new"),
+        "Antal_Samtal": F.col("Antal_Samtal") * 50})
+    one, other = (P.create_forecast(h, start, start, settings) for h in (before, before.unionByName(later)))
+    assert one.count() > 0 and one.exceptAll(other).count() == 0 == other.exceptAll(one).count()
+
+
 def test_unseen_service_gets_a_prediction(spark, trained):
     _, training, model = trained
     unseen = training.limit(1).withColumn("Tj_nstTyp", F.lit("Ny"))
