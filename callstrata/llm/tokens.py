@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callstrata.llm.common import slices
+
 # How two of the public tokenizers cut a text into words before they merge, written
 # for texts of the letters below only. Other texts, and other tokenizers, go to the library whole.
 BYTE_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:_|[^\s\w])+|\s+(?!\S)|\s+")
@@ -20,13 +22,37 @@ LOWER_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:_|[^\s\w])+")
 OTHER = re.compile("[^\t\n\r -~¡§«°·»¿-įı-ňŊ-ž]")
 BYTE_RULE = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 LOWER_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Words remembered by a Python worker (about 120 MB), and characters encoded at a time.
-REMEMBERED, CHARACTERS = 500_000, 2_000_000
+#: A space that does not stand before a word; such texts are cut by the pattern alone.
+LOOSE_SPACE = re.compile(r" (?:\s|$)")
+#: Words a Python worker remembers in each of two generations (some 120 MB in all).
+REMEMBERED = 300_000
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: printable ones for themselves, others numbered from 256."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in printable]
+    return {b: chr(b) if b in printable else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+class Known(dict):
+    """What `make` says of a word, remembered; when full, words not met since the last time are forgotten."""
+
+    def __init__(self, make):
+        self.make, self.older = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(word)
+        value = self[word] = self.make(word) if found is None else found
+        return value
 
 
 class Encoder:
-    """Ids of texts. A word's ids do not depend on its neighbours, so each new word is encoded
-    by the library once and remembered."""
+    """Ids of texts. The merges of a word do not depend on its neighbours, so the library's model is
+    asked once for each new word and the answer remembered."""
 
     _kept: dict[str, Encoder] = {}
 
@@ -45,60 +71,64 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         cut = spec.get("pre_tokenizer") or {}
-        self.words, self.lower = None, False
+        self.cut, self.lower = None, False
         if not spec.get("normalizer") and cut == BYTE_RULE:
-            self.words = BYTE_WORDS
+            self.cut = BYTE_WORDS.findall
         elif LOWER_RULE in json.dumps(cut, ensure_ascii=False).replace("\\\\", "\\") and "Lowercase" in json.dumps(spec.get("normalizer")):
-            self.words, self.lower = LOWER_WORDS, True
+            self.cut, self.lower = LOWER_WORDS.findall, True
         added = [x["content"] for x in spec.get("added_tokens", [])]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.known: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        letters, model = byte_letters(), self.library.model
+        space = letters[32]
+
+        def merged(word: str) -> bytes:
+            return array("I", [t.id for t in model.tokenize(word)]).tobytes()
+
+        def lettered(word: str) -> bytes:
+            return merged(word.encode().decode("latin-1").translate(letters))
+
+        def part(text: str) -> bytes:
+            if text.isalpha():
+                return merged(text) if text.isascii() else lettered(text)
+            return b"".join(map(self.words.__getitem__, self.cut(text)))
+
+        def spaced(text: str) -> bytes:
+            if text.isalpha():
+                return merged(space + text) if text.isascii() else lettered(" " + text)
+            first, *rest = self.cut(" " + text)
+            own = self.spaced[first[1:]] if first[1:].isalpha() else self.words[first]
+            return own + b"".join(map(self.words.__getitem__, rest))
+
+        #: ids of what stands between spaces, of the same with the space before it, and of its words
+        self.parts, self.spaced, self.words = Known(part), Known(spaced), Known(lettered)
+
+    def _plain(self, text: str) -> bytes:
+        if self.lower:  # white space only separates
+            return b"".join(map(self.parts.__getitem__, text.lower().split()))
+        if LOOSE_SPACE.search(text):
+            return b"".join(map(self.words.__getitem__, self.cut(text)))
+        # a space before a word belongs to it, so the text falls apart at every space
+        first, *rest = text.split(" ")
+        return self.parts[first] + b"".join(map(self.spaced.__getitem__, rest))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        plain = [
-            i for i, x in enumerate(texts)
-            if self.words and not OTHER.search(x) and not (self.added and self.added.search(x))
-        ]
-        out: list[bytes] = [b""] * len(texts)
-        cut = [self.words.findall(texts[i].lower() if self.lower else texts[i]) for i in plain]
-        new = list(set().union(*cut) - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(set().union(*cut))
-        self.known.update(zip(new, self._library(new), strict=True))
-        ids_of = self.known.__getitem__
-        for i, words in zip(plain, cut, strict=True):
-            out[i] = b"".join(map(ids_of, words))
-        rest = sorted(set(range(len(texts))) - set(plain))
-        for i, ids in zip(rest, self._library([texts[i] for i in rest]), strict=True):
-            out[i] = ids
+        out: list[bytes | None] = [
+            self._plain(x) if self.cut and not OTHER.search(x) and not (self.added and self.added.search(x)) else None
+            for x in texts]
+        rest = [i for i, x in enumerate(out) if x is None]
+        found = self.library.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+        for i, x in zip(rest, found, strict=True):
+            out[i] = np.array(x.ids, "<u4").tobytes()
         return out
 
 
-def in_pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of a bounded number of characters, at least one text each."""
-    at, size = 0, 0
-    for i, x in enumerate(texts):
-        if i > at and size + len(x) > CHARACTERS:
-            yield at, i
-            at, size = i, 0
-        size += len(x)
-    if at < len(texts):
-        yield at, len(texts)
-
-
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
     """For runs of rows (doc_id, text): the ids of the rows, and their tokens with the end id."""
     encoder, end = Encoder.of(path), np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        texts = [x or "" for x in batch.column(1).to_pylist()]
-        for at, to in in_pieces(texts):
-            yield batch.column(0).slice(at, to - at), [x + end for x in encoder.encode(texts[at:to])]
+        for at, texts in slices(batch.column(1)):
+            yield batch.column(0).slice(at, len(texts)), [x + end for x in encoder.encode(texts)]
 
 
 def id_lists(parts: list[bytes]) -> pa.Array:
