@@ -101,16 +101,19 @@ plain AS (
   SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS p, s
   FROM (SELECT doc_id, k, trim(regexp_replace(lower(piece), '[ \t\r\n\f]+', ' ', 'g')) AS s FROM pieces)
   WHERE s <> ''),
-runs AS (
-  SELECT a.doc_id, a.p, a.s || chr(1) || b.s || chr(1) || c.s AS run
-  FROM plain a JOIN plain b ON a.doc_id = b.doc_id AND b.p = a.p + 1
-  JOIN plain c ON a.doc_id = c.doc_id AND c.p = a.p + 2),
-long_runs AS (SELECT * FROM runs WHERE len(string_split(replace(run, chr(1), ' '), ' ')) >= 10),
+counted AS (SELECT *, sum(len(string_split(s, ' '))) OVER (PARTITION BY doc_id ORDER BY p) AS upto FROM plain),
+reach AS (
+  SELECT a.doc_id, a.p, min(b.p) AS last
+  FROM counted a JOIN counted b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p + 1 AND a.p + 25
+  WHERE b.upto - a.upto + len(string_split(a.s, ' ')) >= 25 GROUP BY ALL),
+long_runs AS (
+  SELECT r.doc_id, r.p, r.last - r.p + 1 AS n, string_agg(c.s, chr(1) ORDER BY c.p) AS run
+  FROM reach r JOIN plain c ON r.doc_id = c.doc_id AND c.p BETWEEN r.p AND r.last GROUP BY ALL),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS place,
          min(doc_id) OVER (PARTITION BY run) AS first_doc_id FROM long_runs),
 covered AS (
-  SELECT doc_id, p + unnest([0, 1, 2]) AS sentence, first_doc_id FROM ranked WHERE place > 1),
+  SELECT doc_id, unnest(range(p, p + n)) AS sentence, first_doc_id FROM ranked WHERE place > 1),
 each AS (SELECT doc_id, sentence, min(first_doc_id) AS first_doc_id FROM covered GROUP BY ALL)
 SELECT doc_id, first_doc_id, count(*) AS sentences, min(sentence) AS first_sentence, max(sentence) AS last_sentence
 FROM each GROUP BY doc_id, first_doc_id
