@@ -22,6 +22,8 @@ SEED = 42
 #: Boosting rounds wherever trees are fitted (fixed value, as in the studied pipeline).
 TREES = 500
 LABEL = "label"
+#: The solver takes 4,096 inputs; each service is one, and calendar and lags take the rest.
+MOST_SERVICES = 4_000
 
 
 def _codes(columns: Sequence[str]) -> list[StringIndexer]:
@@ -120,6 +122,9 @@ def train_volume(
     """The operative volume model: Tweedie regression with a log link, or boosted trees."""
     data = volume_features(training, lags).withColumn(LABEL, F.col("Antal_Samtal").cast("double"))
     if learner == "tweedie":
+        services = data.agg(F.count_distinct(FOLDED_SERVICE).alias("n")).first()["n"]
+        if services > MOST_SERVICES:
+            raise ValueError(f"{services} services; the linear model takes at most {MOST_SERVICES}, boosted trees any number")
         return _tweedie_pipeline(lags).fit(data)
     bins = bins_for(data, FOLDED_SERVICE)
     return _tree_pipeline("volume", lags, "squared", trees, bins, depth).fit(data)
