@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from callstrata.session import cut_lineage as stored
 
-__all__ = ["Codes", "anti", "empty_as_blank", "hot_join", "mixed", "semi", "sized", "slices", "stored", "table", "text_key"]
+__all__ = ["STORES", "Codes", "anti", "empty_as_blank", "hot_join", "mixed", "remember_only", "semi", "sized", "slices", "stored", "table", "text_key"]
 
 #: A side of two or three numbers per row may be broadcast up to so many rows (some 30 MB in a task).
 BROADCAST_ROWS = 250_000
@@ -82,9 +82,13 @@ def hot_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str
 
     hot = side("hot", groups.where(F.col(count) > limit))
     cold = side("cold", groups.where(F.col(count) <= limit))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
     marked = rows.join(F.broadcast(hot), same("hot"), "left").withColumn(
         "__salt",
-        F.when(F.col("__hot").isNull(), 0).otherwise((F.pmod(F.xxhash64(spread), F.lit(4096)) + 1).cast("int")),
+        F.when(F.col("__hot").isNull() & known, 0)  # a null key matches nothing and is spread as well
+        .otherwise((F.pmod(F.xxhash64(spread), F.lit(4096)) + 1).cast("int")),
     )
     joined = marked.join(cold, same("cold") & (F.col("__salt") == F.col("__cold")), "left")
     return joined.select(
@@ -104,10 +108,25 @@ def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, list]
         at = end
 
 
+#: All stores of words of this Python process.
+STORES: list = []
+
+
+def remember_only(*stores) -> None:
+    """Empty all other stores of words in this Python worker, which serves one task after another."""
+    for store in STORES:
+        if not any(store is x for x in stores):
+            store.clear()
+
+
 class Codes(dict):
     """Number of a word, remembered up to a bound; the number depends on the word alone."""
 
-    bound = 200_000
+    bound = 120_000
+
+    def __init__(self):
+        super().__init__()
+        STORES.append(self)
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.bound:

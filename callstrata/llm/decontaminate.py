@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, anti, sized, slices, stored, text_key
+from callstrata.llm.common import Codes, anti, remember_only, sized, slices, stored, text_key
 
 WORD = regex.compile(r"\w+")
 #: Words looked at around a hit, and how many of them must agree.
@@ -138,6 +138,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     masks = masks_for(short)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_only(CODES)
         table = bits.value
 
         def chosen(m, hashes, owner):

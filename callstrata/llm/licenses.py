@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, mixed, text_key
+from callstrata.llm.common import Codes, mixed, remember_only, slices, text_key
 
 WORD = regex.compile(r"\w+")
 SHINGLE, CONTAINED = 5, 0.8
@@ -198,15 +198,10 @@ def licenses(docs: DataFrame, templates: Mapping[str, str] = NOTICES) -> DataFra
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_only(CODES)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            at = 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) < 2_000_000):
-                    size += len(texts[end])
-                    end += 1
-                parts = [word_codes(x) for x in texts[at:end]]
+            for at, texts in slices(batch.column(2)):
+                parts = [word_codes(x) for x in texts]
                 sizes = np.array([len(x) for x in parts], np.int64)
                 rows = joined(known.value.scan(np.concatenate(parts), np.cumsum(sizes) - sizes, sizes))
                 where = pa.array([at + r[0] for r in rows], pa.int64())
@@ -215,7 +210,6 @@ def licenses(docs: DataFrame, templates: Mapping[str, str] = NOTICES) -> DataFra
                      *[pa.array([r[k] for r in rows], t) for k, t in
                        ((1, pa.string()), (2, pa.int64()), (3, pa.int64()), (4, pa.float64()))]],
                     ["doc_id", "text_key", "license", "first_word", "last_word", "containment"])
-                at = end
 
     return docs.where(F.col("text").isNotNull()).select(
         "doc_id", text_key(F.col("text")).alias("text_key"), "text"

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, empty_as_blank, mixed, stored
+from callstrata.llm.common import Codes, empty_as_blank, mixed, remember_only, slices, stored
 
 WORD = regex.compile(r"\w+|[^\w\s]+")
 BITS = 18
@@ -92,9 +92,10 @@ def _features(rows: DataFrame) -> DataFrame:
     """(shard order, label, buckets, values) of labelled texts; values are scaled shares of the n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_only(CODES)
         for batch in batches:
             out = []
-            for text in batch.column(2).to_pylist():
+            for text in (x for _, part in slices(batch.column(2)) for x in part):
                 ids, _, n = grams([text])
                 at, times = np.unique(ids, return_counts=True)
                 out.append((at.astype(np.int32), (times / max(n[0], 1)).astype(np.float32)))
@@ -182,22 +183,17 @@ def score(docs: DataFrame, weights: np.ndarray, settings: Settings = Settings())
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # fixed size, one megabyte
 
-    @F.pandas_udf("double")
-    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        remember_only(CODES)
         w = shared.value
-        for texts in parts:
-            out = np.empty(len(texts))
-            done, rows = 0, texts.fillna("").tolist()
-            while done < len(rows):
-                size, end = 0, done  # a few megabytes of text at a time
-                while end < len(rows) and (end == done or size + len(rows[end]) < 4_000_000):
-                    size += len(rows[end])
-                    end += 1
-                ids, owner, n = grams(rows[done:end])
-                total = np.bincount(owner, weights=w[ids], minlength=end - done)
-                out[done:end] = total * settings.scale / np.maximum(n, 1) + w[-1]
-                done = end
-            yield pd.Series(1 / (1 + np.exp(-np.clip(out, -35, 35))))
+        for column in parts:
+            out = np.empty(len(column))
+            for at, texts in slices(column):
+                ids, owner, n = grams([x or "" for x in texts])
+                total = np.bincount(owner, weights=w[ids], minlength=len(texts))
+                out[at: at + len(texts)] = total * settings.scale / np.maximum(n, 1) + w[-1]
+            yield pa.array(1 / (1 + np.exp(-np.clip(out, -35, 35))))
 
     return docs.withColumn("__score", scores(F.col("text")))
 

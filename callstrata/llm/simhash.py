@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import anti, hot_join, semi, stored, text_key
+from callstrata.llm.common import anti, hot_join, remember_only, semi, slices, stored, text_key
 from callstrata.llm.components import components
 
 BITS = 64
@@ -55,8 +55,10 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id, text_key, fp) of every row; fp is the unsigned fingerprint's bits in a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_only()
         for batch in batches:
-            found = np.array([fingerprint(x, width) for x in batch.column(2).to_pylist()], np.uint64)
+            found = np.array(
+                [fingerprint(x, width) for _, part in slices(batch.column(2)) for x in part], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found.view(np.int64))],
                 ["doc_id", "text_key", "fp"])

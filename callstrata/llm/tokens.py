@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import slices
+from callstrata.llm.common import STORES, remember_only, slices
 
 # How two of the public tokenizers cut a text into words before they merge, written
 # for texts of the letters below only. Other texts, and other tokenizers, go to the library whole.
@@ -24,8 +24,8 @@ BYTE_RULE = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": Tru
 LOWER_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A space that does not stand before a word; such texts are cut by the pattern alone.
 LOOSE_SPACE = re.compile(r" (?:\s|$)")
-#: Words a Python worker remembers in each of two generations (some 120 MB in all).
-REMEMBERED = 300_000
+#: Words a Python worker remembers in each of two generations (some 80 MB in all).
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -39,12 +39,19 @@ class Known(dict):
     """What `make` says of a word, remembered; when full, words not met since the last time are forgotten."""
 
     def __init__(self, make):
+        super().__init__()
         self.make, self.older = make, {}
+        STORES.append(self)
+
+    def clear(self) -> None:
+        self.older = {}
+        super().clear()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
-            self.older = dict(self)
+            older = dict(self)
             self.clear()
+            self.older = older
         found = self.older.get(word)
         value = self[word] = self.make(word) if found is None else found
         return value
@@ -95,6 +102,8 @@ class Encoder:
         def spaced(text: str) -> bytes:
             if text.isalpha():
                 return merged(space + text) if text.isascii() else lettered(" " + text)
+            if text[:-1].isalpha() and not text[-1].isalnum() and not text[-1].isspace():
+                return self.spaced[text[:-1]] + self.words[text[-1]]  # a word and one mark, as most are
             first, *rest = self.cut(" " + text)
             own = self.spaced[first[1:]] if first[1:].isalpha() else self.words[first]
             return own + b"".join(map(self.words.__getitem__, rest))
@@ -126,6 +135,7 @@ class Encoder:
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
     """For runs of rows (doc_id, text): the ids of the rows, and their tokens with the end id."""
     encoder, end = Encoder.of(path), np.array([end_id], "<u4").tobytes()
+    remember_only(encoder.parts, encoder.spaced, encoder.words)
     for batch in batches:
         for at, texts in slices(batch.column(1)):
             yield batch.column(0).slice(at, len(texts)), [x + end for x in encoder.encode(texts)]
