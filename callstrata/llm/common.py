@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from callstrata.session import cut_lineage as stored
 
-__all__ = ["STORES", "Codes", "anti", "empty_as_blank", "hot_join", "mixed", "remember_only", "semi", "sized", "slices", "stored", "table", "text_key"]
+__all__ = ["STORES", "Codes", "anti", "empty_as_blank", "hash_set", "hot_join", "in_set", "limit_batches", "mixed", "remember_only", "semi", "sized", "slices", "stored", "table", "text_key"]
 
 #: A side of two or three numbers per row may be broadcast up to so many rows (some 30 MB in a task).
 BROADCAST_ROWS = 250_000
@@ -59,11 +59,14 @@ def anti(docs: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return _matched(docs, keys, on, "left_anti")
 
 
-def hot_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str, spread: Column) -> DataFrame:
+def hot_join(
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str, spread: Column, merge: bool = False
+) -> DataFrame:
     """Left join rows to groups (unique, non-null keys; `count` = rows of the key), hot keys apart.
 
     Keys with more than a thousandth of all rows number below a thousand: they are broadcast, and
     their rows carry a salt that spreads them over the shuffle of the rest instead of piling up.
+    With `merge` the rest is joined by sorting at every size; else the optimizer may choose.
     """
     values = [c for c in groups.columns if c not in (*keys, count)]
     total = groups.agg(F.sum(count).alias("n")).first()["n"] or 0
@@ -82,6 +85,7 @@ def hot_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str
 
     hot = side("hot", groups.where(F.col(count) > limit))
     cold = side("cold", groups.where(F.col(count) <= limit))
+    cold = cold.hint("merge") if merge else cold
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
@@ -97,6 +101,34 @@ def hot_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str
     )
 
 
+#: Bits of a set of hashes that is sent to every task (8 MB).
+SET_BITS = 26
+
+
+def hash_set(rows: DataFrame, column: str) -> np.ndarray:
+    """A set of 64-bit hashes by their upper bits: 8 MB, however many there are. Members are always
+    found; of others a share, small while members are few beside 2^26, is found as well."""
+    spot = F.shiftrightunsigned(column, 64 - SET_BITS)
+    words = rows.select(F.shiftright(spot, 6).alias("word"), F.pmod(spot, F.lit(64)).cast("int").alias("bit")).groupBy(
+        "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    out = np.zeros(1 << (SET_BITS - 6), np.int64)
+    for row in words.toLocalIterator():  # at most 2^20 numbers
+        out[row["word"]] = row["bits"]
+    return out.view(np.uint64)
+
+
+def in_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    spot = hashes >> np.uint64(64 - SET_BITS)
+    return (table[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def limit_batches(spark: SparkSession) -> None:
+    """Let an Arrow batch hold 8 MB instead of 64, as texts are long; a limit the session sets itself stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("64m", "67108864", "67108864b"):
+        spark.conf.set(key, str(8 << 20))
+
+
 def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, list]]:
     """Texts of a column a bounded number of bytes at a time (one text at least), with the place of the first."""
     total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))

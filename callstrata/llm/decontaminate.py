@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, anti, remember_only, sized, slices, stored, text_key
+from callstrata.llm.common import Codes, anti, hash_set, in_set, limit_batches, remember_only, sized, slices, stored, text_key
 
 WORD = regex.compile(r"\w+")
 #: Words looked at around a hit, and how many of them must agree.
@@ -23,8 +23,6 @@ MASKS = ((0, 1, 4, 5, 8, 9), (0, 2, 4, 6, 8, 10))
 SHORTEST = 6
 #: Words kept around a hit: three before it and twelve after its first.
 BEFORE, AROUND = 3, 16
-#: Bits of the set of benchmark hashes that documents are tested against before anything is shuffled.
-SET_BITS = 26
 
 CODES = Codes()
 
@@ -110,17 +108,6 @@ def item_seeds(benchmark: DataFrame) -> tuple[DataFrame, tuple[int, ...]]:
     return once, tuple(sorted(r["mask"] for r in short))
 
 
-def _bitmap(once: DataFrame) -> np.ndarray:
-    """Set of the benchmark's hashes by their upper bits: a fixed size, whatever the benchmark's."""
-    spot = F.shiftrightunsigned("hash", 64 - SET_BITS)
-    words = once.groupBy(F.shiftright(spot, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(shiftrightunsigned(hash, {64 - SET_BITS}), 64) as int))")).alias("bits"))
-    out = np.zeros(1 << (SET_BITS - 6), np.int64)
-    for row in words.toLocalIterator():  # at most 2^20 numbers
-        out[row["word"]] = row["bits"]
-    return out.view(np.uint64)
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, first_word, last_word, equal_words, windows), a row per document and item.
 
@@ -133,8 +120,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and empty texts, null benchmark texts and items under six words match nothing. Equal items
     are reported once, under the smallest id; repeated rows of docs once. Empty tables give no rows.
     """
+    limit_batches(docs.sparkSession)
     once, short = item_seeds(benchmark)
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(once))
+    bits = docs.sparkSession.sparkContext.broadcast(hash_set(once, "hash"))
     masks = masks_for(short)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +130,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         table = bits.value
 
         def chosen(m, hashes, owner):
-            spot = hashes >> np.uint64(64 - SET_BITS)
-            return (table[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+            return in_set(table, hashes)
 
         for batch in batches:
             for at, texts in slices(batch.column(2)):
