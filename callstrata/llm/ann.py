@@ -34,7 +34,7 @@ class Settings:
     most_lists: int = 2_048
     replicas: int = 8
     boundary: float = 1.15
-    reach: float = 1.22
+    reach: float = 1.18
     degree: int = 16
     group_rows: int = 4_096
     query_rows: int = 2_048
@@ -157,6 +157,38 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float32)
 
 
+def memberships(index: Index, vectors: np.ndarray, s: Settings) -> list[list[int]]:
+    """The lists of each vector, nearest first."""
+    apart = _distances(index.lengthened(vectors), index.centroids)
+    width = min(s.replicas, apart.shape[1])
+    near = np.argpartition(apart, width - 1, axis=1)[:, :width]
+    found = np.take_along_axis(apart, near, axis=1)
+    order = found.argsort(axis=1, kind="stable")
+    near, found = np.take_along_axis(near, order, axis=1), np.take_along_axis(found, order, axis=1)
+    inside = found <= np.maximum(found[:, :1] * s.boundary, 1e-6)
+    inside[:, 0] = True
+    return [n[i].tolist() for n, i in zip(near, inside, strict=True)]
+
+
+@dataclass(frozen=True)
+class Sample:
+    """The fitted vectors by list: what k of them reach in a query's lists bounds its k nearest from below."""
+
+    ids: np.ndarray
+    vectors: np.ndarray
+    members: list[np.ndarray]
+
+    def bound(self, number: int, query: np.ndarray, lists: np.ndarray, k: int) -> float:
+        here = np.unique(np.concatenate([self.members[x] for x in lists]))
+        here = here[self.ids[here] != number]
+        if len(here) < k:
+            return float("-inf")
+        rough = self.vectors[here] @ query
+        best = here[np.argpartition(rough, -k)[-k:]]
+        # the least of k true scores, summed as the final scores are
+        return float((query.astype(np.float64) * self.vectors[best].astype(np.float64)).sum(axis=1).min())
+
+
 def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings(), vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): per query its s.k nearest by inner product, in double precision.
 
@@ -179,27 +211,27 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings(), vect
     share = min(1.0, s.sample_rows / facts["n"])
     place = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30))
     # the share keeps the sample near its bound; the limit makes the bound hold
-    picked = rows.where(place <= int(share * (1 << 30))).orderBy(place, "vec_id").select("vec").limit(s.sample_rows)
-    sample = np.stack([np.array(r["vec"], np.float32) for r in picked.collect()])
-    index = spark.sparkContext.broadcast(
-        fit(sample, float(np.sqrt(facts["m"])), min(s.most_lists, facts["n"] // s.list_rows), s))
+    picked = rows.where(place <= int(share * (1 << 30))).orderBy(place, "vec_id").select("vec_id", "vec").limit(s.sample_rows)
+    taken = {r["vec_id"]: np.array(r["vec"], np.float32) for r in picked.collect()}
+    drawn = np.stack(list(taken.values()))
+    fitted = fit(drawn, float(np.sqrt(facts["m"])), min(s.most_lists, facts["n"] // s.list_rows), s)
+    members: list[list[int]] = [[] for _ in fitted.centroids]
+    for at in range(0, len(drawn), 2_048):
+        for i, lists in enumerate(memberships(fitted, drawn[at: at + 2_048], s), at):
+            for x in lists:
+                members[x].append(i)
+    index = spark.sparkContext.broadcast(fitted)
+    known = spark.sparkContext.broadcast(
+        Sample(np.array(list(taken)), drawn, [np.array(m, np.int32) for m in members]))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
             for at in range(0, batch.num_rows, 2_048):
                 part = batch.slice(at, 2_048)
-                apart = _distances(own.lengthened(_matrix(part.column(1))), own.centroids)
-                width = min(s.replicas, apart.shape[1])
-                near = np.argpartition(apart, width - 1, axis=1)[:, :width]
-                found = np.take_along_axis(apart, near, axis=1)
-                order = found.argsort(axis=1, kind="stable")
-                near, found = np.take_along_axis(near, order, axis=1), np.take_along_axis(found, order, axis=1)
-                inside = found <= np.maximum(found[:, :1] * s.boundary, 1e-6)
-                inside[:, 0] = True
+                found = memberships(own, _matrix(part.column(1)), s)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([n[i].tolist() for n, i in zip(near, inside, strict=True)], pa.list_(pa.int32()))],
-                    ["vec_id", "vec", "lists"])
+                    [part.column(0), part.column(1), pa.array(found, pa.list_(pa.int32()))], ["vec_id", "vec", "lists"])
 
     kind = rows.schema["vec_id"].dataType.simpleString()
     posted = stored(rows.mapInArrow(assign, f"vec_id {kind}, vec array<float>, lists array<int>"))
@@ -217,22 +249,26 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings(), vect
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                asked = own.asked(_matrix(part.column(1)))
+                plain, numbers = _matrix(part.column(1)), part.column(0).to_pylist()
+                asked = own.asked(plain)
                 apart = own.search(asked, s.reach)
                 limit = s.reach * np.maximum(apart.min(axis=1), own.usual)
-                lists = []
+                lists, bounds = [], []
                 for i in range(len(asked)):
                     chosen = np.nonzero(apart[i] <= limit[i])[0]
+                    chosen = chosen[np.argsort(apart[i][chosen], kind="stable")]
                     if primary[chosen].sum() < 2 * s.k + 2:  # too few vectors: go on by distance
                         order = np.argsort(_distances(asked[i: i + 1], own.centroids)[0], kind="stable")
                         enough = np.searchsorted(np.cumsum(primary[order]), 2 * s.k + 2) + 1
-                        chosen = np.union1d(chosen, order[:enough])
+                        chosen = order[: max(enough, len(chosen))]
                     lists.append(chosen.tolist())
+                    bounds.append(known.value.bound(numbers[i], plain[i], chosen, s.k))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(lists, pa.list_(pa.int32()))],
-                    ["vec_id", "vec", "lists"])
+                    [part.column(0), part.column(1), pa.array(lists, pa.list_(pa.int32())), pa.array(bounds, pa.float64())],
+                    ["vec_id", "vec", "lists", "bound"])
 
-    asked = stored(queries.select("vec_id", "vec").mapInArrow(probe, f"vec_id {kind}, vec array<float>, lists array<int>"))
+    asked = stored(queries.select("vec_id", "vec").mapInArrow(
+        probe, f"vec_id {kind}, vec array<float>, lists array<int>, bound double"))
     map_group = F.array(*[F.lit(int(g)) for g in group])
     to_groups = F.array_distinct(F.transform("lists", lambda x: F.get(map_group, x)))
     blocks = np.ones(len(splits), np.int64)
@@ -240,6 +276,8 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings(), vect
         blocks[r["g"]] = -(-r["count"] // s.query_rows)
 
     def deal(query_side: bool):
+        """Rows or queries once per block they meet in: (g, a, b), a of a group's rows, b of its queries."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 source, out = [], []
@@ -265,14 +303,16 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings(), vect
     def dealt(batch, source, out):
         where = pa.array(source)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(where), batch.column(1).take(where),
+            [batch.column(0).take(where), batch.column(1).take(where), batch.column(3).take(where),
              *[pa.array([o[k] for o in out], pa.int32()) for k in range(3)], pa.array([o[3] for o in out], pa.list_(pa.int32()))],
-            ["vec_id", "vec", "g", "a", "b", "lists"])
+            ["vec_id", "vec", "bound", "g", "a", "b", "lists"])
+
+    schema = f"vec_id {kind}, vec array<float>, bound double, g int, a int, b int, lists array<int>"
 
-    schema = f"vec_id {kind}, vec array<float>, g int, a int, b int, lists array<int>"
-    left = asked.mapInArrow(deal(True), schema).groupBy("g", "a", "b")
-    right = posted.mapInArrow(deal(False), schema).groupBy("g", "a", "b")
-    best = left.cogroup(right).applyInPandas(scan(s.k), f"query_id {kind}, vec_id {kind}, score double")
+    sides = [
+        df.select("vec_id", "vec", "lists", "bound").mapInArrow(deal(side), schema).groupBy("g", "a", "b")
+        for side, df in ((True, asked), (False, posted.withColumn("bound", F.lit(0.0))))]
+    best = sides[0].cogroup(sides[1]).applyInPandas(scan(s.k), f"query_id {kind}, vec_id {kind}, score double")
     first = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= s.k).select(
@@ -300,7 +340,8 @@ def grouped(index: Index, sizes: np.ndarray, group_rows: int) -> np.ndarray:
 
 
 def scan(k: int):
-    """Best k candidates of each query among the vectors of the lists it asks for, in one block."""
+    """Best k candidates of each query among the vectors of the lists it asks for, in one block, if
+    they reach the query's bound."""
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
@@ -308,7 +349,7 @@ def scan(k: int):
             return empty
         vectors = np.stack(rows["vec"].to_numpy()).astype(np.float64)
         asked = np.stack(queries["vec"].to_numpy()).astype(np.float64)
-        ids, numbers = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
+        ids, numbers, bounds = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy(), queries["bound"].to_numpy()
         lists = sorted({x for own in rows["lists"] for x in own} | {x for own in queries["lists"] for x in own})
         where = {x: i for i, x in enumerate(lists)}
         holds, wants = np.zeros((len(rows), len(lists)), np.float32), np.zeros((len(queries), len(lists)), np.float32)
@@ -320,12 +361,15 @@ def scan(k: int):
             score = asked[at: at + 256] @ vectors.T
             met = (wants[at: at + 256] @ holds.T > 0) & (ids[None, :] != numbers[at: at + 256, None])
             score[~met] = -np.inf
-            if score.shape[1] > k:  # a hair below the k-th, so that rounding loses no tie
-                least = np.partition(score, -k, axis=1)[:, -k] - 1e-9 * (1 + np.abs(np.where(met, score, 0)).max(axis=1))
-                met &= score >= least[:, None]
-            q, v = np.nonzero(met)
+            least = bounds[at: at + 256]
+            if score.shape[1] > k:
+                least = np.maximum(least, np.partition(score, -k, axis=1)[:, -k])
+            # a hair below, so that rounding loses no tie
+            near = least - 1e-9 * (1 + np.abs(np.where(met, score, 0)).max(axis=1))
+            q, v = np.nonzero(met & (score >= near[:, None]))
             exact = (asked[at + q] * vectors[v]).sum(axis=1)
-            part = pd.DataFrame({"query_id": numbers[at + q], "vec_id": ids[v], "score": exact})
+            reached = exact >= bounds[at + q]
+            part = pd.DataFrame({"query_id": numbers[at + q], "vec_id": ids[v], "score": exact})[reached]
             part = part.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
             out.append(part.groupby("query_id").head(k))
         return pd.concat(out) if out else empty
