@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, mixed, remember_only, slices, text_key
+from callstrata.llm.common import Codes, limit_batches, mixed, remember_only, slices, text_key
 
 WORD = regex.compile(r"\w+")
 SHINGLE, CONTAINED = 5, 0.8
@@ -194,6 +194,7 @@ def licenses(docs: DataFrame, templates: Mapping[str, str] = NOTICES) -> DataFra
     word, with the best containment. Null, empty and short texts and templates without words match
     nothing. Repeated rows have repeated results. Only doc_id and text are read.
     """
+    limit_batches(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(Templates(templates))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, empty_as_blank, mixed, remember_only, slices, stored
+from callstrata.llm.common import Codes, empty_as_blank, limit_batches, mixed, remember_only, slices, stored
 
 WORD = regex.compile(r"\w+|[^\w\s]+")
 BITS = 18
@@ -133,6 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     round starts from the average. A state has a fixed size, the sample a documented bound, so what
     reaches the driver does not grow with the corpus.
     """
+    limit_batches(docs.sparkSession)
     rows = stored(_features(training_rows(docs, labels, settings)).withColumn(
         "shard", F.pmod(F.xxhash64("place"), F.lit(settings.shards))))
     size = (1 << BITS) + 1
@@ -181,6 +182,7 @@ def score(docs: DataFrame, weights: np.ndarray, settings: Settings = Settings())
     Null and empty texts get the intercept's score; with nothing learned every score is 0.5.
     Repeated rows score alike; no rows give no rows; other columns pass unchanged.
     """
+    limit_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # fixed size, one megabyte
 
     @F.arrow_udf("double")

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import anti, hot_join, remember_only, semi, slices, stored, text_key
+from callstrata.llm.common import anti, hot_join, limit_batches, remember_only, semi, slices, stored, text_key
 from callstrata.llm.components import components
 
 BITS = 64
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(found.view(np.int64))],
                 ["doc_id", "text_key", "fp"])
 
+    limit_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.col("text").cast("binary"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, fp bigint")

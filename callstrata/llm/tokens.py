@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import STORES, remember_only, slices
+from callstrata.llm.common import STORES, limit_batches, remember_only, slices
 
 # How two of the public tokenizers cut a text into words before they merge, written
 # for texts of the letters below only. Other texts, and other tokenizers, go to the library whole.
@@ -167,4 +167,5 @@ def task_number() -> int:
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
+    limit_batches(docs.sparkSession)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -15,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import hot_join, stored
+from callstrata.llm.common import hot_join, limit_batches, stored
 from callstrata.llm.tokens import task_number
 
 END = b"\r\n\r\n"
@@ -132,6 +132,7 @@ def write_archives(captures: DataFrame, path: str, roll_bytes: int = 256 << 20)
     Spark commits the entries of one attempt per task, so files of lost attempts are never named.
     `path` must be a folder all executors share. Columns: those of decided().
     """
+    limit_batches(captures.sparkSession)
     _store(path)[0].create_dir(f"{_store(path)[1]}/archive", recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
