@@ -317,7 +317,11 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """Documents without all but one row of each near-duplicate group; columns as given."""
-    found = stored(near_duplicates(docs, width, radius))
+    return keep_first(docs, stored(near_duplicates(docs, width, radius)))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Documents that `found` (doc_id, text_key, keeps) marks, one row each; columns as given."""
     keyed = docs.withColumn("__text_key", text_key(F.col("text")))
     drop = found.where(~F.col("keeps")).select("doc_id", F.col("text_key").alias("__text_key")).distinct()
     kept = anti(keyed, drop, ["doc_id", "__text_key"])
