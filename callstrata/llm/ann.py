@@ -34,7 +34,7 @@ class Settings:
     most_lists: int = 2_048
     replicas: int = 8
     boundary: float = 1.15
-    reach: float = 1.18
+    reach: float = 1.22
     degree: int = 16
     group_rows: int = 4_096
     query_rows: int = 2_048

@@ -101,3 +101,18 @@ def test_graph_reaches_what_lies_within_reach(n):
     reached, true = index.search(asked, 1.2), A._distances(asked, index.centroids)
     inside = true <= 1.2 * np.maximum(true.min(axis=1, keepdims=True), index.usual)
     assert np.isfinite(reached[inside]).mean() > 0.95
+
+
+def test_lists_looked_into_hold_the_neighbours_of_random_directions():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(6_000, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = A.Settings()
+    index = A.fit(x, 1.0, len(x) // s.list_rows, s)
+    lists, apart = A.memberships(index, x, s), index.search(index.asked(x[:300]), s.reach)
+    limit, held = s.reach * np.maximum(apart.min(axis=1), index.usual), 0
+    for i in range(300):
+        seen, score = set(np.nonzero(apart[i] <= limit[i])[0].tolist()), x @ x[i]
+        score[i] = -np.inf
+        held += sum(bool(seen & set(lists[v])) for v in np.argsort(-score)[: s.k].tolist())
+    assert held / (300 * s.k) > 0.95
