@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callstrata.llm import decontaminate, lines, overlap, packing, quality
+from callstrata.llm import decontaminate, lines, packing, quality, simhash
 from callstrata.llm.common import stored, table
 from callstrata.llm.queries import END_ID, tokenizer_file
 
@@ -18,7 +18,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return overlap.keep_one(docs)
+    return simhash.keep_one(docs, width=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ STAGES = [
     ("best-fit packing", best_fit_packing),
 ]
 
-#: The classifier, the shingles and the tokenizer have no SQL form.
+#: The classifier, the fingerprints and the tokenizer have no SQL form.
 ORACLE_SQL = None
 
 
