@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from callstrata.session import cut_lineage as stored
 
-__all__ = ["STORES", "Codes", "anti", "empty_as_blank", "hash_set", "hot_join", "in_set", "limit_batches", "mixed", "remember_only", "semi", "sized", "slices", "stored", "table", "text_key"]
+__all__ = ["STORES", "Codes", "anti", "empty_as_blank", "hash_set", "hot_join", "in_set", "limit_batches", "mixed", "packed", "remember_only", "semi", "sized", "slices", "stored", "table", "text_key"]
 
 #: A side of two or three numbers per row may be broadcast up to so many rows (some 30 MB in a task).
 BROADCAST_ROWS = 250_000
@@ -34,6 +35,11 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def packed(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """Whole rows in one column `row`, so that their columns' names meet no others; select("row.*") gives them back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *more)
+
+
 def sized(keys: DataFrame, rows: int) -> DataFrame:
     """Marked for broadcast only if its counted rows are within the bound."""
     return F.broadcast(keys) if rows <= BROADCAST_ROWS else keys
@@ -142,13 +148,19 @@ def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, list]
 
 #: All stores of words of this Python process.
 STORES: list = []
+#: Gives freed memory back to the system, where the C library can.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def remember_only(*stores) -> None:
-    """Empty all other stores of words in this Python worker, which serves one task after another."""
+    """Empty all other stores of words in this Python worker, which serves one task after another, and give
+    the memory back that earlier tasks have left."""
     for store in STORES:
         if not any(store is x for x in stores):
             store.clear()
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
 
 class Codes(dict):

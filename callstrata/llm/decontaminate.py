@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, anti, hash_set, in_set, limit_batches, remember_only, sized, slices, stored, text_key
+from callstrata.llm.common import Codes, anti, hash_set, in_set, limit_batches, packed, remember_only, sized, slices, stored, text_key
 
 WORD = regex.compile(r"\w+")
 #: Words looked at around a hit, and how many of them must agree.
@@ -165,6 +165,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold no passage of the benchmark; columns as given."""
-    found = contaminated(docs, benchmark).select("doc_id", F.col("text_key").alias("__text_key")).distinct()
-    keyed = docs.withColumn("__text_key", text_key(F.col("text")))
-    return anti(keyed, found, ["doc_id", "__text_key"]).drop("__text_key")
+    found = contaminated(docs, benchmark).select("doc_id", "text_key").distinct()
+    keyed = packed(docs, "doc_id", text_key(F.col("text")).alias("text_key"))
+    return anti(keyed, found, ["doc_id", "text_key"]).select("row.*")

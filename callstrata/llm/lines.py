@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import stored
+from callstrata.llm.common import packed, stored
 
 #: Copies of a host's list of boilerplate lines when that list is too big to broadcast.
 SALTS = 32
@@ -49,40 +49,38 @@ def _boilerplate(pages: DataFrame, max_ratio: float, min_pages: int) -> DataFram
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", max_ratio: float = 0.08, min_pages: int = 5
+    docs: DataFrame, host: str = "source", max_ratio: float = 0.08, min_pages: int = 5,
+    count: str | None = "__lines_dropped",
 ) -> DataFrame:
     """docs with boilerplate lines cut out of `text`; `n_chars`, if there, is the new length.
 
-    Adds __lines_dropped. Rows stay rows: a text of boilerplate only becomes empty, a null text
-    stays null, an empty one empty. A null host is a host of its own. Repeated rows have equal
-    results; copies count as one page. Other columns, whatever their names, pass unchanged.
-    The main path is DataFrame functions only.
+    Adds the number of lines cut as column `count` (None: no such column). Rows stay rows: a text of
+    boilerplate only becomes empty, a null text stays null, an empty one empty. A null host is a host
+    of its own. Repeated rows have equal results; copies count as one page. Other columns, whatever
+    their names, pass unchanged. The main path is DataFrame functions only.
     """
     listed = stored(boilerplate(docs, host, max_ratio, min_pages))
-    per_host = stored(
-        listed.groupBy(F.col("host").alias("__host")).agg(F.collect_set("line").alias("__listed"))
-    )
+    per_host = stored(listed.groupBy(F.col("host").alias("of")).agg(F.collect_set("line").alias("listed")))
     # collect_set: bounded per host, see boilerplate(); counted below before it is broadcast
+    own = packed(docs, F.col(f"`{host}`").alias("host"), "text")
     if listed.count() <= BROADCAST_LINES:
-        joined = docs.join(F.broadcast(per_host), docs[host].eqNullSafe(per_host["__host"]), "left")
+        joined = own.join(F.broadcast(per_host), own["host"].eqNullSafe(per_host["of"]), "left")
     else:
-        salted = per_host.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        own = docs.withColumn("__salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
-        joined = own.join(
-            salted, own[host].eqNullSafe(salted["__host"]) & (own["__salt"] == salted["__copy"]), "left")
+        salted = per_host.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = own.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+        joined = own.join(salted, own["host"].eqNullSafe(salted["of"]) & (own["salt"] == salted["copy"]), "left")
     lines = _lines(F.col("text"))
     # first the few listed lines of this text, then each line against those few
-    bad = F.array_intersect(F.transform(lines, _hash), F.col("__listed"))
-    marked = joined.withColumn("__bad", F.when(F.col("__listed").isNotNull(), bad))
-    keep = F.filter(lines, lambda x: ~F.array_contains(F.col("__bad"), _hash(x)) | (F.trim(x) == ""))
-    touched = F.coalesce(F.size("__bad") > 0, F.lit(False)) & F.col("text").isNotNull()
-    text = F.when(touched, F.array_join(keep, "\n")).otherwise(F.col("text"))
-    dropped = F.when(touched, F.size(lines) - F.size(keep)).otherwise(F.lit(0))
-    out = marked.select(
-        *[(text.alias("text") if c == "text" else F.col(f"`{c}`")) for c in docs.columns],
-        dropped.alias("__lines_dropped"),
-    )
+    bad = F.array_intersect(F.transform(lines, _hash), F.col("listed"))
+    marked = joined.withColumn("bad", F.when(F.col("listed").isNotNull(), bad))
+    keep = F.filter(lines, lambda x: ~F.array_contains(F.col("bad"), _hash(x)) | (F.trim(x) == ""))
+    touched = F.coalesce(F.size("bad") > 0, F.lit(False)) & F.col("text").isNotNull()
+    cut = marked.select(
+        "row", F.when(touched, F.array_join(keep, "\n")).otherwise(F.col("text")).alias("text"),
+        F.when(touched, F.size(lines) - F.size(keep)).otherwise(F.lit(0)).alias("dropped"))
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn(
-            "n_chars", F.when(F.col("__lines_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return out
+        row = row.withField(
+            "n_chars", F.when(F.col("dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("row.n_chars")))
+    more = [F.col("dropped").alias(count)] if count else []
+    return cut.select(row.alias("row"), *more).select("row.*", *([count] if count else []))

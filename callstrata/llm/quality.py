@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import Codes, empty_as_blank, limit_batches, mixed, remember_only, slices, stored
+from callstrata.llm.common import Codes, empty_as_blank, limit_batches, mixed, packed, remember_only, slices, stored
 
 WORD = regex.compile(r"\w+|[^\w\s]+")
 BITS = 18
@@ -208,5 +208,5 @@ def accepted(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     weights = fit(docs, labels, settings)
     if not weights.any():
         return docs
-    scored = score(docs, weights, settings)
-    return scored.where(F.col("__score") >= settings.accept).drop("__score")
+    scored = score(packed(docs, "text"), weights, settings)
+    return scored.where(F.col("__score") >= settings.accept).select("row.*")

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import anti, hot_join, limit_batches, remember_only, semi, slices, stored, text_key
+from callstrata.llm.common import anti, hot_join, limit_batches, packed, remember_only, semi, slices, stored, text_key
 from callstrata.llm.components import components
 
 BITS = 64
@@ -322,13 +322,13 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
 
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Documents that `found` (doc_id, text_key, keeps) marks, one row each; columns as given."""
-    keyed = docs.withColumn("__text_key", text_key(F.col("text")))
-    drop = found.where(~F.col("keeps")).select("doc_id", F.col("text_key").alias("__text_key")).distinct()
-    kept = anti(keyed, drop, ["doc_id", "__text_key"])
+    keyed = packed(docs, "doc_id", text_key(F.col("text")).alias("text_key"))
+    drop = found.where(~F.col("keeps")).select("doc_id", "text_key").distinct()
+    kept = anti(keyed, drop, ["doc_id", "text_key"])
     again = found.where("keeps").groupBy("doc_id", "text_key").count().where("count > 1")
     if again.isEmpty():
-        return kept.drop("__text_key")
-    again = again.select("doc_id", F.col("text_key").alias("__text_key"))
-    single = anti(kept, again, ["doc_id", "__text_key"])
-    repeated = semi(kept, again, ["doc_id", "__text_key"]).dropDuplicates(["doc_id", "__text_key"])
-    return single.unionByName(repeated).drop("__text_key")
+        return kept.select("row.*")
+    again = again.select("doc_id", "text_key")
+    single = anti(kept, again, ["doc_id", "text_key"])
+    repeated = semi(kept, again, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    return single.unionByName(repeated).select("row.*")

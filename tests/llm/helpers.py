@@ -7,7 +7,9 @@ import random
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names the operators use inside; as extra columns they must neither clash nor change.
 CLASHING = ("fp", "n", "key", "h", "g", "p", "first", "host", "lines", "page", "hash", "mask", "item_id",
-            "words", "label", "place", "score", "part", "rank", "length", "chunk", "base", "text_key", "digest")
+            "words", "label", "place", "score", "part", "rank", "length", "chunk", "base", "text_key", "digest",
+            "__listed", "__host", "__lines_dropped", "__bad", "__text_key", "__score", "__gone", "__key", "__id",
+            "__salt", "__copy", "row", "gone", "listed", "of", "salt", "copy", "bad", "dropped", "id")
 EXTRA = ", ".join(f"{c} string" for c in CLASHING)
 
 
