@@ -6,12 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from callstrata.llm import align as G
 from callstrata.llm import ann as A
 from callstrata.llm import decontaminate as D
+from callstrata.llm import docprints as H
 from callstrata.llm import licenses as N
 from callstrata.llm import lines as L
 from callstrata.llm import packing as P
 from callstrata.llm import quality as Q
+from callstrata.llm import ranked as K
 from callstrata.llm import simhash as S
 from callstrata.llm import spans as R
 from callstrata.llm import token_store as T
@@ -92,6 +95,19 @@ def op10_neighbours(spark, sf):
     return A.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_document_prints(spark, sf):
+    return H.edited_likeness(table(spark, sf, "documents"))
+
+
+def op12_ranked_search(spark, sf):
+    return K.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_token_alignment(spark, sf):
+    return G.tokens_aligned(
+        table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 OP4_SQL = r"""
 WITH pieces AS (
   SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
@@ -153,6 +169,30 @@ SELECT doc_id, source, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (N
 FROM marked GROUP BY doc_id, source
 """
 
+OP12_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT doc_id, row, words, len(words) AS n FROM cut WHERE len(words) > 0),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sized),
+tf AS (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(words) AS term FROM sized) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, row,
+         sum(floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM wanted JOIN tf USING (term) JOIN df USING (term) CROSS JOIN whole GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 
 def all_queries():
     return {
@@ -160,8 +200,11 @@ def all_queries():
         "op4_repeated_spans": op4_repeated_spans, "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_warc": op7_warc,
         "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup, "op10_neighbours": op10_neighbours,
+        "op11_document_prints": op11_document_prints, "op12_ranked_search": op12_ranked_search,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
 def all_sql():
-    return {"op4_repeated_spans": OP4_SQL, "op7_warc": OP7_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op4_repeated_spans": OP4_SQL, "op7_warc": OP7_SQL, "op9_line_dedup": OP9_SQL,
+            "op12_ranked_search": OP12_SQL}
