@@ -97,14 +97,14 @@ def _cuts(keys: DataFrame, total: int) -> Column | None:
         [(nested,)], f"cuts array<array<struct<doc_id:{kind},key:bigint>>>").scalar()
 
 
-def _stretch(cuts: Column | None) -> Column:
-    """The number of cuts that do not lie behind a document, in descending order of (doc_id, key)."""
+def _in_stretches(rows: DataFrame, cuts: Column | None) -> DataFrame:
+    """rows with `home`, the number of cuts that do not lie behind a document, in descending order of (doc_id, key)."""
     if cuts is None:
-        return F.lit(0)
-    own = F.struct("doc_id", "key")
-    run = F.size(F.filter(cuts, lambda c: c[0] >= own))
-    return F.when(run == 0, 0).otherwise(
-        (run - 1) * 64 + F.size(F.filter(F.get(cuts, run - 1), lambda c: c >= own)))
+        return rows.withColumn("home", F.lit(0))
+    own, runs = F.struct("doc_id", "key"), F.col("cuts")
+    run = F.size(F.filter(runs, lambda c: c[0] >= own))
+    home = F.when(run == 0, 0).otherwise((run - 1) * 64 + F.size(F.filter(F.get(runs, run - 1), lambda c: c >= own)))
+    return rows.withColumn("cuts", cuts).withColumn("home", home).drop("cuts")
 
 
 def with_next(texts: DataFrame, keys: DataFrame) -> DataFrame:
@@ -116,17 +116,17 @@ def with_next(texts: DataFrame, keys: DataFrame) -> DataFrame:
     text is shuffled once and no stretch grows with the table beyond a 4,096th.
     """
     total = keys.count()
-    stretch = _stretch(_cuts(keys, total))
+    cuts = _cuts(keys, total)
     first = sorted(
-        (r["stretch"], r["own"]) for r in keys.select(stretch.alias("stretch"), F.struct("doc_id", "key").alias("own"))
-        .groupBy("stretch").agg(F.max("own").alias("own")).collect())  # one row per stretch
+        (r["home"], r["own"]) for r in _in_stretches(keys, cuts).groupBy("home").agg(
+            F.max(F.struct("doc_id", "key")).alias("own")).collect())  # one row per stretch
     kind = keys.schema["doc_id"].dataType.simpleString()
     visits = keys.sparkSession.createDataFrame(
         [(own["doc_id"], own["key"], first[k - 1][0]) for k, (_, own) in enumerate(first)],
         f"first_id {kind}, first_key bigint, visited int")
-    dealt = texts.join(
-        F.broadcast(visits), texts["doc_id"].eqNullSafe(F.col("first_id")) & (texts["key"] == F.col("first_key")), "left")
-    home = F.struct(F.lit(0).alias("guest"), stretch.cast("int").alias("stretch"))
+    dealt = _in_stretches(texts, cuts).join(
+        F.broadcast(visits), F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")), "left")
+    home = F.struct(F.lit(0).alias("guest"), F.col("home").alias("stretch"))
     away = F.struct(F.lit(1).alias("guest"), F.col("visited").alias("stretch"))
     placed = dealt.select(
         "doc_id", "key", "text",
