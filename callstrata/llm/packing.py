@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import deque
 from collections.abc import Iterator, Mapping
 
@@ -12,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from callstrata.llm.common import sized, stored
-from callstrata.llm.tokens import encoded, id_lists, task_number, texts_of
+from callstrata.llm.tokens import encoded, task_number, texts_of
 
 
 def best_fit(histogram: Mapping[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -43,39 +44,42 @@ def best_fit(histogram: Mapping[int, int], capacity: int) -> list[tuple[int, int
 
 
 def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids) with the task that made them (chunk) and their
-    number among that task's pieces of their length (nth)."""
+    """Pieces (doc_id, piece, start, length, ids, ids_crc32 of the ids as little-endian unsigned 32-bit integers)
+    with the task that made them (chunk) and their number among that task's pieces of their length (nth)."""
     texts = texts_of(docs)
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, seen = task_number(), np.zeros(capacity + 1, np.int64)
         for ids, tokens in encoded(batches, tokenizer, end_id):
-            rows, places, starts, parts = [], [], [], []
-            for i, data in enumerate(tokens):
-                n = len(data) // 4
-                edges = [0, *range(n % capacity or capacity, n + 1, capacity)]
-                for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-                    rows.append(i)
-                    places.append(k)
-                    starts.append(a)
-                    parts.append(data[4 * a: 4 * b])
-            lengths = np.array([len(x) // 4 for x in parts], np.int64)
-            nth = np.empty(len(parts), np.int64)
-            for k, n in enumerate(lengths.tolist()):
-                nth[k] = seen[n]
-                seen[n] += 1
+            sizes = np.array([len(x) // 4 for x in tokens], np.int64)
+            counts = -(-sizes // capacity)
+            rows = np.repeat(np.arange(len(sizes)), counts)
+            places = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+            rest = (sizes - (counts - 1) * capacity)[rows]  # of the first piece
+            starts = np.where(places > 0, rest + (places - 1) * capacity, 0)
+            lengths = np.where(places > 0, capacity, rest)
+            data = b"".join(tokens)
+            ends = 4 * np.cumsum(lengths)
+            crc = [zlib.crc32(data[a:b]) for a, b in zip((ends - 4 * lengths).tolist(), ends.tolist(), strict=True)]
+            order = np.argsort(lengths, kind="stable")  # equal lengths numbered in order
+            first = np.searchsorted(lengths[order], lengths[order])
+            nth = np.empty(len(rows), np.int64)
+            nth[order] = seen[lengths[order]] + np.arange(len(rows)) - first
+            seen += np.bincount(lengths, minlength=capacity + 1)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(np.frombuffer(data, "<i4")))
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(rows)), pa.array(places, pa.int32()), pa.array(starts, pa.int64()),
-                 pa.array(lengths), id_lists(parts), pa.array(np.full(len(parts), chunk, np.int32)), pa.array(nth)],
-                ["doc_id", "piece", "start", "length", "ids", "chunk", "nth"])
+                [ids.take(pa.array(rows)), pa.array(places.astype(np.int32)), pa.array(starts), pa.array(lengths), lists,
+                 pa.array(crc, pa.int64()), pa.array(np.full(len(rows), chunk, np.int32)), pa.array(nth)],
+                ["doc_id", "piece", "start", "length", "ids", "ids_crc32", "chunk", "nth"])
 
     return texts.mapInArrow(
-        run, f"doc_id {kind}, piece int, start bigint, length bigint, ids array<int>, chunk int, nth bigint")
+        run, f"doc_id {kind}, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint, chunk int, nth bigint")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
-    """Pieces of all documents with their place: doc_id, piece, start, length, ids, sequence_id, offset.
+    """Pieces of all documents with their place: doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset.
 
     Texts are encoded whole (null: empty) and get end_id, so every row has a token. Only documents
     longer than the capacity are cut; then the first piece takes what the full ones leave. Places
@@ -100,7 +104,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024)
         F.broadcast(slots),
         (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")),
     ).select(
-        "doc_id", "piece", "start", "length", "ids",
+        "doc_id", "piece", "start", "length", "ids", "ids_crc32",
         (F.col("first") + F.col("rank") - F.col("from_rank")).alias("sequence_id"), "offset",
     )
 

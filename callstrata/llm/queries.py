@@ -60,13 +60,13 @@ def op3_simhash(spark, sf):
 
 def op4_repeated_spans(spark, sf):
     """Documents that repeat passages, and the documents that keep them, by sentence numbers."""
-    return R.repeated_sentences(table(spark, sf, "documents")).groupBy("doc_id", "first_doc_id").agg(
+    return R.repeated_sentences(table(spark, sf, "documents"), tails=True).groupBy("doc_id", "first_doc_id").agg(
         F.count(F.lit(1)).alias("sentences"), F.min("sentence").cast("bigint").alias("first_sentence"),
         F.max("sentence").cast("bigint").alias("last_sentence"))
 
 
 def op5_packing(spark, sf):
-    return with_crc(P.pack(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), END_ID))
+    return P.pack(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), END_ID).drop("ids")
 
 
 def op6_licenses(spark, sf):
@@ -118,13 +118,15 @@ plain AS (
   FROM (SELECT doc_id, k, trim(regexp_replace(lower(piece), '[ \t\r\n\f]+', ' ', 'g')) AS s FROM pieces)
   WHERE s <> ''),
 counted AS (SELECT *, sum(len(string_split(s, ' '))) OVER (PARTITION BY doc_id ORDER BY p) AS upto FROM plain),
-reach AS (
-  SELECT a.doc_id, a.p, min(b.p) AS last
-  FROM counted a JOIN counted b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p + 1 AND a.p + 25
-  WHERE b.upto - a.upto + len(string_split(a.s, ' ')) >= 25 GROUP BY ALL),
+ends AS (
+  SELECT a.doc_id, a.p, b.p AS last, b.upto - a.upto + len(string_split(a.s, ' ')) AS w
+  FROM counted a JOIN counted b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p + 1 AND a.p + 49
+  WHERE b.upto - a.upto + len(string_split(a.s, ' ')) >= 25),
+-- longer runs cover no sentence that those below do not
+reach AS (SELECT * FROM (SELECT *, min(w) OVER (PARTITION BY doc_id, p) AS least FROM ends) WHERE w < least + 25),
 long_runs AS (
   SELECT r.doc_id, r.p, r.last - r.p + 1 AS n, string_agg(c.s, chr(1) ORDER BY c.p) AS run
-  FROM reach r JOIN plain c ON r.doc_id = c.doc_id AND c.p BETWEEN r.p AND r.last GROUP BY ALL),
+  FROM reach r JOIN plain c ON r.doc_id = c.doc_id AND c.p BETWEEN r.p AND r.last GROUP BY r.doc_id, r.p, r.last),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS place,
          min(doc_id) OVER (PARTITION BY run) AS first_doc_id FROM long_runs),

@@ -97,7 +97,9 @@ class Encoder:
         def part(text: str) -> bytes:
             if text.isalpha():
                 return merged(text) if text.isascii() else lettered(text)
-            return b"".join(map(self.words.__getitem__, self.cut(text)))
+            if text[:-1].isalpha() and not text[-1].isalnum() and not text[-1].isspace():
+                return self.parts[text[:-1]] + self.words[text[-1]]  # a word and one mark, as most are
+            return b"".join([self.parts[x] if x.isalpha() else self.words[x] for x in self.cut(text)])
 
         def spaced(text: str) -> bytes:
             if text.isalpha():

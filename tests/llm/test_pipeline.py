@@ -28,7 +28,7 @@ def test_query_equals_its_sql(spark, name):
 @given
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @given
@@ -40,6 +40,11 @@ def test_columns_of_the_contracts(spark):
         "op5_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
         "op7_warc": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
         "op10_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
+        "op11_document_prints": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+                                "near_edited double, near_next double, class_id bigint, links bigint",
+        "op12_ranked_search": "item_id bigint, rank int, doc_id bigint, score bigint",
+        "op13_token_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
+                                "groups_sha256 string",
     }
     for name, columns in wanted.items():
         got = dict(entry.queries()[name](spark, SF).dtypes)

@@ -118,6 +118,25 @@ def test_decontamination(spark):
     assert want and got == want
 
 
+def test_document_prints(spark):
+    from callstrata.llm import docprints
+    from tests.llm.test_docprints import check
+
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    found = check(df)
+    assert np.mean([r["near_edited"] > r["near_next"] for r in found]) > 0.95
+    assert sorted(map(tuple, run(spark, "op11_document_prints"))) == sorted(map(tuple, docprints.edited_likeness(df).collect()))
+
+
+def test_token_alignment(spark):
+    from callstrata.llm import align
+    from tests.llm.test_align import FILES, check, libraries
+
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    want = check(spark, libraries.__wrapped__(), df)
+    assert align.Both.at(*FILES) and sorted(map(tuple, run(spark, "op13_token_alignment"))) == sorted(want)
+
+
 def test_neighbours(spark):
     rows = given("embeddings", "vec_id, embedding")
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
