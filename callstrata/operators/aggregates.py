@@ -3,98 +3,108 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-# Rank error of the sketch is at most rows / _ACCURACY.
-_ACCURACY = 20_000
+from pyspark.sql import types as T
+
+# Rank error of a sketch is at most rows / _ACCURACY.
+_ACCURACY = 10_000
+#: Values of one bracket that are ordered on the driver; wider brackets are narrowed by another pass.
+_ORDERED = 5_000
+
+
+@dataclass
+class _Bracket:
+    """A rank (from 0) of a column, known to lie strictly between two values or to be `value`."""
+
+    of: int
+    rank: int
+    rows: int
+    low: float | None = None
+    high: float | None = None
+    below: int = 0
+    value: float | None = None
+
+    def inside(self) -> Column:
+        v, out = F.col(f"v{self.of}"), F.col(f"v{self.of}").isNotNull()
+        if self.low is not None:
+            out = out & (v > F.lit(self.low))
+        return out if self.high is None else out & (v < F.lit(self.high))
+
+    def cuts(self) -> Column:
+        """Two values inside that enclose the rank but for the sketch's error, which the next count corrects."""
+        at = (self.rank - self.below) / max(self.rows - 1, 1)
+        points = F.array(*[F.lit(min(max(at + s * 2.0 / _ACCURACY, 0.0), 1.0)) for s in (-1, 1)])
+        return F.percentile_approx(F.when(self.inside(), F.col(f"v{self.of}")), points, F.lit(_ACCURACY))
+
+    def counts(self, cuts: Sequence[float]) -> list[Column]:
+        v = F.col(f"v{self.of}")
+        return [F.count(F.when(self.inside() & test, 1)) for c in cuts for test in (v < F.lit(c), v <= F.lit(c))]
+
+    def narrow(self, cuts: Sequence[float], counts: Sequence[int]) -> None:
+        under_low, to_low, under_high, to_high = (self.below + n for n in counts)
+        edges = [(under_low, to_low, cuts[0]), (under_high, to_high, cuts[1])]
+        for under, upto, value in edges:
+            if under <= self.rank < upto:
+                self.value = value
+                return
+        end = self.below + self.rows
+        for under, upto, value in edges:
+            if self.rank < under:
+                self.high, end = value, under
+                break
+            self.low, self.below = value, upto
+        self.rows = end - self.below
 
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
     """Exact, linearly interpolated quantiles as one row: name -> (column, probability).
 
-    ``percentile`` keeps every distinct value in the buffer of a single task. Here a bounded
-    sketch first brackets each wanted rank, then one hash aggregate counts the values: inside a
-    bracket one by one, outside all together. Only the counted rows, about 8 / _ACCURACY of the
-    distinct values, are ordered in one place; fewer than _ACCURACY values are ordered whole.
-    The counts are exact, so the result is exact; a rank outside its bracket, which the error
-    bound of the sketch rules out, is an error and never a wrong figure. The table is read twice,
-    whatever the number of quantiles.
+    ``percentile`` keeps every distinct value in the buffer of a single task. Here a rank is bracketed
+    by a bounded sketch, rows below and at the bracket's ends are counted exactly, and the rows
+    strictly inside are bracketed again until a few thousand are left, which alone are ordered. All ranks
+    are narrowed in the same passes; each makes the rest some thousand times smaller, and a value
+    that fills a bracket, however often it occurs, ends the search. Every step is a plain aggregate: nothing
+    that grows with the table is held in one place. The table is read two or three times (more beyond some
+    10^7 rows). Nulls do not count; a column without values gives null.
     """
-    # Wider than the sketch's error plus the two ranks an interpolation may lie lower.
-    margin = 4.0 / _ACCURACY
-    probabilities: dict[str, list[float]] = {}
-    for column, p in wanted.values():
-        probabilities.setdefault(column, []).append(p)
-    columns = list(probabilities)
-
-    def edges(column: str) -> list[tuple[float, float]]:
-        return sorted((p, s) for p in set(probabilities[column]) for s in (-margin, margin))
-
+    columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-
-    def cuts(i: int, column: str) -> Column:
-        bounds = edges(column)
-        points = F.array(*[F.lit(min(max(p + s, 0.0), 1.0)) for p, s in bounds])
-        sketched = F.percentile_approx(f"v{i}", points, F.lit(_ACCURACY))
-        whole = F.array(*[F.min(f"v{i}") if s < 0 else F.max(f"v{i}") for _, s in bounds])
-        return F.when(F.count(f"v{i}") < _ACCURACY, whole).otherwise(sketched).alias(f"v{i}")
-
-    sketch = values.agg(*[cuts(i, c) for i, c in enumerate(columns)]).select(
-        F.struct(*[f"v{i}" for i in range(len(columns))])
-    ).scalar()
-
-    def placed(i: int, column: str) -> Column:
-        value, cuts = F.col(f"v{i}"), F.col(f"cuts.v{i}")
-        bounds = edges(column)
-        region, inside = F.lit(0), F.lit(False)
-        for position, (p, sign) in enumerate(bounds):
-            edge = F.get(cuts, F.lit(position))
-            beyond = value >= edge if sign < 0 else value > edge
-            region = region + beyond.cast("int")
-            if sign < 0:
-                upper = F.get(cuts, F.lit(bounds.index((p, margin))))
-                inside = inside | value.between(edge, upper)
-        return F.struct(
-            F.lit(i).alias("of"), region.alias("region"), F.when(inside, value).alias("v"),
-            value.isNotNull().alias("known"),
-        )
-
-    counts = (
-        values.withColumn("cuts", sketch)
-        .select(F.explode(F.array(*[placed(i, c) for i, c in enumerate(columns)])).alias("at"))
-        .where("at.known")
-        .groupBy("at.of", "at.region", "at.v").agg(F.count(F.lit(1)).alias("n"))
-    )
-    whole = Window.partitionBy("of")
-    ranked = counts.select(
-        "of", "v", "n",
-        F.sum("n").over(whole.orderBy("region", "v")).alias("upto"),
-        F.sum("n").over(whole).alias("total"),
-    )
-
-    def value_at(of: int, position: Column) -> Column:
-        here = (
-            (F.col("of") == of)
-            & (position < F.col("upto")) & (position >= F.col("upto") - F.col("n"))
-        )
-        outside = F.raise_error("quantile outside its bracket").cast("double")
-        return F.max(F.when(here, F.when(F.col("v").isNull(), outside).otherwise(F.col("v"))))
-
-    aggregates, results = [], []
-    for k, (name, (column, p)) in enumerate(wanted.items()):
+    totals = values.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(columns))]).first()
+    brackets: dict[tuple[int, int], _Bracket] = {}
+    for column, p in wanted.values():
+        of = columns.index(column)
+        place = float(p) * (totals[of] - 1)
+        for rank in {floor(place), ceil(place)} if totals[of] else ():
+            brackets[of, rank] = _Bracket(of, rank, totals[of])
+    while wide := [b for b in brackets.values() if b.value is None and b.rows > _ORDERED]:
+        cuts = list(values.agg(*[b.cuts() for b in wide]).first())
+        counted = list(values.agg(*[c for b, own in zip(wide, cuts, strict=True) for c in b.counts(own)]).first())
+        for k, b in enumerate(wide):
+            b.narrow(cuts[k], counted[4 * k:4 * k + 4])
+    left = [b for b in brackets.values() if b.value is None]
+    if left:
+        tagged = F.array(*[F.when(b.inside(), F.struct(F.lit(k).alias("k"), F.col(f"v{b.of}").alias("v"))) for k, b in enumerate(left)])
+        rows = values.select(F.explode(tagged).alias("at")).where("at IS NOT NULL").select("at.*")
+        ordered: dict[int, list[float]] = {}
+        for k, v in rows.orderBy("k", "v").collect():  # at most _ORDERED for each rank
+            ordered.setdefault(k, []).append(v)
+        for k, b in enumerate(left):
+            b.value = ordered[k][b.rank - b.below]
+
+    def quantile(column: str, p: float) -> float | None:
         of = columns.index(column)
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        aggregates += [
-            value_at(of, F.floor(position)).alias(f"lo{k}"),
-            value_at(of, F.ceil(position)).alias(f"hi{k}"),
-            F.max(F.when(F.col("of") == of, position - F.floor(position))).alias(f"part{k}"),
-        ]
-        lo, hi = F.col(f"lo{k}"), F.col(f"hi{k}")
-        results.append((lo + (hi - lo) * F.col(f"part{k}")).alias(name))
-    return ranked.agg(*aggregates).select(*results)
+        if not totals[of]:
+            return None
+        place = float(p) * (totals[of] - 1)
+        low, high = brackets[of, floor(place)].value, brackets[of, ceil(place)].value
+        return low if low == high else low + (high - low) * (place - floor(place))
+
+    schema = T.StructType([T.StructField(name, T.DoubleType()) for name in wanted])
+    return df.sparkSession.createDataFrame([tuple(quantile(c, p) for c, p in wanted.values())], schema)
 
 
 def weighted_error(df: DataFrame, actual: str, forecast: str) -> DataFrame:

@@ -32,6 +32,23 @@ def share(value: Column, groups: Sequence[str]) -> Column:
     return ratio(value, F.sum(value).over(Window.partitionBy(*groups)))
 
 
+def apportion(df: DataFrame, parts: Sequence[str], groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Round columns to whole numbers so that each keeps the (whole) total of its group.
+
+    Every part is cut down, and what the group then lacks goes, one each, to the largest fractions;
+    equal ones in the given order. Fractions are compared to nine digits, as sums carry noise.
+    """
+    whole = Window.partitionBy(*groups)
+    fine = {p: F.round(F.col(f"`{p}`").cast("double"), 9) for p in parts}
+    cut = df.withColumns({f"_{p}_cut": F.floor(x) for p, x in fine.items()})
+    rest = {f"_{p}_rest": F.round(x - F.col(f"_{p}_cut"), 9) for p, x in fine.items()}
+    lacking = {f"_{p}_lacks": (F.round(F.sum(F.col(f"`{p}`")).over(whole), 0) - F.sum(f"_{p}_cut").over(whole)) for p in parts}
+    placed = cut.withColumns(rest).withColumns(lacking).withColumns({
+        f"_{p}_place": F.row_number().over(whole.orderBy(F.desc(f"_{p}_rest"), *order)) for p in parts})
+    raised = {p: (F.col(f"_{p}_cut") + (F.col(f"_{p}_place") <= F.col(f"_{p}_lacks")).cast("int")).cast("bigint") for p in parts}
+    return placed.withColumns(raised).drop(*[f"_{p}_{x}" for p in parts for x in ("cut", "rest", "lacks", "place")])
+
+
 def top_per_group(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int, rank: str
 ) -> DataFrame:

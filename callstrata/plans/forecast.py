@@ -14,9 +14,10 @@ from callstrata.functions.numbers import band, round_half_even
 from callstrata.functions.text import trim_blanks
 from callstrata.operators.grid import expand_hours, fill_grid
 from callstrata.operators.joins import lookup_join
-from callstrata.operators.windows import share
+from callstrata.operators.windows import apportion, share
+from callstrata.plans.boosting import BoostedModels
 from callstrata.plans.history import LAG_DAYS, daily_volumes
-from callstrata.plans.models import CALENDAR, aht_features, predict_volume
+from callstrata.plans.models import CALENDAR, lag_columns, linear_column
 from callstrata.schemas import (
     FOLDED_SERVICE, FORECAST_COLUMNS, FORECAST_HIGH, FORECAST_LOW, SEGMENT, SERVICE,
 )
@@ -27,8 +28,6 @@ LOOKBACK_DAYS = 370
 STATISTIC_DAYS = 35
 TALK_TIME_SEC = 180
 OPEN_FROM_HOUR, OPEN_TO_HOUR = 6, 18
-# With a model, one step adds about a dozen projections; the plan is cut after so many steps.
-_STEPS_PER_TABLE = 3
 
 
 def _day(start: date | Column) -> Column:
@@ -111,43 +110,38 @@ def _unfold(forecast: DataFrame, start: Column, horizon: int) -> DataFrame:
 
 def recursive_forecast(
     daily: DataFrame, start: date | Column, horizon: int = 14,
-    model: PipelineModel | None = None, lags: Sequence[int] = LAG_DAYS, eves: bool = True,
+    model: BoostedModels | PipelineModel | None = None, lags: Sequence[int] = LAG_DAYS, eves: bool = True,
     statistic_days: int = STATISTIC_DAYS,
 ) -> DataFrame:
     """Daily forecast per service where every day may look back on days forecast before it.
 
-    The state is one row per service holding its series, so a step appends to an array and needs
-    neither a shuffle nor a trip to the driver. Without a model all steps are one fold inside a
-    single expression; with a model each step is one more narrow projection.
+    The state is one row per service holding its series. All steps are one fold inside a single expression,
+    with a model too: its prediction is a column of the series so far and the day's calendar, so a
+    step needs neither a shuffle nor a stored table.
     """
     day = _day(start)
-    state = service_series(daily, day, statistic_days)
-    if model is None:
-        state = state.withColumn("start", day)
-        folded = F.aggregate(
-            F.sequence(F.lit(0), F.lit(horizon - 1)), F.col("series"),
-            lambda series, i: F.concat(series, F.array(_next(
-                series, F.col("averages"), F.date_add(F.col("start"), i), F.lit(0.0)
-            ))),
-        )
-        return _unfold(state.withColumn("series", folded), day, horizon)
-
-    state = state.withColumn("days", _horizon_calendar(daily, day, horizon, eves))
-    state = cut_lineage(state)
-    for i in range(horizon):
-        features = state.select(
-            FOLDED_SERVICE, "series", "averages", "days",
-            *[F.get("days", F.lit(i))[name].alias(name) for name in ("ds", *CALENDAR)],
-            *[_lag(F.col("series"), k).alias(f"Antal_Samtal_lag_{k}d") for k in lags],
-        )
-        predicted = predict_volume(model, features, lags)
-        step = _next(F.col("series"), F.col("averages"), F.col("ds"), F.col("prediction"))
-        state = predicted.select(
-            FOLDED_SERVICE, F.concat("series", F.array(step)).alias("series"), "averages", "days"
-        )
-        if i % _STEPS_PER_TABLE == _STEPS_PER_TABLE - 1:
-            state = cut_lineage(state)
-    return _unfold(state, day, horizon)
+    state = service_series(daily, day, statistic_days).withColumn("start", day)
+    if model is not None:
+        state = state.withColumn("days", _horizon_calendar(daily, day, horizon, eves))
+    if isinstance(model, BoostedModels):
+        state = state.withColumn("model", model.value("operative"))
+
+    def predicted(series: Column, i: Column) -> Column:
+        if model is None:
+            return F.lit(0.0)
+        given = {FOLDED_SERVICE: F.col(FOLDED_SERVICE), **{c: F.get("days", i)[c] for c in CALENDAR},
+                 **{name: _lag(series, k) for name, k in zip(lag_columns(lags), lags, strict=True)}}
+        if isinstance(model, BoostedModels):
+            return model.score("operative", F.col("model"), given)
+        return linear_column(model, given, lags)
+
+    folded = F.aggregate(
+        F.sequence(F.lit(0), F.lit(horizon - 1)), F.col("series"),
+        lambda series, i: F.concat(series, F.array(_next(
+            series, F.col("averages"), F.date_add(F.col("start"), i), predicted(series, i)
+        ))),
+    )
+    return _unfold(state.withColumn("series", folded), day, horizon)
 
 
 def _horizon_calendar(daily: DataFrame, day: Column, horizon: int, eves: bool) -> Column:
@@ -214,7 +208,7 @@ def model_band(
 
 
 def model_talk_times(
-    daily: DataFrame, segments: DataFrame, model: PipelineModel,
+    daily: DataFrame, segments: DataFrame, model: BoostedModels,
     settings: Settings | None = None,
 ) -> DataFrame:
     """Expected talk time in whole seconds per forecast day and segment."""
@@ -222,7 +216,7 @@ def model_talk_times(
         daily.select("ds", FOLDED_SERVICE), segments, FOLDED_SERVICE, "inner",
         settings=settings, bounded=True,
     ).select("ds", SEGMENT).distinct()
-    scored = model.transform(aht_features(calendar_features(pairs)))
+    scored = model.predict(calendar_features(pairs), prediction="Snitt_Taltid")
     seconds = round_half_even(F.greatest(F.col("prediction"), F.lit(0.0))).cast("int")
     return scored.select("ds", SEGMENT, seconds.alias("talk_time"))
 
@@ -230,10 +224,13 @@ def model_talk_times(
 def allocate_hours(
     daily: DataFrame, segments: DataFrame, shape: DataFrame, run_date: date | Column,
     settings: Settings | None = None, talk_times: DataFrame | None = None,
-    close_holidays: bool = False,
+    close_holidays: bool = False, keep_totals: bool = False,
 ) -> DataFrame:
     """Spread a daily forecast over opening hours and segments.
 
+    Every hour is rounded by itself, as studied, so a day's total may change; with ``keep_totals`` the hours of a
+    (day, service) are rounded by largest remainders and add up to its volume wherever an hour is open.
+
     Weights are normalised over the hours and segments of a (day, service), so a day without any
     open hour loses its volume. The groups hold 24 rows per segment. Talk time is a constant
     unless ``talk_times`` per (ds, segment) are given; holidays are open unless closed here.
@@ -264,12 +261,13 @@ def allocate_hours(
     volumes = {"Prognos_Volym": "Prognos_Antal_Samtal", FORECAST_LOW: FORECAST_LOW,
                FORECAST_HIGH: FORECAST_HIGH}
     parts = normal.withColumns({f"_{v}": F.col(v) * F.col("weight") for v in volumes})
-    rounded = {
-        out: round_half_even(F.col(v) * share(F.col(f"_{v}"), group))
-        for v, out in volumes.items()
-    }
+    spread = {out: F.col(v) * share(F.col(f"_{v}"), group) for v, out in volumes.items()}
+    if keep_totals:
+        hours = apportion(parts.withColumns(spread), list(spread), group, ["DatumTid", SEGMENT])
+    else:
+        hours = parts.withColumns({out: round_half_even(x) for out, x in spread.items()})
     day = run_date if isinstance(run_date, Column) else F.lit(run_date)
-    return parts.withColumns(rounded).withColumns({
+    return hours.withColumns({
         SERVICE: F.col(FOLDED_SERVICE),
         "Prognos_Snitt_Taltid_Sek": talk_time,
         "ForecastRunDate": day.cast("date"),
@@ -286,8 +284,8 @@ def spread_checksum(daily: DataFrame, hourly_forecast: DataFrame) -> DataFrame:
 
 def create_forecast(
     hourly: DataFrame, start: date | Column, run_date: date | Column, settings: Settings,
-    model: PipelineModel | None = None, handling: PipelineModel | None = None,
-    residuals: DataFrame | None = None, close_holidays: bool = False,
+    model: BoostedModels | PipelineModel | None = None, handling: BoostedModels | None = None,
+    residuals: DataFrame | None = None, close_holidays: bool = False, keep_totals: bool = False,
 ) -> DataFrame:
     """Hourly forecast table from the hourly history before the start; later hours, which a
     validation run has, are not looked at.
@@ -307,5 +305,5 @@ def create_forecast(
     if handling is not None:
         talk_times = model_talk_times(forecast, segments, handling, settings)
     return allocate_hours(
-        forecast, segments, shape, run_date, settings, talk_times, close_holidays
+        forecast, segments, shape, run_date, settings, talk_times, close_holidays, keep_totals
     )

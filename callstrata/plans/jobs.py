@@ -13,6 +13,7 @@ from callstrata.plans import evaluate as E
 from callstrata.plans import history as H
 from callstrata.plans import models as M
 from callstrata.plans import segments as S
+from callstrata.plans.boosting import Growth, load_boosted
 from callstrata.plans.cases import fact_cases
 from callstrata.plans.forecast import create_forecast
 from callstrata.plans.run_window import RunWindow, window_of, within
@@ -20,7 +21,7 @@ from callstrata.session import cut_lineage, shared_path
 from callstrata.settings import Settings
 from callstrata.sources.ingest import bronze_specs, load_all
 from callstrata.sources.readers import SourceSpec, read_exclusion_list
-from callstrata.sources.warehouse import Warehouse, load_model, save_model
+from callstrata.sources.warehouse import Warehouse
 
 
 class Jobs:
@@ -92,7 +93,7 @@ class Jobs:
             ),
         }
 
-    def train(self, learner: str = "tweedie", trees: int = M.TREES) -> dict[str, int]:
+    def train(self, learner: str = "boosted", growth: Growth = Growth()) -> dict[str, int]:
         """Publish the hourly history and save the volume, talk-time and wait-time models.
 
         A validation run learns from days before the forecast only, so that it is scored on days
@@ -107,12 +108,11 @@ class Jobs:
             stored = stored.where(F.col("ds") < F.lit(self.forecast_start()).cast("timestamp_ntz"))
         daily = H.volume_training_set(stored).persist()
         handling = H.aht_training_set(stored).persist()
-        save_model(M.train_volume(daily, learner=learner, trees=trees), self._model("volume_operative"))
-        bounds = M.train_volume_band(daily, trees=trees)
-        save_model(bounds.median, self._model("volume_median"))
+        M.save_volume(M.train_volume(daily, learner=learner, growth=growth), self._model("volume_operative"))
+        bounds = M.train_volume_band(daily, growth=growth)
+        bounds.models.save(self._model("volume_band"))
         bounds.residuals.write.mode("overwrite").parquet(self._model("volume_residuals"))
-        for name, target in (("aht", "Snitt_Taltid"), ("awt", "Snitt_Vantetid")):
-            save_model(M.train_handling(handling, target, trees=trees), self._model(name))
+        M.train_handling(handling, growth).save(self._model("handling"))
         daily.unpersist()
         handling.unpersist()
         return rows
@@ -138,10 +138,10 @@ class Jobs:
         ``modelled`` takes bounds and talk times from the trained models instead of constants.
         """
         settings = self.settings
-        model = load_model(self.spark, self._model("volume_operative"))
+        model = M.load_volume(self.spark, self._model("volume_operative"))
         handling = residuals = None
         if modelled:
-            handling = load_model(self.spark, self._model("aht"))
+            handling = load_boosted(self.spark, self._model("handling"))
             residuals = self.spark.read.parquet(self._model("volume_residuals"))
         hourly = self._table("Hourly_Aggregated_History")
         forecast = create_forecast(

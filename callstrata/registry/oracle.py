@@ -600,6 +600,8 @@ def all_sql() -> dict[str, str]:
     sql["saved_model"] = f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM ({trained})"
     sql["volume_model_check"] = f"""
       SELECT count(*) AS rows, true AS balanced, true AS better FROM ({trained})"""
+    sql["boosted_volume_check"] = f"""
+      SELECT count(*) AS rows, true AS positive, true AS better FROM ({trained})"""
     sql["volume_band_residuals"] = f"""SELECT "Tj_nstTyp",
         round(quantile_cont(CAST("Antal_Samtal" - "Antal_Samtal_lag_7d" AS DOUBLE), 0.1), 6) AS residual_low,
         round(quantile_cont(CAST("Antal_Samtal" - "Antal_Samtal_lag_7d" AS DOUBLE), 0.9), 6) AS residual_high
@@ -608,6 +610,11 @@ def all_sql() -> dict[str, str]:
       SELECT count(*) AS customers, CAST(4 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS astray,
              CAST(0 AS BIGINT) AS off_centre FROM profiles"""
 
+    sql["volume_band_check"] = """
+      WITH days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS ds FROM lineitem WHERE l_shipdate IS NOT NULL),
+      ends AS (SELECT min(ds) AS first, max(ds) AS last FROM days)
+      SELECT count(*) FILTER (ds > first) AS rows, count(*) FILTER (ds > last - 182) AS unseen, true AS covered
+      FROM days, ends"""
     sql["aht_training_set"] = f"""WITH {HOURS}, {_holidays(_HOUR_YEARS)}, summed AS (
         SELECT CAST(ds AS DATE) AS ds, "Behavior_Segment",
                CAST(sum("Antal_Samtal") AS BIGINT) AS "Antal_Samtal",
@@ -622,6 +629,13 @@ def all_sql() -> dict[str, str]:
              {_calendar('ds::TIMESTAMP')}
       FROM summed"""
 
+    sql["handling_check"] = f"""
+      SELECT count(*) AS rows, true AS talk_better, true AS wait_better FROM ({sql['aht_training_set']})"""
+    sql["model_forecast_check"] = f"""WITH {DAYS}, services AS (
+        SELECT count(DISTINCT "Tj_nstTyp") AS n FROM daily, start WHERE ds >= d - 370)
+      SELECT unnest(['linear', 'boosted']) AS learner, n AS services, CAST(14 AS BIGINT) AS days, n * 14 AS rows,
+             CAST(0 AS BIGINT) AS wrong FROM services"""
+
     sql["weekday_average"] = f"""WITH {DAYS}
       SELECT "Tj_nstTyp", CAST(veckodag AS INTEGER) AS veckodag, round("Stat_Avg", 6) AS "Stat_Avg"
       FROM stat"""
@@ -641,6 +655,22 @@ def all_sql() -> dict[str, str]:
       SELECT veckodag, timme, "Tj_nstTyp",
              round("Avg_Hourly_Proportion", 6) AS "Avg_Hourly_Proportion" FROM shape"""
     sql["allocate_hours"] = f"WITH {SPREAD} SELECT * FROM spread"
+    def whole(part: str, total: str, name: str) -> str:
+        x = f"round(CASE WHEN sum({part}) OVER g > 0 THEN {part} * ({total} / sum({part}) OVER g) ELSE 0 END, 9)"
+        return f"{x} AS {name}"
+
+    def raised(x: str, name: str) -> str:
+        return f"""CAST(floor({x}) + CASE WHEN row_number() OVER (
+            PARTITION BY datum, s ORDER BY round({x} - floor({x}), 9) DESC, t, "Behavior_Segment")
+          <= round(sum({x}) OVER g, 0) - sum(floor({x})) OVER g THEN 1 ELSE 0 END AS BIGINT) AS "{name}\""""
+
+    sql["allocate_whole"] = f"""WITH {SPREAD}, fine AS (
+        SELECT datum, t, "Tj_nstTyp" AS s, "Behavior_Segment", {whole('pv', 'v', 'xv')}, {whole('pl', 'lo', 'xl')}, {whole('ph', 'hi', 'xh')}
+        FROM parts WINDOW g AS (PARTITION BY datum, "Tj_nstTyp"))
+      SELECT t AS "DatumTid", s AS "TjänstTyp", "Behavior_Segment", {raised('xv', 'Prognos_Antal_Samtal')},
+             {raised('xl', 'Prognos_Låg')}, {raised('xh', 'Prognos_Hög')},
+             CAST(180 AS INTEGER) AS "Prognos_Snitt_Taltid_Sek", DATE '2024-02-01' AS "ForecastRunDate"
+      FROM fine WINDOW g AS (PARTITION BY datum, s)"""
     sql["spread_checksum"] = f"""WITH {SPREAD}
       SELECT CAST((SELECT sum("Prognos_Volym") FROM forecast) AS BIGINT) AS "Mal_Volym",
              CAST(sum("Prognos_Antal_Samtal") AS BIGINT) AS "Slut_Volym" FROM spread"""

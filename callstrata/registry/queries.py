@@ -32,7 +32,7 @@ from callstrata.session import cut_lineage, use_checkpoint_dir
 from callstrata.settings import Settings
 from callstrata.sources import ingest
 from callstrata.sources.readers import parquet_source, read_exclusion_list
-from callstrata.sources.warehouse import Warehouse, load_model, save_model
+from callstrata.sources.warehouse import Warehouse
 
 RUN_DATE = date(2024, 2, 1)
 FIRST_DAY, LAST_DAY = date(1999, 1, 4), date(2001, 6, 30)
@@ -458,6 +458,12 @@ def allocate_hours(spark, sf):
     return _forecast(spark, sf).select(*FORECAST_COLUMNS)
 
 
+def allocate_whole(spark, sf):
+    """The hourly forecast with every day's total kept."""
+    hours = _hours(spark, sf)
+    return P.create_forecast(hours, _start(hours), RUN_DATE, t.SETTINGS, keep_totals=True).select(*FORECAST_COLUMNS)
+
+
 def spread_checksum(spark, sf):
     hours = _hours(spark, sf)
     start = _start(hours)
@@ -474,16 +480,15 @@ def spread_checksum(spark, sf):
 # ---- models --------------------------------------------------------------------------------
 
 def train_volume(spark, sf):
-    training = cut_lineage(H.volume_training_set(_hours(spark, sf)))
-    scored = M.predict_volume(M.train_volume(training), training)
-    return scored.select("ds", FOLDED_SERVICE, "Antal_Samtal", "prediction")
+    training = _hours_days(spark, sf)
+    return M.predict_volume(M.train_volume(training), training).select("ds", FOLDED_SERVICE, "Antal_Samtal", "prediction")
 
 
 def volume_model_check(spark, sf):
-    """Rows, whether the score equation of the intercept holds, and whether the volume model errs
-    less than last week's value does."""
-    training = cut_lineage(H.volume_training_set(_hours(spark, sf)))
-    scored = M.predict_volume(M.train_volume(training), training)
+    """Rows, whether the score equation of the linear model's intercept holds, and whether it errs less than
+    last week's value does."""
+    training = _hours_days(spark, sf)
+    scored = M.predict_volume(M.train_volume(training, learner="linear"), training)
     y, mu, last = F.col("Antal_Samtal").cast("double"), F.col("prediction"), F.col("Antal_Samtal_lag_7d")
     weight = F.pow(mu, -0.5)
     return scored.agg(
@@ -493,6 +498,41 @@ def volume_model_check(spark, sf):
     )
 
 
+def _deviance(y, mu):
+    """Tweedie deviance of variance power 1.5, without the factor 2."""
+    mu = F.greatest(mu, F.lit(1e-9))
+    return y / F.sqrt(mu) * 2 + F.sqrt(mu) * 2 - F.sqrt(y) * 4
+
+
+def boosted_volume_check(spark, sf):
+    """Rows, and whether the boosted Tweedie model deviates less than last week's value does."""
+    training = _hours_days(spark, sf)
+    scored = M.predict_volume(M.train_volume(training), training)
+    y, last = F.col("Antal_Samtal").cast("double"), F.col("Antal_Samtal_lag_7d").cast("double")
+    own = F.sum(F.when(last.isNotNull(), _deviance(y, F.col("prediction"))))
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.col("prediction") > 0).alias("positive"),
+        (own < F.sum(_deviance(y, last))).alias("better"))
+
+
+def _shipping_days(spark, sf):
+    """Years of shipped lines as a daily volume training set."""
+    lines = t.table(spark, sf, "lineitem").where("l_shipdate IS NOT NULL").select(
+        F.col("l_shipdate").cast("timestamp_ntz").alias("ds"), F.lit("all").alias(FOLDED_SERVICE), F.lit(1).alias("Antal_Samtal"))
+    return cut_lineage(H.volume_training_set(lines))
+
+
+def volume_band_check(spark, sf):
+    """Rows, the last half year's rows, which no model has seen, and whether 70 to 90 % of them lie in the band."""
+    training = _shipping_days(spark, sf)
+    late = F.col("ds") > F.date_sub(training.agg(F.max("ds")).scalar(), 182)
+    band = M.train_volume_band(training.where(~late), holdout_days=182)
+    inside = F.col("Antal_Samtal").between(F.col("low"), F.col("high")).cast("int")
+    return band.predict(training).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(late.cast("int")).cast("bigint").alias("unseen"),
+        F.avg(F.when(late, inside)).between(0.7, 0.9).alias("covered"))
+
+
 def volume_band_residuals(spark, sf):
     """The bounds' residual quantiles, of last week's value as the predictor."""
     training = _hours_days(spark, sf).where(F.col("Antal_Samtal_lag_7d").isNotNull())
@@ -512,39 +552,42 @@ def model_inputs(spark, sf):
 
 
 def saved_model(spark, sf):
-    """Rows, and rows whose prediction changes when the model is saved and loaded."""
+    """Rows, and rows whose prediction changes when the models are saved and loaded."""
     training = _hours_days(spark, sf)
-    model, path = M.train_volume(training), f"{use_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
-    save_model(model, path)
-    kept = M.predict_volume(load_model(spark, path), training).select(
-        "ds", FOLDED_SERVICE, F.col("prediction").alias("kept"))
-    both = M.predict_volume(model, training).select("ds", FOLDED_SERVICE, "prediction").join(kept, ["ds", FOLDED_SERVICE])
-    return both.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum((F.col("kept") != F.col("prediction")).cast("int")).cast("bigint").alias("changed"))
+    both = training.select("ds", FOLDED_SERVICE)
+    changed = F.lit(False)
+    for learner in ("linear", "boosted"):
+        model, path = M.train_volume(training, learner=learner), f"{use_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+        M.save_volume(model, path)
+        for name, of in (("own", model), ("kept", M.load_volume(spark, path))):
+            scored = M.predict_volume(of, training).select("ds", FOLDED_SERVICE, F.col("prediction").alias(f"{learner}_{name}"))
+            both = both.join(scored, ["ds", FOLDED_SERVICE])
+        changed = changed | (F.col(f"{learner}_own") != F.col(f"{learner}_kept"))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.sum(changed.cast("int")).cast("bigint").alias("changed"))
 
 
 def train_volume_band(spark, sf):
-    training = cut_lineage(H.volume_training_set(_hours(spark, sf)))
-    band = M.train_volume_band(training, holdout_days=7)
-    return band.predict(training).select(
-        "ds", FOLDED_SERVICE, "Antal_Samtal", "low", "median", "high"
-    )
+    training = _hours_days(spark, sf)
+    return M.train_volume_band(training, holdout_days=7).predict(training).select(
+        "ds", FOLDED_SERVICE, "Antal_Samtal", "low", "median", "high")
 
 
-def train_handling(spark, sf):
+def _handling(spark, sf):
     training = cut_lineage(H.aht_training_set(_hours(spark, sf)))
-    scored = training
-    for target in ("Snitt_Taltid", "Snitt_Vantetid"):
-        model = M.train_handling(training, target)
-        scored = model.transform(M.aht_features(scored)).withColumnRenamed(
-            "prediction", f"{target}_modell"
-        ).drop("features", *[c for c in scored.columns if c.endswith("_code")],
-               *[f"{c}_code" for c in (SEGMENT, "veckodag", "manad")])
-    return scored.select(
-        "ds", SEGMENT, "Snitt_Taltid", "Snitt_Taltid_modell", "Snitt_Vantetid",
-        "Snitt_Vantetid_modell",
-    )
+    return M.train_handling(training).predict(training, **{f"{c}_modell": c for c in M.HANDLING})
+
+
+def train_handling(spark, sf):
+    return _handling(spark, sf).select(
+        "ds", SEGMENT, *[name for c in M.HANDLING for name in (c, f"{c}_modell")])
+
+
+def handling_check(spark, sf):
+    """Rows, and whether each handling model errs less than the mean does."""
+    scored = _handling(spark, sf)
+    off = {c: F.sum(F.pow(F.col(c) - F.col(f"{c}_modell"), 2)) for c in M.HANDLING}
+    return scored.agg(F.count(F.lit(1)).alias("rows"), *[
+        (off[c] < F.var_pop(c) * F.count(F.lit(1))).alias(f"{name}_better") for name, c in zip(("talk", "wait"), M.HANDLING, strict=True)])
 
 
 def model_forecast(spark, sf):
@@ -552,9 +595,21 @@ def model_forecast(spark, sf):
     hours = _hours(spark, sf)
     start = _start(hours)
     model = M.train_volume(cut_lineage(H.volume_training_set(hours)))
-    return P.recursive_forecast(
-        P.daily_history(hours, start), start, t.SETTINGS.horizon_days, model
-    )
+    return P.recursive_forecast(P.daily_history(hours, start), start, t.SETTINGS.horizon_days, model)
+
+
+def model_forecast_check(spark, sf):
+    """The forecast driven by each learner: services, days, and days without a volume of 0 or more."""
+    hours = _hours(spark, sf)
+    start, daily = _start(hours), P.daily_history(hours, _start(hours))
+    training, out = cut_lineage(H.volume_training_set(hours)), None
+    for learner in ("linear", "boosted"):
+        made = P.recursive_forecast(daily, start, t.SETTINGS.horizon_days, M.train_volume(training, learner=learner))
+        row = made.agg(
+            F.lit(learner).alias("learner"), F.count_distinct(FOLDED_SERVICE).alias("services"), F.count_distinct("ds").alias("days"),
+            F.count(F.lit(1)).alias("rows"), F.count(F.when(~F.coalesce(F.col("Prognos_Volym") >= 0, F.lit(False)), 1)).alias("wrong"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ---- evaluation, cases ---------------------------------------------------------------------
@@ -601,9 +656,10 @@ def all_queries() -> dict:
         calendar_features, day_parts, holiday_orders, daily_lags, hourly_history,
         volume_training_set, aht_training_set,
         weekday_average, weekday_average_orders, recursive_forecast, history_and_forecast, hourly_shape, allocate_hours,
-        spread_checksum,
+        allocate_whole, spread_checksum,
         volume_model_check, volume_band_residuals, model_inputs, saved_model,
         train_volume, train_volume_band, train_handling, model_forecast,
+        boosted_volume_check, volume_band_check, handling_check, model_forecast_check,
         latest_run, evaluation_days, evaluate_forecast, trend_series, total_series,
     ]
     return {f.__name__: f for f in found} | {"fact_cases": fact_cases_query}

@@ -5,6 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from callstrata.plans.boosting import Growth
 from callstrata.plans.jobs import Jobs
 from callstrata.plans.run_window import window_of
 from callstrata.schemas import BRONZE, FORECAST_COLUMNS
@@ -216,7 +217,7 @@ def test_full_run(spark, tmp_path):
     report = table("Abandoned_Calls_Report")
     assert 0 < report.count() < days * 30 / 3 and rows["Customer_Dimension"] == 2
     jobs.segment()
-    assert jobs.train(trees=4)["Hourly_Aggregated_History"] > 0
+    assert jobs.train(growth=Growth(trees=20))["Hourly_Aggregated_History"] > 0
     run = settings.validation.forecast_run_date
     assert jobs.forecast(run)["Operative_Forecast"] == jobs.forecast(run)["Forecast_Archive"]
     forecast = table("Operative_Forecast")

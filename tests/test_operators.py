@@ -89,6 +89,23 @@ def test_quantiles_are_exact(spark, seed):
         assert got[name] == pytest.approx(np.quantile(signed, p), rel=1e-12), (name, len(values))
 
 
+def test_quantiles_in_several_passes(spark, monkeypatch):
+    """A million distinct values with a third of all rows on one more; no window, and few rows are ordered."""
+    from callstrata.operators import aggregates
+
+    monkeypatch.setattr(aggregates, "_ORDERED", 40)
+    df = spark.range(1_500_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.25)).otherwise(F.rand(7)).alias("x"))
+    df = df.persist()
+    values = np.array([r[0] for r in df.collect()])
+    wanted = {f"q{p}": ("x", p) for p in (0.0, 0.1, 0.3, 0.5, 0.77777, 1.0)}
+    got = exact_quantiles(df, wanted).first().asDict()
+    for name, (_, p) in wanted.items():
+        assert got[name] == pytest.approx(np.quantile(values, p), rel=1e-12), name
+    assert "Window" not in plan(exact_quantiles(df, wanted))
+    df.unpersist()
+
+
 def test_quantiles_of_nothing(spark):
     empty = frame(spark, "x DOUBLE", (None,))
     assert exact_quantiles(empty, {"a": ("x", 0.5)}).first()["a"] is None
