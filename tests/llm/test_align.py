@@ -36,7 +36,7 @@ def plain(libraries, text):
     ends_a, ends_b = (np.cumsum([len(x) for x in p]).tolist() for p in parts)
     groups, i, j = [], 0, 0
     for end in sorted(set(ends_a) & set(ends_b)):
-        k, m = ends_a.index(end) + 1, ends_b.index(end) + 1
+        k, m = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
         groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
         i, j = k, m
     pairs: dict = {}
