@@ -83,9 +83,9 @@ def _emit(found, ids, extra, codes, first, sizes, filler, names):
          pa.array(np.full(len(at), m, np.int32)), pa.array(hashes.view(np.int64)), lists], names)
 
 
-def item_seeds(benchmark: DataFrame) -> tuple[DataFrame, tuple[int, ...]]:
-    """Distinct (mask, hash, words around) of the benchmark with the smallest item that has them,
-    and the lengths of its short items. Items with equal passages are found under the smallest id."""
+def item_seeds(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, tuple[int, ...]]:
+    """Distinct (mask, hash, item_words, context) of the benchmark, the items of every context, and the lengths
+    of its short items. A context is a seed with the words around it; items that share a passage share it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,11 +101,15 @@ def item_seeds(benchmark: DataFrame) -> tuple[DataFrame, tuple[int, ...]]:
                 yield _emit(found, batch.column(0), [], codes, first, sizes, 2,
                             ["item_id", "item_word", "mask", "hash", "item_words"])
 
-    rows = benchmark.select("item_id", "text").mapInArrow(
-        run, "item_id bigint, item_word int, mask int, hash bigint, item_words array<bigint>")
-    once = stored(rows.groupBy("mask", "hash", "item_words").agg(F.min("item_id").alias("item_id")))
+    rows = benchmark.select("item_id", "text")
+    kind = rows.schema["item_id"].dataType.simpleString()
+    rows = stored(rows.mapInArrow(
+        run, f"item_id {kind}, item_word int, mask int, hash bigint, item_words array<bigint>"
+    ).withColumn("context", F.xxhash64("mask", "hash", "item_words")))
+    once = stored(rows.select("mask", "hash", "item_words", "context").dropDuplicates(["context"]))
+    owners = stored(rows.select("context", "item_id").distinct())
     short = once.where(F.col("mask") >= len(MASKS)).select("mask").distinct().collect()  # at most five
-    return once, tuple(sorted(r["mask"] for r in short))
+    return once, owners, tuple(sorted(r["mask"] for r in short))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -117,11 +121,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the documents are tested against a fixed-size set, those that pass are joined with the
     benchmark's by hash, and the words around each hit are compared.
 
-    Null and empty texts, null benchmark texts and items under six words match nothing. Equal items
-    are reported once, under the smallest id; repeated rows of docs once. Empty tables give no rows.
+    Null and empty texts, null benchmark texts and items under six words match nothing. Every item that has the
+    passage is reported; repeated rows of docs and of the benchmark once. Empty tables give no rows.
     """
     limit_batches(docs.sparkSession)
-    once, short = item_seeds(benchmark)
+    once, owners, short = item_seeds(benchmark)
     bits = docs.sparkSession.sparkContext.broadcast(hash_set(once, "hash"))
     masks = masks_for(short)
 
@@ -158,9 +162,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         whole = whole | ((F.col("mask") == n) & (same(0, n) == n))
         equal = F.when(F.col("mask") == n, n).otherwise(equal)
     held = pair.where(((F.col("mask") < len(MASKS)) & (best >= EQUAL)) | whole)
-    return held.groupBy("doc_id", "text_key", "item_id").agg(
+    # contexts are few beside the documents' words, and what is left of those is what matched
+    hits = held.select("doc_id", "text_key", "word", equal.alias("equal"), "context").join(sized(owners, owners.count()), "context")
+    return hits.groupBy("doc_id", "text_key", "item_id").agg(
         F.min("word").cast("bigint").alias("first_word"), F.max("word").cast("bigint").alias("last_word"),
-        F.max(equal).cast("bigint").alias("equal_words"), F.countDistinct("word").alias("windows"))
+        F.max("equal").cast("bigint").alias("equal_words"), F.countDistinct("word").alias("windows"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

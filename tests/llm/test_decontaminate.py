@@ -71,10 +71,17 @@ def test_hot_passage_and_equal_items(spark):
     df = docs(spark, [(i, f"{i} {item}") for i in range(2_000)] + [(5_000, " ".join(words(9, 40)))])
     items = spark.createDataFrame([(7, item), (3, item), (3, item), (4, None)], ITEM)
     got = D.contaminated(df, items).collect()
-    assert {r["doc_id"] for r in got} == set(range(2_000)) and {r["item_id"] for r in got} == {3}
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(d, i) for d in range(2_000) for i in (3, 7)} and len(got) == 4_000
     assert [r["doc_id"] for r in D.clean(df, items).collect()] == [5_000]
 
 
+def test_items_that_share_a_passage_and_items_named_by_text(spark):
+    shared, own = " ".join(words(1, 20)), " ".join(words(2, 20))
+    items = spark.createDataFrame([("a", f"{shared} {own}"), ("b", shared), ("c", own)], "item_id string, text string")
+    got = D.contaminated(docs(spark, [(1, shared), (2, own), (3, " ".join(words(3, 40)))]), items)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(1, "a"), (1, "b"), (2, "a"), (2, "c")}
+
+
 def test_messy_and_empty(spark):
     df = messy(spark)
     text = next(r["text"] for r in df.collect() if r["doc_id"] == 5).split()
