@@ -1,4 +1,5 @@
 import random
+import threading
 from pathlib import Path
 from datetime import timedelta
 
@@ -146,6 +147,25 @@ def test_full_load_guard_and_status(spark, tmp_path, warehouse):
     assert warehouse.read("f1").count() == 1
 
 
+def test_loads_run_side_by_side(spark, warehouse, monkeypatch):
+    """Four loads wait for each other, the fifth fails; the caller's properties reach them, the order of rows stays."""
+    meeting, seen = threading.Barrier(4, timeout=20), []
+
+    def load(spark, warehouse, spec, strict):
+        seen.append(spark.sparkContext.getLocalProperty("of the caller"))
+        if spec.target == "t4":
+            raise ValueError("broken")
+        meeting.wait()
+        return spark.range(int(spec.target[1:])).count()
+
+    monkeypatch.setattr(ingest, "load_one", load)
+    spark.sparkContext.setLocalProperty("of the caller", "yes")
+    specs = [ingest.IngestSpec(parquet_source("/nowhere"), f"t{i}", ingest.FULL) for i in range(5)]
+    rows = [(r["target"], r["status"], r["written"], r["error"]) for r in ingest.load_all(spark, warehouse, specs).collect()]
+    assert rows == [("t0", "EMPTY", 0, None), *[(f"t{i}", "LOADED", i, None) for i in (1, 2, 3)], ("t4", "FAILED", 0, "broken")]
+    assert seen == ["yes"] * 5
+
+
 def test_exclusion_list(spark, tmp_path):
     file = tmp_path / "numbers.csv"
     file.write_text("LandingNumber\n 0812 \n007\n0812\n")
