@@ -28,14 +28,14 @@ class Jobs:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark = spark
         self.settings = settings
-        self.warehouse = Warehouse(spark, settings.warehouse_dir)
+        self.warehouse = Warehouse(spark, settings.warehouse_dir, settings.database)
         self.model_dir = shared_path(spark, settings.model_dir)
 
     def _bronze(self, table: str) -> DataFrame:
         return self.warehouse.read(self.settings.bronze_tables[table])
 
     def _window(self) -> RunWindow:
-        latest = self.warehouse.latest(self.settings.bronze_tables["cdr"])
+        latest = self.warehouse.latest(self.settings.bronze_tables["cdr"], "Created")
         return window_of(self.spark, latest, self.settings)
 
     def _period(self, table: str, window: RunWindow) -> DataFrame:

@@ -368,6 +368,15 @@ def all_sql() -> dict[str, str]:
                            OR (o_orderdate = DATE '1999-06-01' AND o_orderstatus = 'F'))
          OR (o_orderdate = DATE '1999-06-01' AND o_orderstatus <> 'F')"""
 
+    sql["changed_rows_load"] = """
+      WITH n AS (SELECT count(*) FILTER (event_id % 500 <> 3) AS load_1,
+                        count(*) FILTER (event_id % 500 = 3 OR event_id % 1000 = 7 OR event_id % 1500 = 11) AS load_2
+                 FROM events)
+      SELECT event_id, CASE WHEN event_id % 1500 = 11 THEN ts + INTERVAL 2 DAY ELSE ts END AS ts, user_id, event_type,
+             CASE WHEN event_id % 1000 = 7 THEN value + 1 ELSE value END AS value, props,
+             load_1, load_2, CAST(0 AS BIGINT) AS load_3
+      FROM events, n"""
+
     sql["bronze_load"] = """
       SELECT 1 AS run, 'events' AS target, 'INCREMENTAL' AS load_type, 'LOADED' AS status,
              (SELECT count(*) FROM events) AS written

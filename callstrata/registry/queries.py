@@ -45,10 +45,9 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
 
 
-def _drop_views(spark, *names):
-    """Leave no trace in the catalog; what has been read from a view stays readable."""
-    for name in names:
-        spark.sql(f"DROP VIEW IF EXISTS `{name}`")
+def _warehouse(spark, name: str) -> Warehouse:
+    """A database of its own below the shared checkpoint folder."""
+    return Warehouse(spark, f"{use_checkpoint_dir(spark).rstrip('/')}/{name}", name)
 
 
 # ---- sources, run window -------------------------------------------------------------------
@@ -84,7 +83,7 @@ def incremental_load_ties(spark, sf):
 def bronze_load(spark, sf):
     """Status of loading four tables twice, and of one source that does not exist."""
     tag = uuid.uuid4().hex[:8]
-    warehouse = Warehouse(spark, f"{use_checkpoint_dir(spark)}/bronze-{tag}")
+    warehouse = _warehouse(spark, f"bronze_{tag}")
 
     nothing = f"{use_checkpoint_dir(spark)}/nothing-{tag}"
     t.table(spark, sf, "supplier").limit(0).write.parquet(nothing)
@@ -103,7 +102,7 @@ def bronze_load(spark, sf):
     runs = [
         ingest.load_all(spark, warehouse, specs).withColumn("run", F.lit(i)) for i in (1, 2)
     ]
-    _drop_views(spark, *[spec.target for spec in specs])
+    spark.sql(f"DROP DATABASE {warehouse.database} CASCADE")
     return runs[0].unionByName(runs[1]).select(
         "run", F.regexp_replace("target", f"_{tag}$", "").alias("target"), "load_type", "status",
         "written",
@@ -113,7 +112,7 @@ def bronze_load(spark, sf):
 def forecast_archive(spark, sf):
     """Two runs archived one after the other, the second one twice: each is kept once."""
     tag = uuid.uuid4().hex[:8]
-    warehouse = Warehouse(spark, f"{use_checkpoint_dir(spark)}/archive-{tag}")
+    warehouse = _warehouse(spark, f"archive_{tag}")
     forecasts = t.order_forecasts(spark, sf)
     first, second = date(2001, 1, 1), date(2001, 2, 1)
     for run in (first, second, second):
@@ -121,11 +120,26 @@ def forecast_archive(spark, sf):
             forecasts.where(F.col("ForecastRunDate") == F.lit(run)), f"archive_{tag}",
             "ForecastRunDate",
         )
-    stored = warehouse.read(f"archive_{tag}").groupBy("ForecastRunDate").agg(
+    return warehouse.read(f"archive_{tag}").groupBy("ForecastRunDate").agg(
         F.count(F.lit(1)).alias("days"), F.sum("Prognos_Antal_Samtal").alias("volume")
     )
-    _drop_views(spark, f"archive_{tag}")
-    return stored
+
+
+def changed_rows_load(spark, sf):
+    """Events loaded twice: in between values change, times move (some beyond the last day) and rows join.
+
+    The second load starts from what the first stored and rewrites the days concerned.
+    """
+    warehouse = _warehouse(spark, f"changes_{uuid.uuid4().hex[:8]}")
+    events = t.table(spark, sf, "events")
+    first = events.where(F.col("event_id") % 500 != 3)
+    second = events.withColumn(
+        "value", F.when(F.col("event_id") % 1000 == 7, F.col("value") + 1).otherwise(F.col("value"))
+    ).withColumn("ts", F.when(
+        F.col("event_id") % 1500 == 11, F.col("ts") + F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts")))
+    written = [ingest.merge_changes(warehouse, rows, "events", ["event_id"], "ts") for rows in (first, second, second)]
+    return warehouse.read("events").select(
+        "*", *[F.lit(n).cast("bigint").alias(f"load_{i}") for i, n in enumerate(written, 1)])
 
 
 # ---- calls and dimensions ------------------------------------------------------------------
@@ -646,7 +660,7 @@ def fact_cases_query(spark, sf):
 
 def all_queries() -> dict:
     found = [
-        run_window, incremental_load, incremental_load_ties, bronze_load, forecast_archive,
+        run_window, incremental_load, incremental_load_ties, changed_rows_load, bronze_load, forecast_archive,
         collapse_calls, customer_mapping, number_owner, enrich_calls, flag_redials,
         training_data, abandoned_report, call_measures, dim_customer, dim_phone_lookup,
         explode_numbers, dim_queue, exclusion_list, anti_semi_filters, row_filters, keyword_category,

@@ -64,6 +64,7 @@ class Settings:
     project_timezone: str = "Europe/Stockholm"
 
     warehouse_dir: str = "warehouse"
+    database: str = "callstrata"
     model_dir: str = "models"
 
     # physical limits

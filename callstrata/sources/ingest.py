@@ -8,20 +8,24 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callstrata.operators.columns import wall_time
+from callstrata.session import cut_lineage
 from callstrata.settings import Settings
 from callstrata.sources.readers import SourceSpec, read_source
-from callstrata.sources.warehouse import Warehouse
+from callstrata.sources.warehouse import LOAD_DAY, Warehouse
 
 INCREMENTAL = "INCREMENTAL"
+CHANGES = "CHANGES"
 FULL = "FULL"
 
 
 @dataclass(frozen=True)
 class IngestSpec:
+    """``INCREMENTAL`` adds later rows, ``CHANGES`` also takes over rows that differ, ``FULL`` replaces all."""
+
     source: SourceSpec
     target: str
     load_type: str
@@ -77,6 +81,89 @@ def new_rows(
     return later.unionByName(missed.select(*source.columns))
 
 
+def content_hash(columns: Sequence[str]) -> Column:
+    """64-bit hash of a row. Nulls are hashed as such, so a value that moves to a neighbouring column shows."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+
+
+def newest_rows(df: DataFrame, key_cols: Sequence[str], time_col: str) -> DataFrame:
+    """One row per key: that of the latest time, nulls first; equal times go to the greatest content hash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    newest = df.groupBy(*[F.col(f"`{k}`") for k in key_cols]).agg(
+        F.max_by(row, F.struct(F.col(f"`{time_col}`"), content_hash(df.columns))).alias("row"))
+    return newest.select("row.*")
+
+
+def changed_rows(source: DataFrame, target: DataFrame, key_cols: Sequence[str], time_col: str) -> DataFrame:
+    """Source rows whose key is not in the target, or is there with other content, once for every stored row
+    that differs: ``row`` is the source's row, ``was`` the day that row is kept under, null for a new key.
+
+    Keys are compared null-safely. Of the target only keys, days and hashes are shuffled. ``target`` has the
+    hidden day column; a source column it lacks is null there.
+    """
+    stored = {c.lower(): c for c in target.columns}
+    named = {f.name.lower(): f for f in source.schema}
+    alike = target.select(F.col(LOAD_DAY).alias("_was"), *[
+        (F.col(f"`{stored[low]}`") if low in stored else F.lit(None)).cast(f.dataType).alias(f.name)
+        for low, f in named.items()])
+
+    def digest(rows: DataFrame, key: str, *more: Column) -> DataFrame:
+        keys = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(key_cols)])
+        return rows.select(keys.alias(key), content_hash(source.columns).alias(f"{key}_hash"), *more)
+
+    ours = digest(
+        newest_rows(source, key_cols, time_col), "ours",
+        F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("row"))
+    theirs = digest(alike, "theirs", F.col("_was").alias("was"), F.lit(True).alias("held"))
+    same = F.lit(True)
+    for i in range(len(key_cols)):
+        same = same & F.col(f"ours.k{i}").eqNullSafe(F.col(f"theirs.k{i}"))
+    differs = F.col("held").isNull() | (F.col("ours_hash") != F.col("theirs_hash"))
+    return ours.join(theirs, same, "left").where(differs).select("row", "was", "held")
+
+
+def merge_changes(
+    warehouse: Warehouse, source: DataFrame, table: str, key_cols: Sequence[str], time_col: str,
+) -> int:
+    """Bring new and changed rows of the source into a growing table; returns their number.
+
+    Only days that lose or get a row are written anew, in one step each; other days keep their files. A
+    row whose time moved to another day leaves the old one. Rows the source no longer has stay. As rows
+    are found by key and content, a merge that broke off is completed by the next.
+    """
+    if not key_cols:
+        raise ValueError(f"{table}: changed rows are found by key, none is named")
+    if not warehouse.exists(table):
+        return warehouse.append(newest_rows(source, key_cols, time_col), table, time_col)
+    target = warehouse.with_days(table)
+    changed = cut_lineage(changed_rows(source, target, key_cols, time_col))
+    day = F.to_date(f"row.`{time_col}`")
+    # A table's days are few, so the list of touched ones is a literal that prunes the target's folders.
+    touched = changed.select(day.alias("day"), F.when(F.col("held"), F.col("was")).otherwise(day).alias("was")).distinct().collect()
+    if not touched:
+        return 0
+    days, left = {r["day"] for r in touched} | {r["was"] for r in touched}, {r["was"] for r in touched if r["was"] != r["day"]}
+    incoming = newest_rows(changed.select("row.*"), key_cols, time_col)
+    kept = _on_days(target, days)
+    keys = incoming.select(*[F.col(f"`{k}`").alias(f"_changed_{i}") for i, k in enumerate(key_cols)])
+    match = F.lit(True)
+    for i, k in enumerate(key_cols):
+        match = match & F.col(f"`{k}`").eqNullSafe(F.col(f"_changed_{i}"))
+    kept = kept.join(keys, match, "left_anti")
+    # Days that only lose rows and keep none are not among the rows written, so they are dropped.
+    emptied = left - {r[0] for r in _on_days(kept, left).select(LOAD_DAY).distinct().collect()} - {r["day"] for r in touched} if left else set()
+    merged = kept.drop(LOAD_DAY).unionByName(incoming, allowMissingColumns=True)
+    warehouse.replace_days(merged, table, time_col)
+    warehouse.drop_days(table, sorted(emptied, key=str))
+    return incoming.count()
+
+
+def _on_days(rows: DataFrame, days: set[date | None]) -> DataFrame:
+    known = [d for d in days if d is not None]
+    wanted = F.col(LOAD_DAY).isin(known) if known else F.lit(False)
+    return rows.where(wanted | F.col(LOAD_DAY).isNull() if None in days else wanted)
+
+
 def load_one(
     spark: SparkSession, warehouse: Warehouse, spec: IngestSpec, strict: bool = False
 ) -> int:
@@ -84,12 +171,15 @@ def load_one(
     source = read_source(spark, spec.source)
     if spec.load_type == INCREMENTAL:
         source = wall_time(source, spec.time_col)
-        latest, target = warehouse.latest(spec.target), None
+        latest, target = warehouse.latest(spec.target, spec.time_col), None
         if latest is not None:
             day = date.fromisoformat(latest[:10])
             target = warehouse.read_days(spec.target, day, day + timedelta(days=1))
         fresh = new_rows(source, target, spec.time_col, spec.key_cols, strict, latest)
         return warehouse.append(fresh, spec.target, spec.time_col)
+    if spec.load_type == CHANGES:
+        return merge_changes(
+            warehouse, wall_time(source, spec.time_col), spec.target, spec.key_cols, spec.time_col)
     if spec.load_type == FULL:
         if source.isEmpty():
             return 0  # an empty source never empties the target

@@ -1,25 +1,24 @@
-"""Tables of the warehouse: versioned publishing, append, partitioned archive, models."""
+"""Tables of the warehouse in the session's catalog: publishing, growing tables, archive, models."""
 
 from __future__ import annotations
 
-import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import UTC, date, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from callstrata.session import shared_path
-from callstrata.sources.pointers import Pointer, Pointers
 from callstrata.sources.readers import is_missing
 
-#: Hidden partition columns of growing tables.
-LOAD_BATCH, LOAD_DAY = "_load_batch", "_load_day"
+#: Hidden partition column of growing tables.
+LOAD_DAY = "_load_day"
+_STAMP = "%Y%m%d%H%M%S%f"
 
 
 class PublishError(RuntimeError):
@@ -27,157 +26,191 @@ class PublishError(RuntimeError):
 
 
 class _Counter:
-    """Counts the rows of a write while it runs, and notes the latest time among them."""
+    """Counts the rows of a write while it runs."""
 
-    def __init__(self, df: DataFrame, time_col: str | None = None):
+    def __init__(self, df: DataFrame):
         self._seen = Observation(f"rows_{uuid.uuid4().hex}")
-        latest = F.max(time_col).cast("string") if time_col else F.lit(None).cast("string")
-        self.df = df.observe(
-            self._seen, F.count(F.lit(1)).alias("rows"),
-            (latest if time_col else F.max(latest)).alias("latest"))
+        self.df = df.observe(self._seen, F.count(F.lit(1)).alias("rows"))
 
-    def seen(self) -> tuple[int, str | None]:
+    def rows(self) -> int:
         try:
-            return self._seen.get["rows"], self._seen.get["latest"]
+            return self._seen.get["rows"]
         except Py4JJavaError:
             # Proven empty, the input was planned away and the observation with it.
             if self.df.isEmpty():
-                return 0, None
+                return 0
             raise
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Few files per partition, and a partition holding most rows is split again."""
+    return df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by]) if partition_by else df
+
+
 class Warehouse:
-    """Parquet tables under one root folder, found by name through pointer files in that folder.
+    """Parquet tables of one catalog database kept below one root folder.
 
-    A write goes to a folder of its own; only when it has ended and been checked is the pointer of
-    the table swapped, in one step. A failed or repeated run therefore leaves the old rows in place
-    and never adds some twice, and any later process finds what an earlier one stored. Temporary
-    views of the same names are set in the session for SQL; nothing depends on them.
+    A published table is a view over a version, itself a table of the catalog. A new version is written
+    and checked first; replacing the view is one step, so readers see the old rows or the new, and a
+    failed run leaves the old ones. Versions without a view stay for ``grace_sec``, as readers may still
+    be busy with them. Growing tables and the archive are partitioned tables that rows are inserted into.
 
-    One writer per table at a time is assumed. Folders no pointer names any more are kept for
-    ``grace_sec``, as readers may still be busy with them, and removed by a later write.
+    With a persistent catalog (``spark.sql.catalogImplementation=hive``) later applications find what an
+    earlier one stored. Where the catalog ends with the application, Spark refuses to create a table
+    over files left by another, so nothing is loaded twice unseen. One writer per table at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, grace_sec: float = 7 * 86_400):
+    def __init__(
+        self, spark: SparkSession, root: str, database: str = "callstrata", grace_sec: float = 7 * 86_400,
+    ):
         self.spark = spark
         self.root = shared_path(spark, root).rstrip("/")
+        self.database = database
         self.grace_sec = grace_sec
-        self.pointers = Pointers(spark, self.root)
+        place = self.root.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{place}'")
+        kept = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+        if not kept.endswith(self.root.split("://")[-1].removeprefix("file:")):
+            raise ValueError(f"database {database} lies in {kept}, not in {self.root}")
 
-    def _filled(self, table: str) -> Pointer | None:
-        pointer = self.pointers.get(table)
-        return pointer if pointer and pointer.folders else None
+    def name(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
 
     def exists(self, table: str) -> bool:
-        return self._filled(table) is not None
-
-    def latest(self, table: str) -> str | None:
-        """Latest time stored in a growing table, from its pointer; no data file is opened."""
-        pointer = self._filled(table)
-        return pointer.latest if pointer else None
-
-    def _rows(self, table: str) -> tuple[Pointer, DataFrame]:
-        pointer = self._filled(table)
-        if pointer is None:
-            raise LookupError(f"{self.root} has no table {table}")
-        schema = T.StructType.fromJson(json.loads(pointer.schema))
-        reader = self.spark.read.schema(schema)
-        if pointer.day:  # several folders, told apart like partitions of one table
-            reader = reader.option("basePath", f"{self.root}/{table}")
-        return pointer, reader.parquet(*pointer.folders).drop(LOAD_BATCH)
+        return self.spark.catalog.tableExists(self.name(table))
 
-    def read(self, table: str) -> DataFrame:
-        pointer, rows = self._rows(table)
-        if pointer.columns:
-            return rows.select(*[F.col(f"`{c}`") for c in pointer.columns])
-        return rows.drop(pointer.day) if pointer.day else rows
+    def _stored(self, table: str) -> DataFrame:
+        if not self.exists(table):
+            raise LookupError(f"{self.database} has no table {table}")
+        return self.spark.table(self.name(table))
 
-    def read_days(self, table: str, first: date, end: date) -> DataFrame:
-        """Rows of the days [first, end) of a growing table; other days' files are not opened."""
-        pointer, rows = self._rows(table)
-        if not pointer.day:
-            raise ValueError(f"{table} is not kept by day")
-        day = F.col(pointer.day)
-        return rows.where((day >= F.lit(first)) & (day < F.lit(end))).drop(pointer.day)
+    def read(self, table: str) -> DataFrame:
+        return self._stored(table).drop(LOAD_DAY)
 
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
-    def _write(
-        self, df: DataFrame, path: str, partition_by: Sequence[str], mode: str,
-        time_col: str | None = None, **options,
-    ) -> tuple[int, str | None]:
-        if partition_by:
-            # Few files per partition, and a partition holding most rows is split again.
-            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-        # Counted after any shuffle: tasks of the last stage are counted once even when repeated.
-        counter = _Counter(df, time_col)
-        writer = counter.df.write.mode(mode).options(**options)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-        return counter.seen()
-
-    def _begin(self, table: str) -> Pointer:
-        """The table's pointer; a new table gets one without rows before its first folder appears."""
-        pointer = self.pointers.get(table)
-        if pointer is None:
-            pointer = Pointer()
-            self.pointers.put(table, pointer)
-        return pointer
-
-    def _point(self, table: str, pointer: Pointer) -> None:
-        self.pointers.put(table, pointer)
-        self.pointers.remove_unnamed(table, self.grace_sec)
-        self.read(table).createOrReplaceTempView(table)
+    def with_days(self, table: str) -> DataFrame:
+        """A growing table with the day that each row is kept under."""
+        rows = self._stored(table)
+        if LOAD_DAY not in rows.columns:
+            raise ValueError(f"{table} is not kept by day")
+        return rows
+
+    def read_days(self, table: str, first: date, end: date) -> DataFrame:
+        """Rows of the days [first, end) of a growing table; other days' files are not opened."""
+        day = F.col(LOAD_DAY)
+        return self.with_days(table).where((day >= F.lit(first)) & (day < F.lit(end))).drop(LOAD_DAY)
+
+    def latest(self, table: str, time_col: str) -> str | None:
+        """Latest time of a growing table as text: the catalog names the last day, only its files are read."""
+        if not self.exists(table):
+            return None
+        rows = self.with_days(table)
+        days = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        last = days.agg(F.max(F.split_part("partition", F.lit("="), F.lit(2)).try_cast("date"))).first()[0]
+        if last is None:
+            return None
+        return rows.where(F.col(LOAD_DAY) == F.lit(last)).agg(F.max(time_col).cast("string")).first()[0]
+
+    def _versions(self, table: str) -> list[str]:
+        """The versions of a published table, oldest first."""
+        wanted = re.compile(re.escape(table.lower()) + r"__\d{20}_[0-9a-f]{8}")
+        names = self.spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{table.lower()}__*'").collect()
+        return sorted(r["tableName"] for r in names if wanted.fullmatch(r["tableName"].lower()))
+
+    def _drop_old(self, table: str, current: str) -> None:
+        """Drop the versions that were followed by another one at least ``grace_sec`` ago."""
+        now = datetime.now(UTC)
+        versions = [v for v in self._versions(table) if v != current] + [current]
+        for version, follower in zip(versions, versions[1:]):
+            followed = now if follower == current else datetime.strptime(
+                follower.split("__")[-1].split("_")[0], _STAMP).replace(tzinfo=UTC)
+            if (now - followed).total_seconds() >= self.grace_sec:
+                self.spark.sql(f"DROP TABLE {self.name(version)}")
+
+    def _show(self, table: str, version: str, columns: Sequence[str]) -> None:
+        listed = ", ".join(f"`{c}`" for c in columns)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS SELECT {listed} FROM {self.name(version)}")
 
     def publish(
-        self, df: DataFrame, table: str, run_id: str | None = None,
-        partition_by: Sequence[str] = (), projections: Mapping[str, Sequence[str]] | None = None,
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (),
+        projections: Mapping[str, Sequence[str]] | None = None,
     ) -> int:
         """Replace a table; returns its row count.
 
-        ``projections`` names further tables that are columns of this one: they are pointed at
-        the same version instead of being written again.
+        ``projections`` names further tables that are columns of this one: they are views of the same
+        version instead of being written again.
         """
-        self._begin(table)
-        path = f"{self.root}/{table}/{run_id or uuid.uuid4().hex}"
-        written, _ = self._write(df, path, partition_by, "errorifexists")
-        stored = self.spark.read.schema(df.schema).parquet(path).count()
-        if stored != written:
-            raise PublishError(f"{table}: wrote {written} rows but stored {stored}")
-        self._point(table, Pointer([path], df.schema.json()))
-        for name, columns in (projections or {}).items():
-            self._point(name, Pointer([path], df.schema.json(), list(columns)))
+        version = f"{table.lower()}__{datetime.now(UTC).strftime(_STAMP)}_{uuid.uuid4().hex[:8]}"
+        # Counted after any shuffle: tasks of the last stage are counted once even when repeated.
+        counter = _Counter(_rebalanced(df, partition_by))
+        try:
+            counter.df.write.format("parquet").partitionBy(*partition_by).saveAsTable(self.name(version))
+            written, stored = counter.rows(), self.spark.table(self.name(version)).count()
+            if stored != written:
+                raise PublishError(f"{table}: wrote {written} rows but stored {stored}")
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(version)}")
+            raise
+        for shown, columns in {table: df.columns, **(projections or {})}.items():
+            self._show(shown, version, columns)
+        self._drop_old(table, version)
         return written
 
+    def _insert(self, df: DataFrame, table: str, partition: str, overwrite: bool) -> int:
+        """Insert by column name; new columns join the table, columns that are missing are null.
+
+        Overwriting replaces only the partitions among the rows.
+        """
+        if not self.exists(table):
+            counter = _Counter(_rebalanced(df, [partition]))
+            counter.df.write.format("parquet").partitionBy(partition).option(
+                "partitionOverwriteMode", "dynamic").saveAsTable(self.name(table))
+            return counter.rows()
+        stored = self._stored(table).schema
+        new = [f for f in df.schema if f.name.lower() not in {c.lower() for c in stored.names}]
+        if new:
+            listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({listed})")
+            stored = self._stored(table).schema
+        given = {c.lower(): c for c in df.columns}
+        counter = _Counter(_rebalanced(df.select(*[
+            (F.col(f"`{given[f.name.lower()]}`") if f.name.lower() in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in stored]), [partition]))
+        counter.df.write.insertInto(self.name(table), overwrite=overwrite)
+        return counter.rows()
+
     def append(self, df: DataFrame, table: str, time_col: str) -> int:
         """Add rows to a table, creating it on first use; returns the number of rows added.
 
         The table is partitioned by the day of ``time_col`` in a hidden column, so reading a period
-        touches the days concerned and not the whole past; its latest time stays in the pointer.
+        touches the days concerned and not the whole past.
         """
-        if {LOAD_BATCH, LOAD_DAY} & set(df.columns):
-            raise ValueError(f"a source may not have a column {LOAD_BATCH} or {LOAD_DAY}")
-        pointer = self._begin(table)
-        path = f"{self.root}/{table}/{LOAD_BATCH}=b{uuid.uuid4().hex}"
-        dated = df.withColumn(LOAD_DAY, F.to_date(time_col))
-        written, latest = self._write(dated, path, [LOAD_DAY], "errorifexists", time_col)
-        if written:
-            self._point(table, Pointer(
-                [*pointer.folders, path], dated.schema.json(), None, LOAD_DAY,
-                max(filter(None, (pointer.latest, latest)), default=None)))
-        return written
+        return self._insert(self._dated(df, time_col), table, LOAD_DAY, overwrite=False)
+
+    def replace_days(self, df: DataFrame, table: str, time_col: str) -> int:
+        """Write the days found among the rows anew; every other day keeps its files."""
+        return self._insert(self._dated(df, time_col), table, LOAD_DAY, overwrite=True)
+
+    def drop_days(self, table: str, days: Sequence[date | None]) -> None:
+        for day in days:
+            value = "NULL" if day is None else f"DATE '{day.isoformat()}'"
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (`{LOAD_DAY}` = {value})")
+
+    def compact(self, table: str, time_col: str, first: date, end: date) -> int:
+        """Rewrite the days [first, end) of a growing table, each load's small files as few large ones."""
+        return self.replace_days(self.read_days(table, first, end), table, time_col)
+
+    @staticmethod
+    def _dated(df: DataFrame, time_col: str) -> DataFrame:
+        if LOAD_DAY in df.columns:
+            raise ValueError(f"a source may not have a column {LOAD_DAY}")
+        return df.withColumn(LOAD_DAY, F.to_date(time_col))
 
     def archive(self, df: DataFrame, table: str, run_column: str) -> int:
         """Replace only the runs present in ``df``; every other run of the table stays."""
-        self._begin(table)
-        path = f"{self.root}/{table}/runs"
-        written, _ = self._write(
-            df, path, [run_column], "overwrite", partitionOverwriteMode="dynamic"
-        )
-        self._point(table, Pointer([path], df.schema.json()))
-        return written
+        return self._insert(df, table, run_column, overwrite=True)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

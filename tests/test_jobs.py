@@ -1,9 +1,10 @@
 import random
 import threading
-from pathlib import Path
+import uuid
 from datetime import timedelta
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from callstrata.plans.boosting import Growth
@@ -12,24 +13,22 @@ from callstrata.plans.run_window import window_of
 from callstrata.schemas import BRONZE, FORECAST_COLUMNS
 from callstrata.settings import VALIDATION, Settings, ValidationPeriod
 from callstrata.sources import ingest
-from callstrata.sources.pointers import MissingPointer
 from callstrata.sources.readers import SourceSpec, jdbc_source, parquet_source, read_exclusion_list
-from callstrata.sources.warehouse import PublishError, Warehouse
+from callstrata.sources.warehouse import LOAD_DAY, PublishError, Warehouse
 from tests.helpers import at, bronze, day, dicts, frame, plan
 
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    return Warehouse(spark, str(tmp_path / "warehouse"))
+    return Warehouse(spark, str(tmp_path / "warehouse"), unused())
 
 
-def drop_views(spark, *names):
-    for name in names:
-        spark.sql(f"DROP VIEW IF EXISTS `{name}`")
+def unused():
+    """Name of a database that no other test has."""
+    return f"db_{uuid.uuid4().hex[:8]}"
 
 
 def test_publish_replaces_and_survives_failure(spark, warehouse):
-    drop_views(spark, "p1")
     assert warehouse.publish(frame(spark, "x INT", (1,), (2,)), "p1") == 2
     old = warehouse.read("p1")
     assert warehouse.publish(old.withColumn("x", F.col("x") + 10), "p1") == 2  # reads what it replaces
@@ -41,7 +40,6 @@ def test_publish_replaces_and_survives_failure(spark, warehouse):
 
 
 def test_publish_by_partition_and_archive(spark, warehouse):
-    drop_views(spark, "p2", "a1")
     rows = [(i, day("2024-01-01") + timedelta(days=i % 3)) for i in range(30)]
     df = frame(spark, "x INT, d DATE", *rows)
     assert warehouse.publish(df, "p2", partition_by=["d"]) == 30
@@ -54,7 +52,6 @@ def test_publish_by_partition_and_archive(spark, warehouse):
 
 
 def test_incremental_load_keeps_rows_with_an_equal_time(spark, tmp_path, warehouse):
-    drop_views(spark, "t1", "t2")
     path = str(tmp_path / "src")
     ddl = "id INT, t TIMESTAMP_NTZ"
     t1, t2 = at("2024-01-01"), at("2024-01-02")
@@ -72,13 +69,12 @@ def test_incremental_load_keeps_rows_with_an_equal_time(spark, tmp_path, warehou
 
 
 def test_growing_tables_are_read_by_day(spark, tmp_path, warehouse):
-    drop_views(spark, "g1")
     path = str(tmp_path / "src")
     rows = [(i, at("2024-01-01") + timedelta(hours=i)) for i in range(100)]
     frame(spark, "id INT, Created TIMESTAMP_NTZ", *rows).write.parquet(path)
     ingest.load_one(spark, warehouse, ingest.IngestSpec(parquet_source(path), "g1", ingest.INCREMENTAL, "Created"))
-    assert warehouse.latest("g1") == "2024-01-05 03:00:00" == ingest.high_watermark(warehouse.read("g1"), "Created")
-    window = window_of(spark, warehouse.latest("g1"), Settings(operational_months_ago=0))
+    assert warehouse.latest("g1", "Created") == "2024-01-05 03:00:00" == ingest.high_watermark(warehouse.read("g1"), "Created")
+    window = window_of(spark, warehouse.latest("g1", "Created"), Settings(operational_months_ago=0))
     assert (window.start, window.today) == (day("2024-01-01"), day("2024-01-06"))
     wanted = warehouse.read_days("g1", day("2024-01-02"), day("2024-01-03"))
     assert wanted.count() == 24 and "PartitionFilters: [isnotnull(_load_day" in plan(wanted)
@@ -95,14 +91,13 @@ def test_a_source_keeps_its_own_day_column(spark, tmp_path, warehouse):
 
 
 def test_another_session_finds_what_one_stored_and_loads_nothing_twice(spark, tmp_path):
-    path, root = str(tmp_path / "src"), str(tmp_path / "wh")
+    path, root, name = str(tmp_path / "src"), str(tmp_path / "wh"), unused()
     frame(spark, "id INT, t TIMESTAMP_NTZ", (1, at("2024-01-01")), (2, at("2024-01-02"))).write.parquet(path)
     spec = ingest.IngestSpec(parquet_source(path), "again", ingest.INCREMENTAL, "t")
     for expected in (2, 0):
         other = spark.newSession()
-        assert not other.catalog.tableExists("again")
-        assert ingest.load_one(other, Warehouse(other, root), spec) == expected
-        assert Warehouse(other, root).read("again").count() == 2
+        assert ingest.load_one(other, Warehouse(other, root, name), spec) == expected
+        assert Warehouse(other, root, name).read("again").count() == 2
 
 
 def test_a_failed_write_leaves_the_old_rows(spark, tmp_path, warehouse):
@@ -115,27 +110,122 @@ def test_a_failed_write_leaves_the_old_rows(spark, tmp_path, warehouse):
     assert not warehouse.exists("f9") and warehouse.append(rows, "f9", "t") == 2
     with pytest.raises(Exception):
         warehouse.append(broken(rows), "f9", "t")
-    assert warehouse.read("f9").count() == 2 and warehouse.latest("f9") == "2024-01-02 00:00:00"
-
-
-def test_data_without_a_pointer_is_an_error(spark, tmp_path, warehouse):
-    frame(spark, "x INT", (1,)).write.parquet(f"{warehouse.root}/lost/part")
-    for use in (warehouse.exists, warehouse.read, warehouse.latest):
-        with pytest.raises(MissingPointer):
-            use("lost")
+    assert warehouse.read("f9").count() == 2 and warehouse.latest("f9", "t") == "2024-01-02 00:00:00"
+
+
+def test_files_no_catalog_entry_names_are_an_error(spark, tmp_path, warehouse):
+    """A catalog that has forgotten a table never makes a load start again beside its files."""
+    rows = frame(spark, "id INT, t TIMESTAMP_NTZ", (1, at("2024-01-01")))
+    rows.write.parquet(f"{warehouse.root}/lost")
+    assert not warehouse.exists("lost") and warehouse.latest("lost", "t") is None
+    with pytest.raises(LookupError):
+        warehouse.read("lost")
+    with pytest.raises(SparkRuntimeException, match="LOCATION_ALREADY_EXISTS"):
+        warehouse.append(rows, "lost", "t")
+    with pytest.raises(ValueError):
+        Warehouse(spark, str(tmp_path / "elsewhere"), warehouse.database)
 
 
 def test_old_versions_go_after_their_grace(spark, tmp_path):
-    keeping, eager = (Warehouse(spark, str(tmp_path / n), g) for n, g in (("a", 3600), ("b", 0)))
+    keeping, eager = (Warehouse(spark, str(tmp_path / n), unused(), g) for n, g in (("a", 3600), ("b", 0)))
     for warehouse, left in ((keeping, 3), (eager, 1)):
         for x in (1, 2, 3):
+            before = warehouse.read_or_none("v")
             warehouse.publish(frame(spark, "x INT", (x,)), "v")
+            warehouse.publish(frame(spark, "x INT", (x,)), "v__other")  # a longer name is another table
+            if before is not None and warehouse is keeping:
+                assert before.first()["x"] == x - 1  # a reader that began before the swap
         assert warehouse.read("v").first()["x"] == 3
-        assert len([f for f in Path(warehouse.root, "v").iterdir() if f.is_dir()]) == left
+        tables = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {warehouse.database} LIKE 'v__2*'").collect()]
+        assert len(tables) == left
+
+
+def test_projections_share_a_version_and_schemas_may_change(spark, warehouse):
+    warehouse.publish(frame(spark, "x INT, y INT", (1, 2)), "wide", projections={"narrow": ["y"]})
+    assert warehouse.read("narrow").columns == ["y"] and warehouse.read("narrow").first()["y"] == 2
+    warehouse.publish(frame(spark, "x INT, `å b` STRING", (3, "c")), "wide", projections={"narrow": ["å b"]})
+    assert warehouse.read("wide").first().asDict() == {"x": 3, "å b": "c"} and warehouse.read("narrow").first()[0] == "c"
+
+
+def test_growing_tables_take_new_columns_and_are_compacted(spark, warehouse):
+    def rows(ddl, *values):
+        return frame(spark, "id INT, t TIMESTAMP_NTZ" + ddl, *values)
+
+    for i in range(4):
+        assert warehouse.append(rows("", (i, at("2024-01-01")), (i + 10, at("2024-01-02"))), "grow", "t") == 2
+    assert warehouse.append(rows(", extra STRING", (9, at("2024-01-03"), "e")), "grow", "t") == 1
+    assert warehouse.append(frame(spark, "t TIMESTAMP_NTZ, ID INT", (at("2024-01-03"), 8)), "grow", "t") == 1
+    assert warehouse.append(rows("").limit(0), "grow", "t") == 0
+    before = sorted(map(tuple, warehouse.read("grow").collect()), key=repr)
+    assert len(before) == 10 and (9, at("2024-01-03"), "e") in before and (8, at("2024-01-03"), None) in before
+    files = files_by_day(warehouse, "grow")
+    assert len(files[day("2024-01-01")]) == 4
+    assert warehouse.compact("grow", "t", day("2024-01-01"), day("2024-01-02")) == 4
+    after = files_by_day(warehouse, "grow")
+    assert len(after[day("2024-01-01")]) == 1 and after[day("2024-01-02")] == files[day("2024-01-02")]
+    assert sorted(map(tuple, warehouse.read("grow").collect()), key=repr) == before
+
+
+def files_by_day(warehouse, table):
+    found = {}
+    for r in warehouse.with_days(table).select(LOAD_DAY, "_metadata.file_path").distinct().collect():
+        found.setdefault(r[0], set()).add(r[1])
+    return found
+
+
+def test_changed_rows_rewrite_only_their_days(spark, warehouse):
+    def merge(*rows, ddl="id INT, t TIMESTAMP_NTZ, a STRING, b STRING"):
+        return ingest.merge_changes(warehouse, frame(spark, ddl, *rows), "m", ["id"], "t")
+
+    d1, d2, d3, d4 = (at(f"2024-01-0{i}") for i in (1, 2, 3, 4))
+    first = [(1, d1, "x", None), (2, d1, "x", None), (3, d2, "x", None), (4, d3, "x", None), (None, None, "n", None)]
+    assert merge(*first, (4, d2, "older", None)) == 5  # one row a key, the latest
+    assert merge(*first) == 0
+    files = files_by_day(warehouse, "m")
+    # 1: a value moves to the next column; 4: the only row of its day moves; 5 is new; null key: another value
+    second = [(1, d1, None, "x"), *first[1:3], (4, d4, "x", None), (5, d4, "x", None), (None, None, "m", None)]
+    assert merge(*second, second[0]) == 4
+    assert sorted(map(tuple, warehouse.read("m").collect()), key=repr) == sorted(second, key=repr)
+    after = files_by_day(warehouse, "m")
+    assert after[d2.date()] == files[d2.date()] and set(after) == {d1.date(), d2.date(), d4.date(), None}
+    assert merge((None, d1, "m", None)) == 1  # the null day is left by its only row
+    assert set(files_by_day(warehouse, "m")) == {d1.date(), d2.date(), d4.date()}
+    assert warehouse.read("m").count() == 6  # rows the source no longer has stay
+    assert merge((2, d1, "x", None, 7), (3, d2, "x", None, None), ddl="id INT, t TIMESTAMP_NTZ, a STRING, b STRING, c INT") == 1
+    assert [r["id"] for r in warehouse.read("m").where("c = 7").collect()] == [2]
+    assert merge(ddl="id INT, t TIMESTAMP_NTZ, a STRING, b STRING") == 0
+    with pytest.raises(ValueError):
+        ingest.merge_changes(warehouse, warehouse.read("m"), "m", [], "t")
+
+
+def test_a_broken_off_merge_is_completed_by_the_next(spark, warehouse):
+    """The new day was written, the emptied one not dropped yet: the row is there twice until the next merge."""
+    ddl, old, new = "id INT, t TIMESTAMP_NTZ", (1, at("2024-01-01")), (1, at("2024-01-02"))
+    warehouse.append(frame(spark, ddl, old, new), "twice", "t")
+    assert ingest.merge_changes(warehouse, frame(spark, ddl, new), "twice", ["id"], "t") == 1
+    assert [tuple(r) for r in warehouse.read("twice").collect()] == [new]
+
+
+def test_changes_as_a_load_type(spark, tmp_path, warehouse):
+    path = str(tmp_path / "src")
+    spec = ingest.IngestSpec(parquet_source(path), "c1", ingest.CHANGES, "t", ("id",))
+    for value, written in (("a", 2), ("a", 0), ("b", 2)):
+        frame(spark, "id INT, t TIMESTAMP_NTZ, v STRING", (1, at("2024-01-01"), value), (2, at("2024-01-02"), value)).write.mode(
+            "overwrite").parquet(path)
+        status = ingest.load_all(spark, warehouse, [spec]).first()
+        assert (status["status"], status["written"]) == ("LOADED" if written else "EMPTY", written)
+        assert {r["v"] for r in warehouse.read("c1").collect()} == {value}
+
+
+def test_the_latest_time_is_read_from_the_last_day_alone(spark, warehouse):
+    rows = [(i, at("2024-01-01") + timedelta(hours=i)) for i in range(72)]
+    warehouse.append(frame(spark, "id INT, t TIMESTAMP_NTZ", *rows, (99, None)), "last", "t")
+    assert warehouse.latest("last", "t") == "2024-01-03 23:00:00"
+    warehouse.append(frame(spark, "id INT, t TIMESTAMP_NTZ", (1, None)), "undated", "t")
+    assert warehouse.latest("undated", "t") is None
 
 
 def test_full_load_guard_and_status(spark, tmp_path, warehouse):
-    drop_views(spark, "f1", "f2")
     full, empty = str(tmp_path / "full"), str(tmp_path / "empty")
     frame(spark, "x INT", (1,)).write.parquet(full)
     spark.createDataFrame([], "x INT").write.parquet(empty)
@@ -215,12 +305,11 @@ def test_full_run(spark, tmp_path):
     sources = write_sources(spark, str(tmp_path / "src"), days)
     last = day("2024-01-01") + timedelta(days=days - 1)
     settings = Settings(
-        warehouse_dir=str(tmp_path / "wh"), model_dir=str(tmp_path / "models"),
+        warehouse_dir=str(tmp_path / "wh"), database=unused(), model_dir=str(tmp_path / "models"),
         queue_to_service={"1": "Support", "2": "Växel"}, exclude_queue_ids=("9",),
         run_mode=VALIDATION, holdout_period_days=7,
         validation=ValidationPeriod(last - timedelta(days=7), last - timedelta(days=6), last, last - timedelta(days=7)),
     )
-    drop_views(spark, *settings.bronze_tables.values(), *settings.table_names.values(), "Silver_Enriched_Calls")
     class EachInItsOwnSession:
         """Every step in a new session, as when each is a process of its own."""
 
@@ -233,7 +322,7 @@ def test_full_run(spark, tmp_path):
     rows = jobs.extract()
     assert 0 < rows["Operative_Training_Data"] == rows["Silver_Enriched_Calls"] <= days * 30
     # Every call with a second leg ends answered.
-    table = Warehouse(spark, settings.warehouse_dir).read
+    table = Warehouse(spark, settings.warehouse_dir, settings.database).read
     report = table("Abandoned_Calls_Report")
     assert 0 < report.count() < days * 30 / 3 and rows["Customer_Dimension"] == 2
     jobs.segment()
