@@ -143,11 +143,9 @@ class Warehouse:
         version instead of being written again.
         """
         version = f"{table.lower()}__{datetime.now(UTC).strftime(_STAMP)}_{uuid.uuid4().hex[:8]}"
-        # Counted after any shuffle: tasks of the last stage are counted once even when repeated.
-        counter = _Counter(_rebalanced(df, partition_by))
         try:
-            counter.df.write.format("parquet").partitionBy(*partition_by).saveAsTable(self.name(version))
-            written, stored = counter.rows(), self.spark.table(self.name(version)).count()
+            written = self._insert(df, version, partition_by, overwrite=False)
+            stored = self.spark.table(self.name(version)).count()
             if stored != written:
                 raise PublishError(f"{table}: wrote {written} rows but stored {stored}")
         except Exception:
@@ -158,16 +156,20 @@ class Warehouse:
         self._drop_old(table, version)
         return written
 
-    def _insert(self, df: DataFrame, table: str, partition: str, overwrite: bool) -> int:
+    def _insert(self, df: DataFrame, table: str, partition_by: Sequence[str], overwrite: bool) -> int:
         """Insert by column name; new columns join the table, columns that are missing are null.
 
-        Overwriting replaces only the partitions among the rows.
+        A missing table is created. Overwriting replaces only the partitions among the rows.
         """
         if not self.exists(table):
-            counter = _Counter(_rebalanced(df, [partition]))
-            counter.df.write.format("parquet").partitionBy(partition).option(
+            # Made empty, as rows inserted name their partitions while a filled table's are searched for.
+            df.limit(0).write.format("parquet").partitionBy(*partition_by).option(
                 "partitionOverwriteMode", "dynamic").saveAsTable(self.name(table))
-            return counter.rows()
+            try:
+                return self._insert(df, table, partition_by, overwrite)
+            except Exception:
+                self.spark.sql(f"DROP TABLE {self.name(table)}")
+                raise
         stored = self._stored(table).schema
         new = [f for f in df.schema if f.name.lower() not in {c.lower() for c in stored.names}]
         if new:
@@ -175,9 +177,10 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({listed})")
             stored = self._stored(table).schema
         given = {c.lower(): c for c in df.columns}
+        # Counted after any shuffle: tasks of the last stage are counted once even when repeated.
         counter = _Counter(_rebalanced(df.select(*[
             (F.col(f"`{given[f.name.lower()]}`") if f.name.lower() in given else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in stored]), [partition]))
+            for f in stored]), partition_by))
         counter.df.write.insertInto(self.name(table), overwrite=overwrite)
         return counter.rows()
 
@@ -187,11 +190,11 @@ class Warehouse:
         The table is partitioned by the day of ``time_col`` in a hidden column, so reading a period
         touches the days concerned and not the whole past.
         """
-        return self._insert(self._dated(df, time_col), table, LOAD_DAY, overwrite=False)
+        return self._insert(self._dated(df, time_col), table, [LOAD_DAY], overwrite=False)
 
     def replace_days(self, df: DataFrame, table: str, time_col: str) -> int:
         """Write the days found among the rows anew; every other day keeps its files."""
-        return self._insert(self._dated(df, time_col), table, LOAD_DAY, overwrite=True)
+        return self._insert(self._dated(df, time_col), table, [LOAD_DAY], overwrite=True)
 
     def drop_days(self, table: str, days: Sequence[date | None]) -> None:
         for day in days:
@@ -210,7 +213,7 @@ class Warehouse:
 
     def archive(self, df: DataFrame, table: str, run_column: str) -> int:
         """Replace only the runs present in ``df``; every other run of the table stays."""
-        return self._insert(df, table, run_column, overwrite=True)
+        return self._insert(df, table, [run_column], overwrite=True)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
