@@ -293,6 +293,13 @@ class BoostedModels:
         total = value["start"] + F.aggregate(value["trees"], F.lit(0.0), lambda s, tree: s + leaf(tree)) * value["weight"]
         return F.exp(total) if model in self.log_link else total
 
+    def with_scores(self, df: DataFrame, **columns: str) -> DataFrame:
+        """df with the named models' predictions as expressions, so rows stay in Spark; an absent input is an error."""
+        require_columns(df, [*self.numeric, *self.categories])
+        held = {name: f"_{name}_trees" for name in columns}  # a value of its own first, as a fold may hold no subquery
+        return df.withColumns({held[name]: self.value(model) for name, model in columns.items()}).withColumns(
+            {name: self.score(model, F.col(held[name])) for name, model in columns.items()}).drop(*held.values())
+
     def predict(self, df: DataFrame, **columns: str) -> DataFrame:
         """df with the named models' predictions; an absent input is an error, never a silent default.
 

@@ -216,7 +216,7 @@ def model_talk_times(
         daily.select("ds", FOLDED_SERVICE), segments, FOLDED_SERVICE, "inner",
         settings=settings, bounded=True,
     ).select("ds", SEGMENT).distinct()
-    scored = model.predict(calendar_features(pairs), prediction="Snitt_Taltid")
+    scored = model.with_scores(calendar_features(pairs), prediction="Snitt_Taltid")
     seconds = round_half_even(F.greatest(F.col("prediction"), F.lit(0.0))).cast("int")
     return scored.select("ds", SEGMENT, seconds.alias("talk_time"))
 

@@ -130,7 +130,7 @@ def predict_volume(
 ) -> DataFrame:
     """features with `prediction`."""
     if isinstance(model, BoostedModels):
-        return model.predict(features, prediction="operative")
+        return model.with_scores(features, prediction="operative")
     return model.transform(volume_features(features, lags))
 
 
@@ -155,7 +155,7 @@ class VolumeBand:
 
     def predict(self, features: DataFrame) -> DataFrame:
         """``low``, ``median`` and ``high`` for every row, none below zero and none crossing another."""
-        raw = self.models.predict(features, **{f"_{name}": name for name in BAND})
+        raw = self.models.with_scores(features, **{f"_{name}": name for name in BAND})
         # One row per service on both ends of the join; sized by AQE.
         joined = raw.join(self.residuals.select(FOLDED_SERVICE, "widen"), FOLDED_SERVICE, "left")
         widen = F.coalesce("widen", F.lit(0.0))
@@ -180,7 +180,7 @@ def train_volume_band(
     losses = {name: Loss("quantile", alpha) for name, alpha in BAND.items()} | {
         f"early_{name}": Loss("quantile", alpha) for name, alpha in BAND.items()}
     models = fit(data, {m: "_early" if m.startswith("early") else VOLUME for m in losses}, *_volume_columns(lags), losses, growth)
-    held_out = models.predict(data.where("_late"), low="early_low", median="early_median", high="early_high")
+    held_out = models.with_scores(data.where("_late"), low="early_low", median="early_median", high="early_high")
     low, _, high = BAND.values()
     outside = F.greatest(F.col("low") - F.col(VOLUME), F.col(VOLUME) - F.col("high"))
     residuals = residual_quantiles(held_out, F.col(VOLUME) - F.col("median"), low, high)

@@ -588,7 +588,7 @@ def train_volume_band(spark, sf):
 
 def _handling(spark, sf):
     training = cut_lineage(H.aht_training_set(_hours(spark, sf)))
-    return M.train_handling(training).predict(training, **{f"{c}_modell": c for c in M.HANDLING})
+    return M.train_handling(training).with_scores(training, **{f"{c}_modell": c for c in M.HANDLING})
 
 
 def train_handling(spark, sf):
