@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callstrata.llm.common import sized
-from callstrata.llm.tokens import encoded, id_lists, task_number, texts_of
+from callstrata.llm.tokens import encoded_lists, task_number, texts_of
 
 
 def write_tokens(
@@ -33,11 +33,11 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = task_number(), 0
-        for ids, tokens in encoded(batches, tokenizer, end_id):
-            n = np.array([len(x) // 4 for x in tokens], np.int64)
+        for ids, tokens in encoded_lists(batches, tokenizer, end_id):
+            n = np.diff(tokens.offsets.to_numpy()).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(np.full(len(n), part, np.int32)), pa.array(start + np.cumsum(n) - n),
-                 pa.array(n), id_lists(tokens)],
+                 pa.array(n), tokens],
                 ["doc_id", "part", "local_start", "n_tokens", "ids"])
             start += int(n.sum())
 

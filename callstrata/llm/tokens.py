@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,10 @@ BYTE_RULE = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": Tru
 LOWER_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A space that does not stand before a word; such texts are cut by the pattern alone.
 LOOSE_SPACE = re.compile(r" (?:\s|$)")
+#: Marks behind a letter and before white space are a word of their own (an apostrophe may belong to a letter).
+MARKS = r"(\p{L})([^\p{L}\p{N}\s']+)(\s)"
+#: Words of a table before it is emptied (some 40 bytes each).
+TABLED = 800_000
 #: Words a Python worker remembers in each of two generations (some 80 MB in all).
 REMEMBERED = 200_000
 
@@ -57,6 +62,33 @@ class Known(dict):
         return value
 
 
+class Table:
+    """Words numbered in the order met, and their ids one behind the other; when full, all are forgotten."""
+
+    def __init__(self):
+        STORES.append(self)
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.lengths, self.ids = pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, "<i4")
+
+    def numbers(self, words: pa.Array, make) -> np.ndarray:
+        """The number of each word; `make` gives the ids of a word that is not known yet."""
+        if len(self.words) > TABLED:
+            self.clear()
+        words = words.cast(pa.string())
+        found = pc.index_in(words, value_set=self.words)
+        new = found.is_null()
+        out = found.fill_null(0).to_numpy(zero_copy_only=False).copy()
+        coded = words.filter(new).dictionary_encode()
+        out[new.to_numpy(zero_copy_only=False)] = coded.indices.to_numpy() + len(self.words)
+        ids = [make(x) for x in coded.dictionary.to_pylist()]
+        self.words = pa.concat_arrays([self.words, coded.dictionary])
+        self.lengths = np.concatenate([self.lengths, np.array([len(x) // 4 for x in ids], np.int32)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<i4")])
+        return out
+
+
 class Encoder:
     """Ids of texts. The merges of a word do not depend on its neighbours, so the library's model is
     asked once for each new word and the answer remembered."""
@@ -112,6 +144,11 @@ class Encoder:
 
         #: ids of what stands between spaces, of the same with the space before it, and of its words
         self.parts, self.spaced, self.words = Known(part), Known(spaced), Known(lettered)
+        self.part, self.table = part, Table()
+
+    def _known(self, text: str) -> bool:
+        """Whether the text falls apart into words here; others go to the library whole."""
+        return bool(self.cut) and not OTHER.search(text) and not (self.added and self.added.search(text))
 
     def _plain(self, text: str) -> bytes:
         if self.lower:  # white space only separates
@@ -124,15 +161,41 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes | None] = [
-            self._plain(x) if self.cut and not OTHER.search(x) and not (self.added and self.added.search(x)) else None
-            for x in texts]
+        out: list[bytes | None] = [self._plain(x) if self._known(x) else None for x in texts]
         rest = [i for i, x in enumerate(out) if x is None]
-        found = self.library.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
-        for i, x in zip(rest, found, strict=True):
-            out[i] = np.array(x.ids, "<u4").tobytes()
+        for i, x in zip(rest, self._whole([texts[i] for i in rest]), strict=True):
+            out[i] = x
         return out
 
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def lists(self, column: pa.Array, texts: list[str], end: bytes) -> pa.ListArray:
+        """Ids of each text of a column (`texts`: its texts), with the end id. Where white space only separates,
+        words become numbers of the table, and ids are put together from these."""
+        if not self.lower:
+            return id_lists([x + end for x in self.encode(texts)])
+        known = np.array([self._known(x) for x in texts], bool)
+        rest = np.flatnonzero(~known)
+        if len(rest):
+            column = pc.if_else(pa.array(known), column, "")
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(column), MARKS, r"\1 \2\3"))
+        ends = words.offsets.to_numpy()[1:]
+        codes = self.table.numbers(words.flatten(), self.part)
+        # a text that goes to the library is one more word, and so is the end
+        more = [*self._whole([texts[i] for i in rest]), end]
+        lengths = np.concatenate([self.table.lengths, [len(x) // 4 for x in more]]).astype(np.int32)
+        ids = np.concatenate([self.table.ids, np.frombuffer(b"".join(more), "<i4")])
+        last = len(lengths) - 1
+        codes = np.insert(codes, np.concatenate([ends[rest], ends]), np.concatenate([last - len(rest) + np.arange(len(rest)), np.full(len(texts), last)]))
+        own = lengths[codes]
+        upto = np.concatenate([[0], np.cumsum(own, dtype=np.int64)])
+        # where each id stands among the words' ids, in 32 bits as the offsets of a list are
+        places = np.repeat(((np.cumsum(lengths) - lengths)[codes] - upto[:-1]).astype(np.int32), own)
+        places += np.arange(upto[-1], dtype=np.int32)
+        offsets = upto[np.concatenate([[0], ends + np.cumsum(1 + ~known)])].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[places]))
+
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
     """For runs of rows (doc_id, text): the ids of the rows, and their tokens with the end id."""
@@ -143,6 +206,16 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
             yield batch.column(0).slice(at, len(texts)), [x + end for x in encoder.encode(texts)]
 
 
+def encoded_lists(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """As `encoded`, with the tokens in a column of lists."""
+    encoder, end = Encoder.of(path), np.array([end_id], "<u4").tobytes()
+    remember_only(encoder.parts, encoder.spaced, encoder.words, encoder.table)
+    for batch in batches:
+        column = batch.column(1)
+        for at, texts in slices(column, 8_000_000):
+            yield batch.column(0).slice(at, len(texts)), encoder.lists(column.slice(at, len(texts)), texts, end)
+
+
 def id_lists(parts: list[bytes]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), "<i4")))
@@ -155,7 +228,7 @@ def with_crc(rows: DataFrame, column: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(0)
-            values, offsets = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), lists.offsets.to_numpy()
+            values, offsets = lists.values.to_numpy(zero_copy_only=False).view("<u4"), lists.offsets.to_numpy()
             crc = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(crc, pa.int64())], [*[f.name for f in others], "ids_crc32"])

@@ -2,10 +2,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from callstrata.llm import packing as P
 from callstrata.llm import token_store as T
+from callstrata.llm import tokens as K
 from callstrata.llm.tokens import Encoder, with_crc
 from tests.llm.helpers import docs, empty, messy, prose, words
 
@@ -40,6 +42,29 @@ def test_words_are_forgotten_without_harm(monkeypatch):
         assert np.frombuffer(encoder.encode([t])[0], "<u4").tolist() == encoder.library.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("most", [800_000, 50])
+@pytest.mark.parametrize("file", FILES)
+def test_lists_equal_the_library(monkeypatch, file, most):
+    """Across batches, with the words numbered once and with a table that is emptied all the time."""
+    monkeypatch.setattr(K, "TABLED", most)
+    marks = ["'", "',", ",'s", "'.", "!? ", "÷", "×", "é", "Éß", "7", "a", "B", " ", "\n", "re", ".x", "-"]
+    rng = np.random.default_rng(3)
+    texts = [*TRICKY, prose(1, 40), *["".join(rng.choice(marks, rng.integers(25))) for _ in range(2_000)], *TRICKY]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    got = list(K.encoded_lists(iter([batch.slice(0, 30), batch.slice(30, 900), batch.slice(930), batch.slice(0, 0)]), public.path(file), 2))
+    assert [i for ids, _ in got for i in ids.to_pylist()] == list(range(len(texts)))
+    want = [[*x.ids, 2] for x in library(file).encode_batch(texts, add_special_tokens=False)]
+    assert [x for _, lists in got for x in lists.to_pylist()] == want
+
+
+def test_a_word_is_looked_up_once():
+    asked, table = [], K.Table()
+    for words in (["b", "a", "b"], ["a", "", "c", "c"], []):
+        numbers = table.numbers(pa.array(words, pa.string()), lambda x: asked.append(x) or np.full(len(x), ord(x or "0"), "<u4").tobytes())
+        assert table.words.take(pa.array(numbers)).to_pylist() == words
+    assert asked == ["b", "a", "", "c"] and table.lengths.tolist() == [1, 1, 0, 1] and table.ids.tolist() == [98, 97, 99]
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
