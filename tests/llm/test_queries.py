@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from callstrata.llm import decontaminate as D
 from callstrata.llm.licenses import NOTICES
 from tests.llm.test_simhash import groups, plain_fingerprint
+from tests.llm.test_spans import plain
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
@@ -64,6 +65,14 @@ def test_simhash(spark):
     assert near and got == {d: (f"{f:016x}", least[root[d]]) for d, f in fps.items()}
 
 
+def test_repeated_spans_equal_runs_of_every_length(spark):
+    by: dict = {}
+    for (doc, sentence), first in plain(given("documents", "doc_id, text")).items():
+        by.setdefault((doc, first), []).append(sentence)
+    got = sorted(tuple(r) for r in run(spark, "op4_repeated_spans"))
+    assert got and got == sorted((d, f, len(x), min(x), max(x)) for (d, f), x in by.items())
+
+
 def test_packing(spark):
     rows, ids = run(spark, "op5_packing"), library("byte_bpe_50k.json")
     inside: dict = {}
